@@ -1,0 +1,171 @@
+"""Workbooks (.xlsx): first sheet, first row as header.
+
+Spark lists the files and hands each to one task; a task unpacks its workbooks one at
+a time and passes their rows on in batches. Column types come from the cell kinds, in
+one aggregation over all workbooks.
+"""
+
+from __future__ import annotations
+
+import io
+import re
+import zipfile
+from collections.abc import Iterator
+from datetime import datetime, timedelta
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Fixed values of the file format: name spaces, date number formats, day zero.
+MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
+DAY_ZERO = datetime(1899, 12, 30)
+
+BATCH_ROWS = 10_000
+CELL_COLUMNS = ["path", "row_no", "header", "kinds", "cells"]
+CELL_SCHEMA = (
+    "path string, row_no bigint, header array<string>, kinds array<string>, cells array<string>"
+)
+
+
+def _column_index(reference: str) -> int:
+    index = 0
+    for letter in re.match(r"[A-Z]+", reference).group():
+        index = index * 26 + ord(letter) - 64
+    return index - 1
+
+
+def _text(node: ElementTree.Element) -> str:
+    return "".join(part.text or "" for part in node.iter(f"{MAIN}t"))
+
+
+def _shared_strings(book: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in book.namelist():
+        return []
+    return [_text(item) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
+
+
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Style numbers whose number format shows a date."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    root = ElementTree.fromstring(book.read("xl/styles.xml"))
+    dates = set(DATE_FORMATS)
+    for custom in root.iter(f"{MAIN}numFmt"):
+        code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", custom.get("formatCode", "")).lower()
+        if re.search(r"[ymdhs]", code):
+            dates.add(int(custom.get("numFmtId")))
+    formats = root.find(f"{MAIN}cellXfs")
+    used = [] if formats is None else formats
+    return {i for i, style in enumerate(used) if int(style.get("numFmtId", 0)) in dates}
+
+
+def _first_sheet(book: zipfile.ZipFile) -> str:
+    sheet = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{MAIN}sheets")[0]
+    for link in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels")):
+        if link.get("Id") == sheet.get(RELATION_ID):
+            return "xl/" + link.get("Target").removeprefix("/xl/")
+    raise ValueError("the workbook names no first sheet")
+
+
+def _cell(node: ElementTree.Element, strings: list[str], dates: set[int]) -> tuple[str, str] | None:
+    """Kind (text, number, date, truth) and text of one cell; None when empty."""
+    kind = node.get("t", "n")
+    if kind == "inlineStr":
+        return "text", _text(node)
+    value = node.findtext(f"{MAIN}v")
+    if value is None or kind == "e":
+        return None
+    if kind == "s":
+        return "text", strings[int(value)]
+    if kind == "b":
+        return "truth", "true" if value == "1" else "false"
+    if kind == "n" and int(node.get("s", -1)) in dates:
+        moment = DAY_ZERO + timedelta(microseconds=round(float(value) * 86_400_000_000))
+        return "date", moment.isoformat(" ")
+    return ("number", value) if kind == "n" else ("text", value)
+
+
+def workbook_rows(content: bytes) -> Iterator[tuple[list, list, list]]:
+    """Rows of the first sheet as (header, kinds, texts), read as a stream."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        strings, dates = _shared_strings(book), _date_styles(book)
+        header: dict[int, str] = {}
+        with book.open(_first_sheet(book)) as sheet:
+            for _, node in ElementTree.iterparse(sheet):
+                if node.tag != f"{MAIN}row":
+                    continue
+                cells = {
+                    _column_index(cell.get("r")): found
+                    for cell in node.iter(f"{MAIN}c")
+                    if (found := _cell(cell, strings, dates)) is not None
+                }
+                node.clear()
+                if not header:
+                    header = {index: text for index, (_, text) in cells.items()}
+                elif cells:
+                    row = [cells.get(index, (None, None)) for index in header]
+                    yield list(header.values()), [kind for kind, _ in row], [text for _, text in row]
+
+
+def _cell_batches(books: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in books:
+        for path, content in zip(batch["path"], batch["content"]):
+            rows = []
+            for row_no, row in enumerate(workbook_rows(content)):
+                rows.append((path, row_no, *row))
+                if len(rows) == BATCH_ROWS:
+                    yield pd.DataFrame(rows, columns=CELL_COLUMNS)
+                    rows = []
+            yield pd.DataFrame(rows, columns=CELL_COLUMNS)
+
+
+def parse_workbooks(books: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
+    """Rows of workbooks given as ``(path, content)``.
+
+    ``types`` (column name -> Spark type) saves the pass that derives them: numbers
+    are whole or double, dates and truth values keep their type when a column holds
+    nothing else, everything else is text.
+    """
+    rows = books.select("path", "content").mapInPandas(_cell_batches, CELL_SCHEMA)
+    if types is None:
+        types = _types_by_content(rows)
+    return rows.select(
+        *[
+            F.get("cells", F.array_position("header", F.lit(name)) - 1).try_cast(kind).alias(name)
+            for name, kind in types.items()
+        ]
+    )
+
+
+def _types_by_content(rows: DataFrame) -> dict[str, str]:
+    cell = F.posexplode(F.arrays_zip("header", "kinds", "cells")).alias("pos", "cell")
+    facts = (
+        rows.select(cell)
+        .groupBy(F.col("cell.header").alias("name"))
+        .agg(
+            F.min("pos").alias("pos"),
+            F.min("cell.kinds").alias("first_kind"),
+            F.max("cell.kinds").alias("last_kind"),
+            F.bool_and(F.col("cell.cells").rlike(r"^[+-]?\d{1,18}$")).alias("whole"),
+        )
+        .orderBy("pos", "name")
+        .collect()
+    )
+    spark_types = {"date": "timestamp_ntz", "truth": "boolean", "number": "double", None: "double"}
+    types = {}
+    for fact in facts:
+        kind = fact["first_kind"] if fact["first_kind"] == fact["last_kind"] else "text"
+        types[fact["name"]] = spark_types.get(kind, "string")
+        if kind == "number" and fact["whole"]:
+            types[fact["name"]] = "bigint"
+    return types
+
+
+def read_workbooks(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+    """One ``.xlsx`` file or a folder of them."""
+    books = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
+    return parse_workbooks(books, types)
