@@ -117,7 +117,7 @@ class _Search:
     def aggregates(self) -> list[Column]:
         value, inside = as_double(self.name), self.inside_values()
         none = F.lit(0).cast("bigint")
-        grid = F.expr(f"transform(sequence(0, {GRID}), i -> cast(i as double) / {GRID})")
+        grid = F.expr(f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})")
         return [
             none if self.low is None else F.count_if(value < F.lit(self.low)),
             none if self.low is None else F.count_if(value == F.lit(self.low)),

@@ -472,7 +472,8 @@ ORACLES["dataset_insights_raw"] = with_input("MIXED", facts("mixed", MIXED_COLUM
 def long_form(chart: str, series: str, label: str, value: str, source: str) -> str:
     return (
         f"select '{chart}' as chart, {text(series)} as series, {text(label)} as label,"
-        f" round(cast({value} as double), 4) as value from ({source}) {chart}_rows"
+        f" round(cast({value} as double), {2 if chart == 'kpis' else 4}) as value"
+        f" from ({source}) {chart}_rows"
     )
 
 

@@ -443,6 +443,11 @@ def scatter_grid(spark, sf_dir):
 # Choices and whole workflows -----------------------------------------------------
 
 
+def _chart_rows(built: dict[str, DataFrame]) -> DataFrame:
+    digits = F.when(F.col("chart") == "kpis", F.round("value", 2)).otherwise(F.round("value", 4))
+    return chart_plans.chart_table(built).withColumn("value", digits)
+
+
 @query
 def default_columns(spark, sf_dir):
     return chart_plans.default_columns(table(spark, sf_dir, "part"))
@@ -477,16 +482,16 @@ def dataset_insights_raw(spark, sf_dir):
 @query
 def chart_data(spark, sf_dir):
     built = chart_plans.chart_data(derived(spark, sf_dir, "MIXED"), colour="priority")
-    return rounded(chart_plans.chart_table(built))
+    return _chart_rows(built)
 
 
 @query
 def chart_data_raw(spark, sf_dir):
     built = chart_plans.chart_data(derived(spark, sf_dir, "MIXED"), clean=False)
-    return rounded(chart_plans.chart_table(built))
+    return _chart_rows(built)
 
 
 @query
 def chart_data_bar(spark, sf_dir):
     built = chart_plans.chart_data(table(spark, sf_dir, "part"))
-    return rounded(chart_plans.chart_table(built))
+    return _chart_rows(built)
