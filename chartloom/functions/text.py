@@ -34,8 +34,3 @@ def trim_text(text: Column) -> Column:
 def drop_marks(text: Column) -> Column:
     """Remove currency signs and thousands separators."""
     return F.translate(text, AMOUNT_MARKS, "")
-
-
-def has_mark(text: Column) -> Column:
-    """Whether the text holds a currency sign or a comma; false for null."""
-    return F.coalesce(text.rlike(f"[{AMOUNT_MARKS}]"), F.lit(False))

@@ -6,8 +6,9 @@ scalar subqueries: one row each, evaluated once before the main stage, no join.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ BAR_VALUES = 15
 SHARE_VALUES = 10
 OTHER_LABEL = "Other"
 
-PAIRS_PER_PASS = 150
+PAIRS_PER_PASS = 200
 
 
 # Totals ------------------------------------------------------------------------
@@ -62,11 +63,17 @@ def kpi_totals(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 # Trends ------------------------------------------------------------------------
 
 
+def days_spanned(date: str) -> Column:
+    """Aggregate: whole days between the first and the last moment."""
+    moment = column(date).cast("timestamp_ntz")
+    return span_days(F.min(moment), F.max(moment))
+
+
 def date_span(df: DataFrame, date: str) -> DataFrame:
     """First and last moment, and the whole days between them."""
     moment = column(date).cast("timestamp_ntz")
-    return df.agg(F.min(moment).alias("first"), F.max(moment).alias("last")).withColumn(
-        "days", span_days(F.col("first"), F.col("last"))
+    return df.agg(
+        F.min(moment).alias("first"), F.max(moment).alias("last"), days_spanned(date).alias("days")
     )
 
 
@@ -84,9 +91,9 @@ def trend(df: DataFrame, date: str, measure: str, grain: str) -> DataFrame:
     return _mean_per_period(df, date, measure, period_start(column(date), grain))
 
 
-def trend_auto(df: DataFrame, date: str, measure: str) -> DataFrame:
+def trend_auto(df: DataFrame, date: str, measure: str, days: Column | None = None) -> DataFrame:
     """Mean per period, with the grain that suits the span of the dates."""
-    grain = date_span(df, date).select(grain_for(F.col("days"))).scalar()
+    grain = grain_for(date_span(df, date).select("days").scalar() if days is None else days)
     period = reduce(
         lambda chain, name: chain.when(grain == name, period_start(column(date), name)),
         GRAINS[1:],
@@ -129,16 +136,31 @@ def _finite(name: str) -> Column:
     return F.when(F.abs(value) != float("inf"), value)
 
 
-def _bounds(df: DataFrame, *names: str) -> Column:
-    """Smallest and largest finite value of each column, as one scalar struct."""
+@dataclass(frozen=True)
+class Bounds:
+    """Smallest and largest finite value of a column, as expressions."""
+
+    low: Column
+    high: Column
+
+
+def end_aggregates(names: list[str]) -> list[Column]:
+    """Aggregates ``low0, high0, low1, ...``: the finite ends of each column."""
     ends = []
     for i, name in enumerate(names):
         ends += [F.min(_finite(name)).alias(f"low{i}"), F.max(_finite(name)).alias(f"high{i}")]
-    return df.agg(F.struct(*ends).alias("bounds")).scalar()
+    return ends
+
 
+def bounds_of(df: DataFrame, *names: str) -> list[Bounds]:
+    """The ends of each column, all from one scalar subquery."""
+    ends = df.agg(F.struct(*end_aggregates(list(names))).alias("ends")).scalar()
+    return [Bounds(ends[f"low{i}"], ends[f"high{i}"]) for i in range(len(names))]
 
-def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
+
+def _bin(value: Column, ends: Bounds, bins: int) -> Column:
     """Equal-width bin number; the ends (and infinities) go to the outer bins."""
+    low, high = ends.low, ends.high
     return (
         F.when(value <= low, 0)
         .when(value >= high, bins - 1)
@@ -147,20 +169,19 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     )
 
 
-def histogram(df: DataFrame, name: str, bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, name: str, bins: int = 20, ends: Bounds | None = None) -> DataFrame:
     """Rows per equal-width bin of one numeric column; empty bins are left out."""
-    bounds = _bounds(df, name)
-    low, high = bounds["low0"], bounds["high0"]
-    width = (high - low) / bins
+    ends = ends or bounds_of(df, name)[0]
+    width = (ends.high - ends.low) / bins
     value = as_double(name)
     return (
         df.where(value.isNotNull())
-        .groupBy(_bin(value, low, high, bins).alias("bin"))
+        .groupBy(_bin(value, ends, bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "bin",
-            (low + F.col("bin") * width).alias("bin_start"),
-            (low + (F.col("bin") + 1) * width).alias("bin_end"),
+            (ends.low + F.col("bin") * width).alias("bin_start"),
+            (ends.low + (F.col("bin") + 1) * width).alias("bin_end"),
             "n",
         )
         .orderBy("bin")
@@ -170,51 +191,61 @@ def histogram(df: DataFrame, name: str, bins: int = 20) -> DataFrame:
 # Relations ---------------------------------------------------------------------
 
 
-def _pair_record(x: str, y: str) -> dict[str, Column]:
-    """Pearson correlation from moments over the rows where both values exist."""
-    a, b = as_double(x), as_double(y)
-    a_with_b, b_with_a = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    r = F.try_divide(
-        F.covar_pop(a, b), F.stddev_pop(a_with_b) * F.stddev_pop(b_with_a)
-    )
-    return {
-        "x": F.lit(x),
-        "y": F.lit(y),
-        "r": without_nan(r),
-        "n": F.count_if(a.isNotNull() & b.isNotNull()),
-    }
-
+def _measured_pairs(doubles: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Correlation of each pair over the rows where both values exist, in one pass.
 
-def _self_record(x: str) -> dict[str, Column]:
-    spread = F.stddev_pop(as_double(x))
-    return {
-        "x": F.lit(x),
-        "y": F.lit(x),
-        "r": F.when(spread > 0, F.lit(1.0)),
-        "n": F.count(as_double(x)),
-    }
+    Each row becomes one small row per pair of columns, which the map side folds at
+    once into one group per pair; the plan does not grow with the pairs.
+    """
+    entries = [
+        F.struct(
+            F.lit(i).alias("pair"),
+            F.when(column(y).isNotNull(), column(x)).alias("a"),
+            F.when(column(x).isNotNull(), column(y)).alias("b"),
+        )
+        for i, (x, y) in enumerate(pairs)
+    ]
+    names = F.get(
+        F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs]), F.col("pair")
+    )
+    spread = F.stddev_pop("a") * F.stddev_pop("b")
+    r = without_nan(F.try_divide(F.covar_pop("a", "b"), spread))
+    return (
+        doubles.select(F.explode(F.array(*entries)).alias("entry"))
+        .select("entry.*")
+        .groupBy("pair")
+        .agg(r.alias("r"), F.count("a").alias("n"))
+        .select(names.alias("name"), "r", "n")
+        .select(
+            "name.*", F.when(F.col("name.x") != F.col("name.y"), F.col("r")).otherwise(
+                F.when(F.col("r").isNotNull(), 1.0)
+            ).alias("r"), "n",
+        )
+    )
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Every cell ``(col_x, col_y, r, n)`` of the correlation matrix.
 
-    Pairs are measured by plain aggregates, up to a fixed number per pass so that
-    wide tables keep compilable plans. ``r`` is null where it is undefined.
+    ``r`` is null where it is undefined: a constant column, or fewer than two rows.
+    A wide table is measured a fixed number of pairs per pass.
     """
     names = numeric_columns(df) if columns is None else columns
-    records = [_self_record(x) for x in names]
-    records += [_pair_record(x, y) for x, y in combinations(names, 2)]
-    schema = "x string, y string, r double, n bigint"
-    passes = [
-        rows_from_aggregates(df, records[i : i + PAIRS_PER_PASS], schema)
-        for i in range(0, max(len(records), 1), PAIRS_PER_PASS)
-    ]
-    measured = reduce(DataFrame.unionByName, passes)
-    mirrored = F.when(
-        F.col("x") != F.col("y"),
-        F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))),
-    ).otherwise(F.array(F.struct("x", "y")))
-    return measured.select(F.explode(mirrored).alias("cell"), "r", "n").select(
+    if not names:
+        return df.sparkSession.createDataFrame([], "col_x string, col_y string, r double, n bigint")
+    pairs = list(combinations_with_replacement(names, 2))
+    doubles = df.select(*[as_double(name).alias(name) for name in names])
+    measured = reduce(
+        DataFrame.unionByName,
+        [
+            _measured_pairs(doubles, pairs[i : i + PAIRS_PER_PASS])
+            for i in range(0, len(pairs), PAIRS_PER_PASS)
+        ],
+    )
+    one = F.struct("x", "y")
+    other = F.struct(F.col("y").alias("x"), F.col("x").alias("y"))
+    cells = F.when(F.col("x") == F.col("y"), F.array(one)).otherwise(F.array(one, other))
+    return measured.select(F.explode(cells).alias("cell"), "r", "n").select(
         F.col("cell.x").alias("col_x"), F.col("cell.y").alias("col_y"), "r", "n"
     )
 
@@ -235,15 +266,21 @@ def scatter_points(
 
 
 def scatter_grid(
-    df: DataFrame, x: str, y: str, colour: str | None = None, bins: int = 50
+    df: DataFrame,
+    x: str,
+    y: str,
+    colour: str | None = None,
+    bins: int = 50,
+    ends: list[Bounds] | None = None,
 ) -> DataFrame:
     """Rows per cell of an equal-width grid: the scatter plot with a bounded size."""
-    bounds = _bounds(df, x, y)
-    cells = [
-        _bin(as_double(name), bounds[f"low{i}"], bounds[f"high{i}"], bins).alias(f"{axis}_bin")
-        for i, (name, axis) in enumerate([(x, "x"), (y, "y")])
+    across, up = ends or bounds_of(df, x, y)
+    keys = [
+        _bin(as_double(x), across, bins).alias("x_bin"),
+        _bin(as_double(y), up, bins).alias("y_bin"),
     ]
-    keys = cells + ([column(colour).alias("colour")] if colour else [])
+    if colour:
+        keys.append(column(colour).alias("colour"))
     return (
         df.where(as_double(x).isNotNull() & as_double(y).isNotNull())
         .groupBy(*keys)

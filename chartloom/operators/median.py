@@ -1,12 +1,11 @@
-"""Exact medians without collecting a column in one place.
-
-``median`` keeps every distinct value of a column in one aggregation buffer, which
-is fine for small columns only. Larger ones are narrowed down: each pass counts the
-rows below, inside and at the ends of a bracket around the middle rank and sketches
-the quantiles inside it; the next bracket lies between two of those. The counts are
-exact, so the sketch decides only how fast the bracket shrinks (about 300-fold per
-pass), never the answer. A value repeated a billion times soon is an end of the
-bracket, where its rows are counted, not kept.
+"""Exact medians without collecting a large column in one place.
+
+A column of bounded size is sorted in one aggregation buffer. Larger ones are narrowed
+down first: each pass counts the rows below, inside and at the ends of a bracket around
+the middle rank and sketches the quantiles inside it; the next bracket lies between two
+of those. The counts are exact, so the sketch decides only how fast the bracket shrinks
+(about 60-fold per pass), never the answer. A value repeated a billion times soon is an
+end of the bracket, where its rows are counted, not kept.
 """
 
 from __future__ import annotations
@@ -18,12 +17,13 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.numbers import without_nan
 from chartloom.functions.text import column
+from chartloom.operators.profile import rows_from_aggregates
 from chartloom.operators.roles import numeric_columns
 
-# Values that one aggregation buffer may hold, over all columns of a pass.
-BUFFER_VALUES = 1_000_000
-GRID = 1000
-SKETCH_ACCURACY = 10_000
+# Values that one pass may keep in buffers, over all columns.
+BUFFER_VALUES = 5_000_000
+GRID = 200
+SKETCH_ACCURACY = 2000
 
 
 def as_double(name: str) -> Column:
@@ -52,15 +52,20 @@ def exact_medians(
     if counts is None:
         counts = value_counts_by_column(df, names)
     room = max(buffer_values // len(names), 1)
-    small = [name for name in names if 0 < counts[name] <= room]
-    result: dict[str, float | None] = dict.fromkeys(names)
-    if small:
-        row = df.agg(*[F.median(as_double(c)).alias(f"m{i}") for i, c in enumerate(small)]).first()
-        result.update({name: row[f"m{i}"] for i, name in enumerate(small)})
-    large = [name for name in names if counts[name] > room]
-    if large:
-        result.update(_narrowed_medians(df, {name: counts[name] for name in large}, room))
-    return result
+    searches = [
+        _Search(name, rank, inside=counts[name] if counts[name] <= room else 0)
+        for name in names
+        if counts[name]
+        for rank in sorted({(counts[name] - 1) // 2, counts[name] // 2})
+    ]
+    values = df.select(*[as_double(name).alias(name) for name in {s.name for s in searches}])
+    while wide := [s for s in searches if s.answer is None and not s.inside]:
+        _tighten(values, wide, room)
+    _look_up(values, [s for s in searches if s.answer is None])
+    middle: dict[str, list[float]] = {name: [] for name in names}
+    for search in searches:
+        middle[search.name].append(search.answer)
+    return {name: sum(ends) / len(ends) if ends else None for name, ends in middle.items()}
 
 
 def median_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -71,10 +76,10 @@ def median_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFr
     )
 
 
-def approximate_medians(df: DataFrame, columns: list[str] | None = None, accuracy: int = 10_000):
+def approximate_medians(
+    df: DataFrame, columns: list[str] | None = None, accuracy: int = 10_000
+) -> DataFrame:
     """Medians from one mergeable sketch per column, as rows ``(column, median)``."""
-    from chartloom.operators.profile import rows_from_aggregates
-
     names = numeric_columns(df) if columns is None else columns
     return rows_from_aggregates(
         df,
@@ -91,7 +96,11 @@ def approximate_medians(df: DataFrame, columns: list[str] | None = None, accurac
 
 @dataclass
 class _Search:
-    """One wanted rank of one column, with open bracket ends (None: unbounded)."""
+    """One wanted rank of one column, with open bracket ends (None: unbounded).
+
+    ``inside`` is set once the bracket holds few enough values to be sorted; ``below``
+    then is the number of values before them.
+    """
 
     name: str
     rank: int
@@ -105,88 +114,93 @@ class _Search:
     def bracket(self) -> tuple:
         return self.name, self.low, self.high
 
-    def inside_values(self) -> Column:
-        value = as_double(self.name)
-        keep = value.isNotNull()
-        if self.low is not None:
-            keep = keep & (value > F.lit(self.low))
-        if self.high is not None:
-            keep = keep & (value < F.lit(self.high))
-        return F.when(keep, value)
-
-    def aggregates(self) -> list[Column]:
-        value, inside = as_double(self.name), self.inside_values()
-        none = F.lit(0).cast("bigint")
-        grid = F.expr(f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})")
-        return [
-            none if self.low is None else F.count_if(value < F.lit(self.low)),
-            none if self.low is None else F.count_if(value == F.lit(self.low)),
-            F.count(inside),
-            none if self.high is None else F.count_if(value == F.lit(self.high)),
-            F.percentile_approx(inside, grid, SKETCH_ACCURACY),
-        ]
-
-    def advance(self, less: int, at_low: int, inside: int, at_high: int, grid: list | None, room: int):
+    def advance(
+        self, less: int, at_low: int, inside: int, at_high: int, grid: list | None, room: int
+    ) -> None:
         """Use exact counts to answer, or to move to a tighter bracket."""
         first, end = less + at_low, less + at_low + inside
         if self.rank < less:
             self.low, self.high = None, self.low
         elif self.rank < first:
             self.answer = self.low
-        elif end <= self.rank < end + at_high:
-            self.answer = self.high
         elif self.rank >= end + at_high:
             self.low, self.high = self.high, None
-        else:
+        elif self.rank >= end:
+            self.answer = self.high
+        elif inside <= room:
             self.below, self.inside = first, inside
-            if inside > room:
-                cell = int((self.rank - first) / inside * GRID)
-                self.inside = 0
-                if cell - 1 >= 0:
-                    self.low = grid[cell - 1]
-                if cell + 2 <= GRID:
-                    self.high = grid[cell + 2]
+        else:
+            cell = int((self.rank - first) / inside * GRID)
+            if cell >= 1:
+                self.low = grid[cell - 1]
+            if cell + 2 <= GRID:
+                self.high = grid[cell + 2]
 
-    @property
-    def fits(self) -> bool:
-        return self.inside > 0
 
+def _bracketed(values: DataFrame, brackets: list[tuple]) -> DataFrame:
+    """Every value next to each bracket of its column: ``(bracket, low, high, value, inside)``.
 
-def _narrowed_medians(df: DataFrame, counts: dict[str, int], room: int) -> dict[str, float]:
-    searches = [
-        _Search(name, rank)
-        for name, n in counts.items()
-        for rank in sorted({(n - 1) // 2, n // 2})
+    One row per value and bracket keeps the expressions small, however many columns
+    are searched at once; there are two brackets per column at most.
+    """
+    entries = [
+        F.struct(
+            F.lit(i).alias("bracket"),
+            F.lit(low).cast("double").alias("low"),
+            F.lit(high).cast("double").alias("high"),
+            column(name).alias("value"),
+        )
+        for i, (name, low, high) in enumerate(brackets)
     ]
-    while open_searches := [s for s in searches if s.answer is None and not s.fits]:
-        brackets = {s.bracket: s for s in open_searches}
-        keys = list(brackets)
-        measured = df.agg(
-            *[F.struct(*brackets[key].aggregates()).alias(f"b{i}") for i, key in enumerate(keys)]
-        ).first()
-        found = {key: tuple(measured[f"b{i}"]) for i, key in enumerate(keys)}
-        for search in open_searches:
-            search.advance(*found[search.bracket], room)
-    rest = {s.bracket: s for s in searches if s.answer is None}
-    if rest:
-        keys = list(rest)
-        row = df.agg(
-            *[
-                F.array_sort(F.collect_list(rest[key].inside_values())).alias(f"v{i}")
-                for i, key in enumerate(keys)
-            ]
-        ).select(
-            *[
-                F.element_at(f"v{keys.index(s.bracket)}", s.rank - s.below + 1).alias(f"a{j}")
-                for j, s in enumerate(searches)
-                if s.answer is None
-            ]
-        ).first()
-        for j, search in enumerate(searches):
-            if search.answer is None:
-                search.answer = row[f"a{j}"]
-    return {
-        name: sum(s.answer for s in searches if s.name == name)
-        / sum(1 for s in searches if s.name == name)
-        for name in counts
-    }
+    inside = (F.col("low").isNull() | (F.col("value") > F.col("low"))) & (
+        F.col("high").isNull() | (F.col("value") < F.col("high"))
+    )
+    rows = values.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*")
+    return rows.where(F.col("value").isNotNull()).withColumn(
+        "inside", F.when(inside, F.col("value"))
+    )
+
+
+def _tighten(values: DataFrame, searches: list[_Search], room: int) -> None:
+    """One pass that measures every distinct bracket and advances its searches."""
+    brackets = list({search.bracket: None for search in searches})
+    grid = F.expr(f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})")
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    measured = (
+        _bracketed(values, brackets)
+        .groupBy("bracket")
+        .agg(
+            F.count_if(value < low).alias("less"),
+            F.count_if(value == low).alias("at_low"),
+            F.count("inside").alias("inside"),
+            F.count_if(value == high).alias("at_high"),
+            F.percentile_approx("inside", grid, SKETCH_ACCURACY).alias("grid"),
+        )
+        .collect()
+    )
+    facts = {brackets[row["bracket"]]: tuple(row)[1:] for row in measured}
+    for search in searches:
+        search.advance(*facts[search.bracket], room)
+
+
+def _look_up(values: DataFrame, searches: list[_Search]) -> None:
+    """One pass that sorts the few values inside each bracket and picks the ranks."""
+    if not searches:
+        return
+    brackets = list({search.bracket: None for search in searches})
+    ranks = [
+        [s.rank - s.below for s in searches if s.bracket == bracket] for bracket in brackets
+    ]
+    wanted = F.get(F.array(*[F.array(*[F.lit(r) for r in rs]) for rs in ranks]), F.col("bracket"))
+    found = (
+        _bracketed(values, brackets)
+        .where(F.col("inside").isNotNull())
+        .groupBy("bracket")
+        .agg(F.sort_array(F.collect_list("inside")).alias("sorted"))
+        .select("bracket", F.transform(wanted, lambda rank: F.get("sorted", rank)).alias("answers"))
+        .collect()
+    )
+    for row in found:
+        same = [s for s in searches if s.bracket == brackets[row["bracket"]]]
+        for search, answer in zip(same, row["answers"]):
+            search.answer = answer

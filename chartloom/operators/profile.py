@@ -1,6 +1,7 @@
-"""Column profiles. Each is one aggregation over the table: one scan, no key shuffle.
+"""Column profiles: one scan, and a shuffle of one row per task and column at most.
 
-The aggregate is a single row; ``inline`` turns it into one row per column.
+Text columns are turned into long form ``(column, value)`` before they are measured, so
+that the tests of a value are written once, whatever the number of columns.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.dates import LAYOUTS, parse_date
-from chartloom.functions.numbers import number
-from chartloom.functions.text import column, drop_marks, has_mark, trim_text
-from chartloom.operators.roles import TEXT, date_columns, role_of, text_columns
+from chartloom.functions.numbers import NUMBER_TEXT
+from chartloom.functions.text import column, drop_marks, trim_text
+from chartloom.operators.roles import DATE, NUMERIC, date_columns, role_of, text_columns
 
 # A text column is retyped when more than this share of all rows parses.
 NUMERIC_SHARE = 0.5
@@ -68,81 +69,93 @@ def missing_cells(df: DataFrame) -> DataFrame:
     return df.agg(missing_cell_total(df).alias("missing_cells"))
 
 
-def text_records(df: DataFrame, columns: list[str] | None = None) -> list[dict[str, Column]]:
-    """Aggregates of :func:`text_profile`, to be evaluated with others in one pass."""
-    records = []
-    rows = F.count(F.lit(1))
-    for seq, name in enumerate(text_columns(df) if columns is None else columns):
-        text = trim_text(column(name))
-        n_numeric = F.count(number(drop_marks(text)))
-        share = F.try_divide(n_numeric, rows)
-        records.append(
-            {
-                "seq": F.lit(seq),
-                "column": F.lit(name),
-                "n_rows": rows,
-                "n_null": F.count_if(column(name).isNull()),
-                "n_trimmed": F.count_if(text != column(name)),
-                "has_marks": F.coalesce(F.bool_or(has_mark(text)), F.lit(False)),
-                "n_numeric": n_numeric,
-                "numeric_share": share,
-                "becomes_numeric": F.coalesce(share > NUMERIC_SHARE, F.lit(False)),
-            }
-        )
-    return records
+def long_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Every cell of the columns as ``(seq, column, value, text, bare)``.
 
+    ``text`` is the trimmed value, ``bare`` the same without amount marks.
+    """
+    place = F.array_position(F.array(*[F.lit(name) for name in columns]), F.col("column"))
+    text = trim_text(F.col("value"))
+    return (
+        df.select(*[column(name) for name in columns])
+        .unpivot([], [column(name) for name in columns], "column", "value")
+        .select((place - 1).cast("int").alias("seq"), "column", "value", text.alias("text"))
+        .withColumn("bare", drop_marks(F.col("text")))
+    )
 
-def text_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per text column: gaps, amount marks and the share of rows that are numbers.
+
+def number_facts() -> dict[str, Column]:
+    """Aggregates over :func:`long_text` about gaps, marks and numbers.
 
     Removing marks from a value without any changes nothing, so the share is
     always taken on the mark-free text and one pass is enough.
     """
-    return rows_from_aggregates(
-        df,
-        text_records(df, columns),
-        "seq int, column string, n_rows bigint, n_null bigint, n_trimmed bigint,"
-        " has_marks boolean, n_numeric bigint, numeric_share double, becomes_numeric boolean",
+    text, bare, rows = F.col("text"), F.col("bare"), F.count(F.lit(1))
+    n_numeric = F.count_if(bare.rlike(NUMBER_TEXT))
+    return {
+        "n_rows": rows,
+        "n_null": F.count_if(text.isNull()),
+        "n_trimmed": F.count_if(text != F.col("value")),
+        "has_marks": F.coalesce(F.bool_or(bare != text), F.lit(False)),
+        "n_numeric": n_numeric,
+        "numeric_share": n_numeric / rows,
+        "becomes_numeric": n_numeric / rows > NUMERIC_SHARE,
+    }
+
+
+def date_facts() -> dict[str, Column]:
+    """Aggregates over :func:`long_text` about dates; ties go to the layout listed first."""
+    rows = F.count(F.lit(1))
+    best = F.greatest(
+        *[
+            F.struct(
+                F.count(parse_date(F.col("text"), layout)).alias("hits"),
+                F.lit(-rank).alias("rank"),
+                F.lit(layout).alias("layout"),
+            )
+            for rank, layout in enumerate(LAYOUTS)
+        ]
+    )
+    return {
+        "n_rows": rows,
+        "layout": F.when(best["hits"] > 0, best["layout"]),
+        "n_dates": best["hits"],
+        "date_share": best["hits"] / rows,
+        "becomes_date": best["hits"] / rows > DATE_SHARE,
+    }
+
+
+TEXT_PROFILE = (
+    "seq int, column string, n_rows bigint, n_null bigint, n_trimmed bigint, has_marks boolean,"
+    " n_numeric bigint, numeric_share double, becomes_numeric boolean"
+)
+DATE_PROFILE = (
+    "seq int, column string, n_rows bigint, layout string, n_dates bigint, date_share double,"
+    " becomes_date boolean"
+)
+
+
+def _profile(df: DataFrame, names: list[str], facts: dict[str, Column], schema: str) -> DataFrame:
+    if not names:
+        return df.sparkSession.createDataFrame([], schema)
+    return long_text(df, names).groupBy("seq", "column").agg(
+        *[fact.alias(name) for name, fact in facts.items()]
     )
 
 
-def date_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per text column: the date layout with most hits and its share of all rows.
+def text_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Per text column: gaps, amount marks and the share of rows that are numbers.
 
-    Ties go to the layout listed first.
+    A table without rows has no profile rows.
     """
-    records = []
-    rows = F.count(F.lit(1))
-    for seq, name in enumerate(text_columns(df) if columns is None else columns):
-        text = trim_text(column(name))
-        best = F.greatest(
-            *[
-                F.struct(
-                    F.count(parse_date(text, layout)).alias("hits"),
-                    F.lit(-rank).alias("rank"),
-                    F.lit(layout).alias("layout"),
-                )
-                for rank, layout in enumerate(LAYOUTS)
-            ]
-        )
-        share = F.try_divide(best["hits"], rows)
-        records.append(
-            {
-                "seq": F.lit(seq),
-                "column": F.lit(name),
-                "n_rows": rows,
-                "layout": F.when(best["hits"] > 0, best["layout"]),
-                "n_dates": best["hits"],
-                "date_share": share,
-                "becomes_date": F.coalesce(share > DATE_SHARE, F.lit(False)),
-            }
-        )
-    return rows_from_aggregates(
-        df,
-        records,
-        "seq int, column string, n_rows bigint, layout string, n_dates bigint,"
-        " date_share double, becomes_date boolean",
-    )
+    names = text_columns(df) if columns is None else columns
+    return _profile(df, names, number_facts(), TEXT_PROFILE)
+
+
+def date_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Per text column: the date layout with most hits and its share of all rows."""
+    names = text_columns(df) if columns is None else columns
+    return _profile(df, names, date_facts(), DATE_PROFILE)
 
 
 @dataclass(frozen=True)
@@ -183,28 +196,18 @@ def column_roles(df: DataFrame) -> DataFrame:
     A text column is numeric or date when enough of its rows parse; the date role
     goes only to the first such column, and only without a native date column.
     """
-    rows = F.count(F.lit(1))
-    free = F.lit(not date_columns(df))
-    records = []
-    for seq, field in enumerate(df.schema):
-        role = F.lit(role_of(field.dataType))
-        if role_of(field.dataType) == TEXT:
-            text = trim_text(column(field.name))
-            is_number = F.coalesce(
-                F.try_divide(F.count(number(drop_marks(text))), rows) > NUMERIC_SHARE, F.lit(False)
-            )
-            hits = F.greatest(*[F.count(parse_date(text, layout)) for layout in LAYOUTS])
-            is_date = ~is_number & F.coalesce(F.try_divide(hits, rows) > DATE_SHARE, F.lit(False))
-            role = F.when(is_number, "numeric").when(is_date & free, "date").otherwise(role)
-            free = free & ~is_date
-        records.append(
-            {
-                "seq": F.lit(seq),
-                "column": F.lit(field.name),
-                "data_type": F.lit(field.dataType.simpleString()),
-                "role": role,
-            }
-        )
-    return rows_from_aggregates(
-        df, records, "seq int, column string, data_type string, role string"
+    roles = {field.name: role_of(field.dataType) for field in df.schema}
+    facts = _profile(
+        df, text_columns(df), number_facts() | date_facts(), f"{TEXT_PROFILE}, becomes_date boolean"
+    ).orderBy("seq").select("column", "becomes_numeric", "becomes_date").collect()
+    roles.update({fact["column"]: NUMERIC for fact in facts if fact["becomes_numeric"]})
+    dates = [f["column"] for f in facts if f["becomes_date"] and not f["becomes_numeric"]]
+    if dates and not date_columns(df):
+        roles[dates[0]] = DATE
+    return df.sparkSession.createDataFrame(
+        [
+            (seq, field.name, field.dataType.simpleString(), roles[field.name])
+            for seq, field in enumerate(df.schema)
+        ],
+        "seq int, column string, data_type string, role string",
     )

@@ -16,7 +16,7 @@ from chartloom.functions.numbers import nan_to_null, number
 from chartloom.functions.text import column, drop_marks, trim_text
 from chartloom.operators.impute import filled_number, filled_text, mode_values
 from chartloom.operators.median import exact_medians
-from chartloom.operators.profile import record_array, text_records
+from chartloom.operators.profile import text_profile
 from chartloom.operators.roles import numeric_columns, text_columns
 
 REPORT_SCHEMA = "seq int, action string, column string, n_changed bigint, fill_value string, message string"
@@ -34,22 +34,23 @@ class TextFacts:
     becomes_numeric: bool
 
 
-def profile_table(df: DataFrame) -> tuple[int, list[TextFacts], dict[str, int]]:
-    """Row count, facts of the text columns and nulls of the numeric ones: one job."""
-    numeric = numeric_columns(df)
+def text_facts(df: DataFrame) -> list[TextFacts]:
+    """Facts of all text columns, in schema order."""
+    fields = ("n_null", "n_trimmed", "has_marks", "n_numeric", "becomes_numeric")
+    return [
+        TextFacts(row["column"], *(row[f] for f in fields))
+        for row in text_profile(df).orderBy("seq").collect()
+    ]
+
+
+def number_gaps(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """Row count, and nulls of the numeric columns."""
+    names = numeric_columns(df)
     row = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        record_array(text_records(df)).alias("texts"),
-        *[F.count_if(column(name).isNull()).alias(f"n{i}") for i, name in enumerate(numeric)],
+        *[F.count_if(column(name).isNull()).alias(f"n{i}") for i, name in enumerate(names)],
     ).first()
-    facts = [
-        TextFacts(
-            text["column"],
-            *(text[f] for f in ("n_null", "n_trimmed", "has_marks", "n_numeric", "becomes_numeric")),
-        )
-        for text in row["texts"]
-    ]
-    return row["n_rows"], facts, {name: row[f"n{i}"] for i, name in enumerate(numeric)}
+    return row["n_rows"], {name: row[f"n{i}"] for i, name in enumerate(names)}
 
 
 def retype_text(df: DataFrame, facts: list[TextFacts], strip_all: bool = False) -> DataFrame:
@@ -71,7 +72,7 @@ def retype_text(df: DataFrame, facts: list[TextFacts], strip_all: bool = False)
 
 def convert_text(df: DataFrame, strip_all: bool = False) -> DataFrame:
     """Profile, then :func:`retype_text`: the cleaning without the filling."""
-    return retype_text(df, profile_table(df)[1], strip_all)
+    return retype_text(df, text_facts(df), strip_all)
 
 
 def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -81,7 +82,8 @@ def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataF
     gaps become doubles, since a median need not be whole.
     """
     df = nan_to_null(df)
-    rows, facts, nulls = profile_table(df)
+    facts = text_facts(df)
+    rows, nulls = number_gaps(df)
     for fact in facts:
         nulls[fact.name] = rows - fact.n_numeric if fact.becomes_numeric else fact.n_null
     typed = retype_text(df, facts, strip_all)

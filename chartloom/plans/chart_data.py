@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.numbers import nan_to_null
@@ -92,29 +92,46 @@ def chart_data(
     data, date = with_date_column(data)
     colour = columns.pop("colour", None)
     chosen = replace(choose_columns(data, date), **columns)
+    days, ends = _extents(data, chosen)
     built: dict[str, DataFrame] = {}
     if chosen.kpis:
         built["kpis"] = charts.kpi_totals(data, chosen.kpis)
     if chosen.date and chosen.trend:
-        built["trend"] = charts.trend_auto(data, chosen.date, chosen.trend)
+        built["trend"] = charts.trend_auto(data, chosen.date, chosen.trend, days)
     elif chosen.bar:
         built["bar"] = charts.top_n_with_other(data, chosen.bar, charts.BAR_VALUES)
     if chosen.share:
         built["share"] = charts.category_share(data, chosen.share)
     if chosen.histogram:
-        built["histogram"] = charts.histogram(data, chosen.histogram, bins)
+        built["histogram"] = charts.histogram(
+            data, chosen.histogram, bins, ends[chosen.histogram]
+        )
     if chosen.correlation:
         built["correlation"] = charts.correlation_matrix(data, chosen.correlation)
     if chosen.scatter_x and chosen.scatter_y:
-        built["scatter_grid"] = charts.scatter_grid(
-            data, chosen.scatter_x, chosen.scatter_y, colour, grid
-        )
-        built["scatter"] = charts.scatter_points(
-            data, chosen.scatter_x, chosen.scatter_y, colour
-        )
+        x, y = chosen.scatter_x, chosen.scatter_y
+        built["scatter_grid"] = charts.scatter_grid(data, x, y, colour, grid, [ends[x], ends[y]])
+        built["scatter"] = charts.scatter_points(data, x, y, colour)
     return built
 
 
+def _extents(data: DataFrame, chosen: ChartColumns) -> tuple[Column | None, dict[str, charts.Bounds]]:
+    """Days spanned by the dates and ends of the binned columns, in one pass for all charts."""
+    measured = (chosen.histogram, chosen.scatter_x, chosen.scatter_y)
+    binned = list(dict.fromkeys(name for name in measured if name))
+    facts = charts.end_aggregates(binned)
+    if chosen.date:
+        facts.append(charts.days_spanned(chosen.date).alias("days"))
+    if not facts:
+        return None, {}
+    row = data.agg(*facts).first()
+    ends = {
+        name: charts.Bounds(*(F.lit(row[f"{end}{i}"]).cast("double") for end in ("low", "high")))
+        for i, name in enumerate(binned)
+    }
+    return (F.lit(row["days"]).cast("bigint") if chosen.date else None), ends
+
+
 # Chart -> (series, label, value) of its long form.
 _LONG_FORM = {
     "kpis": ("column", "display", "total"),

@@ -123,7 +123,12 @@ def workbooks(df: DataFrame, key: str) -> DataFrame:
         return pd.DataFrame({"path": [f"part-{part}.xlsx"], "content": [content]})
 
     ranged = df.withColumn("part", F.floor(F.col(key) / RECORDS_PER_DOCUMENT))
-    return ranged.groupBy("part").applyInPandas(build, "path string, content binary")
+    return spread(ranged, "part").groupBy("part").applyInPandas(build, "path string, content binary")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """One partition per core: little data, but much work per row."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def run_id() -> str:
