@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from chartloom.functions.dates import LAYOUTS, parse_date
 from chartloom.functions.numbers import NUMBER_TEXT
 from chartloom.functions.text import column, drop_marks, trim_text
+from chartloom.operators.frequency import sketched_distinct
 from chartloom.operators.roles import DATE, NUMERIC, date_columns, role_of, text_columns
 
 # A text column is retyped when more than this share of all rows parses.
@@ -173,21 +174,25 @@ class DateColumn:
 
 def find_date_column(df: DataFrame) -> DateColumn | None:
     """First native date column, else the first text column that mostly parses."""
-    native = date_columns(df)
+    return dates_and_sketch(df)[0]
+
+
+def dates_and_sketch(df: DataFrame) -> tuple[DateColumn | None, dict[str, int]]:
+    """The date column, and approximate distinct counts of the text columns: one pass."""
+    names, native = text_columns(df), date_columns(df)
     if native:
-        return DateColumn(native[0])
-    found = date_profile(df).where("becomes_date").orderBy("seq").limit(1).collect()
-    return DateColumn(found[0]["column"], found[0]["layout"]) if found else None
-
-
-def with_date_column(df: DataFrame) -> tuple[DataFrame, str | None]:
-    """Find the date column and retype it if it is text."""
-    found = find_date_column(df)
-    if found is None:
-        return df, None
-    if found.layout is not None:
-        df = df.withColumn(found.name, found.expression())
-    return df, found.name
+        return DateColumn(native[0]), sketched_distinct(df, names)
+    facts = date_facts() | {"n_distinct": F.approx_count_distinct("value")}
+    rows = _profile(df, names, facts, f"{DATE_PROFILE}, n_distinct bigint").orderBy("seq").collect()
+    dates = [DateColumn(row["column"], row["layout"]) for row in rows if row["becomes_date"]]
+    return (dates or [None])[0], {row["column"]: row["n_distinct"] for row in rows}
+
+
+def with_date_column(df: DataFrame, found: DateColumn | None) -> DataFrame:
+    """Retype the date column if it is text."""
+    if found is None or found.layout is None:
+        return df
+    return df.withColumn(found.name, found.expression())
 
 
 def column_roles(df: DataFrame) -> DataFrame:

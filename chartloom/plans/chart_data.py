@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -9,11 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.numbers import nan_to_null
+from chartloom.functions.text import column
 from chartloom.operators import charts
 from chartloom.operators.frequency import low_cardinality
-from chartloom.operators.profile import with_date_column
+from chartloom.operators.profile import dates_and_sketch, with_date_column
 from chartloom.operators.roles import numeric_columns, text_columns, trend_measure
 from chartloom.plans.auto_clean import auto_clean
+from chartloom.plans.staging import staged
 
 # A column suits a bar chart or colours with more than one and fewer
 # than this many values, a share chart with fewer than this many.
@@ -36,6 +39,12 @@ class ChartColumns:
     scatter_y: str | None = None
     colours: list[str] = field(default_factory=list)
 
+    def used(self) -> list[str]:
+        """Every column that a chart needs, once."""
+        single = (self.date, self.trend, self.bar, self.share, self.histogram)
+        names = [*self.kpis, *self.correlation, *single, self.scatter_x, self.scatter_y]
+        return list(dict.fromkeys(name for name in names if name))
+
 
 def _first_between(columns: list[str], distinct: dict[str, int], limit: int) -> str | None:
     suited = [name for name in columns if 1 < distinct.get(name, limit) < limit]
@@ -49,10 +58,15 @@ def colour_candidates(df: DataFrame, columns: list[str] | None = None) -> list[s
     return [name for name in names if distinct.get(name, 0) > 1]
 
 
-def choose_columns(df: DataFrame, date: str | None = None) -> ChartColumns:
-    """Defaults for every chart. The date column must already have a date type."""
+def choose_columns(
+    df: DataFrame, date: str | None = None, sketch: dict[str, int] | None = None
+) -> ChartColumns:
+    """Defaults for every chart. The date column must already have a date type.
+
+    ``sketch`` holds approximate distinct counts, if they are known already.
+    """
     numeric, categorical = numeric_columns(df), text_columns(df)
-    distinct = low_cardinality(df, categorical, BAR_LIMIT)
+    distinct = low_cardinality(df, categorical, BAR_LIMIT, sketch)
     follow = bool(date and numeric)
     two = len(numeric) >= 2
     return ChartColumns(
@@ -71,8 +85,8 @@ def choose_columns(df: DataFrame, date: str | None = None) -> ChartColumns:
 
 def default_columns(df: DataFrame) -> DataFrame:
     """The choices as rows ``(chart, column)``, one row per single-column chart."""
-    dated, date = with_date_column(df)
-    chosen = choose_columns(dated, date)
+    found, sketch = dates_and_sketch(df)
+    chosen = choose_columns(with_date_column(df, found), found and found.name, sketch)
     single = ("date", "trend", "bar", "share", "histogram", "scatter_x", "scatter_y")
     return df.sparkSession.createDataFrame(
         [(chart, getattr(chosen, chart)) for chart in single], "chart string, column string"
@@ -80,18 +94,34 @@ def default_columns(df: DataFrame) -> DataFrame:
 
 
 def chart_data(
-    df: DataFrame, clean: bool = True, bins: int = 20, grid: int = 50, **columns
+    df: DataFrame,
+    clean: bool = True,
+    bins: int = 20,
+    grid: int = 50,
+    stage: bool | None = None,
+    **columns,
 ) -> dict[str, DataFrame]:
     """Chart name -> data, on the cleaned table or (``clean=False``) on the raw one.
 
     Keyword arguments named like the fields of :class:`ChartColumns` replace a
     default; ``colour`` names the colour column of the scatter plot. Each chart
     scans only the columns it needs.
+
+    ``stage`` writes the columns that the charts use to the shared folder first. By
+    default that happens when text had to be parsed or trimmed for them, work that
+    every chart would repeat otherwise.
     """
+    raw_types = dict(df.dtypes)
     data = auto_clean(df)[0] if clean else nan_to_null(df)
-    data, date = with_date_column(data)
+    found, sketch = dates_and_sketch(data)
+    data = with_date_column(data, found)
     colour = columns.pop("colour", None)
-    chosen = replace(choose_columns(data, date), **columns)
+    chosen = replace(choose_columns(data, found and found.name, sketch), **columns)
+    used = chosen.used() + ([colour] if colour and colour not in chosen.used() else [])
+    if stage is None:
+        stage = any(raw_types[name] == "string" != kind for name, kind in data.select(*[column(name) for name in used]).dtypes)
+    if stage:
+        data = staged(data.select(*[column(name) for name in used]), f"charts-{uuid.uuid4().hex}")
     days, ends = _extents(data, chosen)
     built: dict[str, DataFrame] = {}
     if chosen.kpis:

@@ -32,10 +32,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write the table below the shared folder and return a scan of it."""
-    path = f"{shared_folder(df.sparkSession)}/{name}"
+    """Write the table below the shared folder and return a scan of it.
+
+    The folder goes away when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

@@ -12,6 +12,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from functools import cache
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -31,13 +32,18 @@ CELL_SCHEMA = (
 )
 
 
-def _column_index(reference: str) -> int:
+@cache
+def _letters_index(letters: str) -> int:
     index = 0
-    for letter in re.match(r"[A-Z]+", reference).group():
+    for letter in letters:
         index = index * 26 + ord(letter) - 64
     return index - 1
 
 
+def _column_index(reference: str) -> int:
+    return _letters_index(reference.rstrip("0123456789"))
+
+
 def _text(node: ElementTree.Element) -> str:
     return "".join(part.text or "" for part in node.iter(f"{MAIN}t"))
 

@@ -289,7 +289,7 @@ def median_narrowed(spark, sf_dir):
     """The same medians by narrowing, as for columns too large for one buffer."""
     lineitem = table(spark, sf_dir, "lineitem")
     names = [name for name, kind in lineitem.dtypes if kind in ("double", "int", "bigint")]
-    medians = median.exact_medians(lineitem, names, buffer_values=40_000)
+    medians = median.exact_medians(lineitem, names, buffer_values=400_000)
     return rounded(spark.createDataFrame(list(medians.items()), "column string, median double"))
 
 
