@@ -62,29 +62,20 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
     )
 
 
-def sketched_distinct(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Approximate distinct counts of all columns: one scan, no shuffle of values."""
+def low_cardinality(df: DataFrame, columns: list[str], below: int) -> dict[str, int]:
+    """Exact distinct count of the columns with fewer than ``below`` values.
+
+    A sketch of every column comes first, in one scan and without a shuffle of values.
+    Below its counting threshold a sketch cannot report more values than there are
+    (beyond rounding), so a column it puts above the limit is out for certain. Only
+    the rest, whose value sets are tiny, are counted exactly.
+    """
     if not columns:
         return {}
-    row = df.agg(
+    sketch = df.agg(
         *[F.approx_count_distinct(column(name)).alias(f"d{i}") for i, name in enumerate(columns)]
     ).first()
-    return {name: row[f"d{i}"] for i, name in enumerate(columns)}
-
-
-def low_cardinality(
-    df: DataFrame, columns: list[str], below: int, sketch: dict[str, int] | None = None
-) -> dict[str, int]:
-    """Exact distinct count of the columns with fewer than ``below`` values.
-
-    A sketch of every column comes first. Below its counting threshold a sketch cannot
-    report more values than there are (beyond rounding), so a column it puts above the
-    limit is out for certain. Only the rest, whose value sets are tiny, are counted
-    exactly.
-    """
-    if sketch is None:
-        sketch = sketched_distinct(df, columns)
-    candidates = [name for name in columns if sketch.get(name, 0) <= below]
+    candidates = [name for i, name in enumerate(columns) if sketch[f"d{i}"] <= below]
     if not candidates:
         return {}
     exact = {r["column"]: r["n_distinct"] for r in distinct_counts(df, candidates).collect()}

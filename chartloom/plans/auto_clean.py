@@ -88,8 +88,8 @@ def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataF
         nulls[fact.name] = rows - fact.n_numeric if fact.becomes_numeric else fact.n_null
     typed = retype_text(df, facts, strip_all)
 
-    numeric_gaps = [n for n in numeric_columns(typed) if 0 < nulls[n] < rows]
-    text_gaps = [n for n in text_columns(typed) if 0 < nulls[n] < rows]
+    numeric_gaps = [n for n in numeric_columns(typed) if 0 < nulls.get(n, 0) < rows]
+    text_gaps = [n for n in text_columns(typed) if 0 < nulls.get(n, 0) < rows]
     medians = exact_medians(typed, numeric_gaps, {n: rows - nulls[n] for n in numeric_gaps})
     modes = mode_values(typed, text_gaps)
     fills = {n: filled_number(n, medians[n]) for n in numeric_gaps}

@@ -13,7 +13,7 @@ from chartloom.functions.numbers import nan_to_null
 from chartloom.functions.text import column
 from chartloom.operators import charts
 from chartloom.operators.frequency import low_cardinality
-from chartloom.operators.profile import dates_and_sketch, with_date_column
+from chartloom.operators.profile import find_date_column, with_date_column
 from chartloom.operators.roles import numeric_columns, text_columns, trend_measure
 from chartloom.plans.auto_clean import auto_clean
 from chartloom.plans.staging import staged
@@ -58,15 +58,10 @@ def colour_candidates(df: DataFrame, columns: list[str] | None = None) -> list[s
     return [name for name in names if distinct.get(name, 0) > 1]
 
 
-def choose_columns(
-    df: DataFrame, date: str | None = None, sketch: dict[str, int] | None = None
-) -> ChartColumns:
-    """Defaults for every chart. The date column must already have a date type.
-
-    ``sketch`` holds approximate distinct counts, if they are known already.
-    """
+def choose_columns(df: DataFrame, date: str | None = None) -> ChartColumns:
+    """Defaults for every chart. The date column must already have a date type."""
     numeric, categorical = numeric_columns(df), text_columns(df)
-    distinct = low_cardinality(df, categorical, BAR_LIMIT, sketch)
+    distinct = low_cardinality(df, categorical, BAR_LIMIT)
     follow = bool(date and numeric)
     two = len(numeric) >= 2
     return ChartColumns(
@@ -85,8 +80,8 @@ def choose_columns(
 
 def default_columns(df: DataFrame) -> DataFrame:
     """The choices as rows ``(chart, column)``, one row per single-column chart."""
-    found, sketch = dates_and_sketch(df)
-    chosen = choose_columns(with_date_column(df, found), found and found.name, sketch)
+    found = find_date_column(df)
+    chosen = choose_columns(with_date_column(df, found), found and found.name)
     single = ("date", "trend", "bar", "share", "histogram", "scatter_x", "scatter_y")
     return df.sparkSession.createDataFrame(
         [(chart, getattr(chosen, chart)) for chart in single], "chart string, column string"
@@ -113,10 +108,10 @@ def chart_data(
     """
     raw_types = dict(df.dtypes)
     data = auto_clean(df)[0] if clean else nan_to_null(df)
-    found, sketch = dates_and_sketch(data)
+    found = find_date_column(data)
     data = with_date_column(data, found)
     colour = columns.pop("colour", None)
-    chosen = replace(choose_columns(data, found and found.name, sketch), **columns)
+    chosen = replace(choose_columns(data, found and found.name), **columns)
     used = chosen.used() + ([colour] if colour and colour not in chosen.used() else [])
     if stage is None:
         stage = any(raw_types[name] == "string" != kind for name, kind in data.select(*[column(name) for name in used]).dtypes)
