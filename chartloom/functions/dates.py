@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,14 +23,35 @@ GRAIN_SPANS = {"year": 730, "month": 90, "week": 7}
 GRAINS = (*GRAIN_SPANS, "day")
 
 
+def _parsed(text: Column, layout: str) -> Column:
+    pattern = LAYOUTS[layout][1]
+    if pattern is None:
+        return text.try_cast("timestamp_ntz")
+    return F.try_to_date(text, pattern).cast("timestamp_ntz")
+
+
 def parse_date(text: Column, layout: str) -> Column:
     """Text in the given layout, as a timestamp without time zone; else null."""
-    shape, pattern = LAYOUTS[layout]
-    if pattern is None:
-        parsed = text.try_cast("timestamp_ntz")
-    else:
-        parsed = F.try_to_date(text, pattern).cast("timestamp_ntz")
-    return F.when(text.rlike(shape), parsed)
+    return F.when(text.rlike(LAYOUTS[layout][0]), _parsed(text, layout))
+
+
+def layout_of(text: Column) -> Column:
+    """Name of the one layout whose shape the text has, else null.
+
+    A single test of all shapes comes first, as most text is no date.
+    """
+    any_shape = "|".join(shape for shape, _ in LAYOUTS.values())
+    named = reduce(
+        lambda chain, layout: chain.when(text.rlike(LAYOUTS[layout][0]), layout), LAYOUTS, F
+    )
+    return F.when(text.rlike(any_shape), named)
+
+
+def parse_by_layout(text: Column, layout: Column) -> Column:
+    """Text parsed by the layout that the other column names."""
+    return reduce(
+        lambda chain, name: chain.when(layout == name, _parsed(text, name)), LAYOUTS, F
+    )
 
 
 def span_days(first: Column, last: Column) -> Column:

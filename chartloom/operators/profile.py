@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.functions.dates import LAYOUTS, parse_date
+from chartloom.functions.dates import LAYOUTS, layout_of, parse_by_layout, parse_date
 from chartloom.functions.numbers import NUMBER_TEXT
 from chartloom.functions.text import column, drop_marks, trim_text
 from chartloom.operators.roles import DATE, NUMERIC, date_columns, role_of, text_columns
@@ -70,9 +70,11 @@ def missing_cells(df: DataFrame) -> DataFrame:
 
 
 def long_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Every cell of the columns as ``(seq, column, value, text, bare)``.
+    """Every cell of the columns as ``(seq, column, value, text, bare, layout, moment)``.
 
-    ``text`` is the trimmed value, ``bare`` the same without amount marks.
+    ``text`` is the trimmed value, ``bare`` the same without amount marks, ``layout``
+    the date layout it has the shape of, ``moment`` the date it holds in that layout.
+    What a caller leaves out is not computed.
     """
     place = F.array_position(F.array(*[F.lit(name) for name in columns]), F.col("column"))
     text = trim_text(F.col("value"))
@@ -80,7 +82,8 @@ def long_text(df: DataFrame, columns: list[str]) -> DataFrame:
         df.select(*[column(name) for name in columns])
         .unpivot([], [column(name) for name in columns], "column", "value")
         .select((place - 1).cast("int").alias("seq"), "column", "value", text.alias("text"))
-        .withColumn("bare", drop_marks(F.col("text")))
+        .withColumns({"bare": drop_marks(F.col("text")), "layout": layout_of(F.col("text"))})
+        .withColumn("moment", parse_by_layout(F.col("text"), F.col("layout")))
     )
 
 
@@ -109,7 +112,7 @@ def date_facts() -> dict[str, Column]:
     best = F.greatest(
         *[
             F.struct(
-                F.count(parse_date(F.col("text"), layout)).alias("hits"),
+                F.count(F.when(F.col("layout") == layout, F.col("moment"))).alias("hits"),
                 F.lit(-rank).alias("rank"),
                 F.lit(layout).alias("layout"),
             )

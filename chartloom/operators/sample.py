@@ -20,7 +20,8 @@ OVERSAMPLE = 1.2
 PREVIEW_ROWS = 5
 
 HASH_DIGITS = 15  # leading hexadecimal digits of the hash that are read as a number
-CROWDED = 4  # kept rows per wanted row from which the hash is taken to repeat
+# More kept rows than this, absolutely and per wanted row, and the hash must repeat.
+CROWDED, FEW_ROWS = 4, 10_000
 
 
 def sampling_fraction(total: int, n: int = SAMPLE_ROWS) -> float:
@@ -91,7 +92,7 @@ def exact_sample(
         near = hashed.where(F.col(hash_name) < f"{1 << bits:0{HASH_DIGITS}x}")
     if kept == n:
         return near.drop(hash_name)
-    if kept <= CROWDED * n:
+    if kept <= max(CROWDED * n, FEW_ROWS):
         order = [hash_name] if key is None else [hash_name, key]
         return near.orderBy(*[column(c) for c in order]).limit(n).drop(hash_name)
     if key is not None:

@@ -31,8 +31,7 @@ def process_file(
     fmt: str | None = None,
 ) -> str:
     """Read, clean, sample and write; returns the folder that holds the CSV file."""
-    table = read_table(spark, source, fmt, typed=False)
-    sample = clean_and_sample(table, n, seed, key)
-    if sample.isEmpty():
+    cleaned = clean_prices(read_table(spark, source, fmt, typed=False))
+    if cleaned.isEmpty():
         raise EmptyResultError(f"{source}: no row is left after cleaning")
-    return write_sample_csv(sample, target)
+    return write_sample_csv(exact_sample(cleaned, n, seed, key), target)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,31 +18,36 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"chartloom-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors see, below the checkpoint folder of the session.
+    """This application's folder, below the checkpoint folder of the session.
 
-    Only a local session may go without the setting; it then gets a temporary folder.
+    It goes away with everything in it when the application ends. Only a local session
+    may go without the setting; it then gets a temporary folder.
     """
+    application = spark.sparkContext.applicationId
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="chartloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/chartloom/{spark.sparkContext.applicationId}"
+        root = _local_folder(application)
+    path = f"{root.rstrip('/')}/chartloom/{application}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.mkdirs(folder)
+    file_system.deleteOnExit(folder)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write the table below the shared folder and return a scan of it.
-
-    The folder goes away when the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}"
+    """Write the table below the shared folder and return a scan of it."""
+    path = f"{shared_folder(df.sparkSession)}/{name}"
     df.write.mode("overwrite").parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the file format: name spaces, date number formats, day zero.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+ROW, VALUE = f"{MAIN}row", f"{MAIN}v"
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 DAY_ZERO = datetime(1899, 12, 30)
@@ -82,17 +83,19 @@ def _cell(node: ElementTree.Element, strings: list[str], dates: set[int]) -> tup
     kind = node.get("t", "n")
     if kind == "inlineStr":
         return "text", _text(node)
-    value = node.findtext(f"{MAIN}v")
+    value = next((child.text for child in node if child.tag == VALUE), None)
     if value is None or kind == "e":
         return None
+    if kind == "n":
+        if dates and int(node.get("s", -1)) in dates:
+            moment = DAY_ZERO + timedelta(microseconds=round(float(value) * 86_400_000_000))
+            return "date", moment.isoformat(" ")
+        return "number", value
     if kind == "s":
         return "text", strings[int(value)]
     if kind == "b":
         return "truth", "true" if value == "1" else "false"
-    if kind == "n" and int(node.get("s", -1)) in dates:
-        moment = DAY_ZERO + timedelta(microseconds=round(float(value) * 86_400_000_000))
-        return "date", moment.isoformat(" ")
-    return ("number", value) if kind == "n" else ("text", value)
+    return "text", value
 
 
 def workbook_rows(content: bytes) -> Iterator[tuple[list, list, list]]:
@@ -102,11 +105,11 @@ def workbook_rows(content: bytes) -> Iterator[tuple[list, list, list]]:
         header: dict[int, str] = {}
         with book.open(_first_sheet(book)) as sheet:
             for _, node in ElementTree.iterparse(sheet):
-                if node.tag != f"{MAIN}row":
+                if node.tag != ROW:
                     continue
                 cells = {
                     _column_index(cell.get("r")): found
-                    for cell in node.iter(f"{MAIN}c")
+                    for cell in node
                     if (found := _cell(cell, strings, dates)) is not None
                 }
                 node.clear()

@@ -14,6 +14,7 @@ from chartloom.plans.clean_sample import EmptyResultError, process_file
 from chartloom.plans.staging import reused, staged
 from chartloom.sources.json_documents import read_column_documents
 from chartloom.sources.readers import read_table
+from chartloom.streaming.prices import write_clean_prices
 from workload.files import workbook_bytes
 
 
@@ -155,6 +156,22 @@ def test_price_cleaning_of_numbers_drops_nan(spark):
     assert [tuple(r) for r in clean_prices(rows).collect()] == [(1.0, 2.0, 3.0)]
 
 
+def test_stream_goes_on_where_it_stopped(spark, tmp_path):
+    schema = "actual_price string, selling_price string, average_rating string"
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+
+    def run():
+        rows = spark.readStream.schema(schema).option("header", True).csv(str(source))
+        write_clean_prices(rows, str(target), str(tmp_path / "state")).awaitTermination()
+        return sorted(r["actual_price"] for r in spark.read.parquet(str(target)).collect())
+
+    put(source, "one.csv", "a,s,r\n$1,2,3\nN/A,2,3\n")
+    assert run() == [1.0]
+    put(source, "two.csv", "a,s,r\n₹4,5,6\n")
+    assert run() == [1.0, 4.0]
+
+
 def test_staged_and_reused(spark):
     assert staged(spark.range(5), "test_staged").count() == 5
     with reused(spark.range(5)) as rows:
