@@ -184,13 +184,24 @@ def _tighten(values: DataFrame, searches: list[_Search], room: int) -> None:
 
 
 def _look_up(values: DataFrame, searches: list[_Search]) -> None:
-    """One pass that sorts the few values inside each bracket and picks the ranks."""
-    if not searches:
+    """Sort the few values inside each bracket and pick the ranks."""
+    whole = [s for s in searches if s.low is None and s.high is None]
+    if whole:
+        names = list({search.name: None for search in whole})
+        row = (
+            values.agg(
+                *[F.sort_array(F.collect_list(column(n))).alias(f"v{i}") for i, n in enumerate(names)]
+            )
+            .select(*[F.get(f"v{names.index(s.name)}", F.lit(s.rank)) for s in whole])
+            .first()
+        )
+        for search, answer in zip(whole, row):
+            search.answer = answer
+    bounded = [s for s in searches if s.answer is None]
+    if not bounded:
         return
-    brackets = list({search.bracket: None for search in searches})
-    ranks = [
-        [s.rank - s.below for s in searches if s.bracket == bracket] for bracket in brackets
-    ]
+    brackets = list({search.bracket: None for search in bounded})
+    ranks = [[s.rank - s.below for s in bounded if s.bracket == bracket] for bracket in brackets]
     wanted = F.get(F.array(*[F.array(*[F.lit(r) for r in rs]) for rs in ranks]), F.col("bracket"))
     found = (
         _bracketed(values, brackets)
@@ -201,6 +212,6 @@ def _look_up(values: DataFrame, searches: list[_Search]) -> None:
         .collect()
     )
     for row in found:
-        same = [s for s in searches if s.bracket == brackets[row["bracket"]]]
+        same = [s for s in bounded if s.bracket == brackets[row["bracket"]]]
         for search, answer in zip(same, row["answers"]):
             search.answer = answer
