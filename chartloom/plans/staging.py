@@ -7,35 +7,30 @@ columnar, pruned by later passes, and still there when an executor is lost.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"chartloom-{application}-")
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder, below the checkpoint folder of the session.
 
-    It goes away with everything in it when the application ends. Only a local session
-    may go without the setting; it then gets a temporary folder.
+    The folder is the one set as ``spark.checkpoint.dir`` or by ``setCheckpointDir``, else
+    the warehouse, which every executor reaches too. It goes away with everything in it
+    when the application ends.
     """
-    application = spark.sparkContext.applicationId
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        root = _local_folder(application)
-    path = f"{root.rstrip('/')}/chartloom/{application}"
+    context = spark.sparkContext
+    root = (
+        spark.conf.get(CHECKPOINT_DIR, None)
+        or context.getCheckpointDir()
+        or spark.conf.get(WAREHOUSE_DIR)
+    )
+    path = f"{root.rstrip('/')}/chartloom/{context.applicationId}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     file_system.mkdirs(folder)
