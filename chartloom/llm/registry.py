@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chartloom.llm.chat import OP1_SQL, op1_chat
+from chartloom.llm.decontamination import OP8_SQL, op8_decontamination
 from chartloom.llm.line_rules import OP5_SQL, op5_line_rules
 from chartloom.llm.mixing import OP2_SQL, op2_mixing
 from chartloom.llm.sharding import op3_sharding
@@ -12,5 +13,6 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_sharding": op3_sharding,
     "op5_line_rules": op5_line_rules,
+    "op8_decontamination": op8_decontamination,
 }
-ORACLES = {"op1_chat": OP1_SQL, "op2_mixing": OP2_SQL, "op5_line_rules": OP5_SQL}
+ORACLES = {"op1_chat": OP1_SQL, "op2_mixing": OP2_SQL, "op5_line_rules": OP5_SQL, "op8_decontamination": OP8_SQL}
