@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.llm.common import bounded_broadcast, hash_number, stage, table, unit_hash
 
@@ -54,7 +55,7 @@ def repetition_rates(weighted: DataFrame, epochs: float = EPOCHS) -> DataFrame:
     return weighted.select("__source", (F.lit(wanted) * F.col("weight") / F.col("size")).alias("rate"))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def poisson_steps(means: pd.Series) -> pd.Series:
     """Values of the distribution function, from 0 copies on until a double cannot tell it from 1."""
 

@@ -34,7 +34,7 @@ BUCKET_BYTES = 16 << 20  # what a task holds at a time
 def jump_shard(key: Column, shards: int) -> Column:
     """The shard of a 64-bit hash: with one more shard, rows move into that one only."""
 
-    @F.pandas_udf("int")
+    @F.pandas_udf(T.IntegerType())
     def jump(hashes: pd.Series) -> pd.Series:
         state = hashes.to_numpy(dtype=np.int64).view(np.uint64).copy()
         home = np.full(len(state), -1, dtype=np.int64)
