@@ -16,6 +16,8 @@ table gives an empty result; input columns named like the added ones, in any cas
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,10 @@ MAX_REPEATED_PERCENT = 20
 MAX_LOST_PERCENT = 33  # of a document's words
 SHORT_LINE_WORDS = 4  # a line up to this long with no sentence end looks like navigation
 MAX_SYMBOL_PERCENT = 5  # of a line's characters
+LINE_END = 12  # characters in which a sentence end and closing marks are looked for
+MAX_BOILERPLATE_CHARS = 200  # longer lines are prose
 ENDS_SENTENCE = r"[.!?:;…。！？][\"'’”»)\]\s]*$"
+MENU_MARK = r"[|»›>•·]"
 MENU_MARKS = r"(^|\s)[|»›>•·](\s|$)"
 BOILERPLATE = (
     r"(?i)(all rights reserved|terms (of (use|service)|and conditions)|privacy policy|cookie|"
@@ -42,52 +47,66 @@ BOILERPLATE = (
 )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def repeated_windows_words(words: Column) -> Column:
     """Words that lie in a five-word window found twice or more in the same text.
 
-    The starts of repeated windows are the neighbours with equal hash once (hash, start)
-    pairs are sorted; each start covers the words up to the next start, at most five.
+    Each window's hash has its lowest bits replaced by the window's place, as many as places
+    need: sorted as plain numbers, repeated windows are neighbours that agree in the rest
+    (55 bits for 500 words). Each such window covers the words up to the next one, at most five.
     """
+    count = F.size(words) - (WINDOW - 1)
+    places = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(count.cast("long"))))
 
     def window_hash(i: Column) -> Column:
         return F.xxhash64(*[F.get(words, i + step) for step in range(WINDOW)])
 
-    count = F.size(words) - (WINDOW - 1)
-    starts = F.sequence(F.lit(0), count - 1)
-    hashes = F.transform(starts, window_hash)
-    pairs = F.sort_array(F.transform(starts, lambda i: F.struct(window_hash(i).alias("h"), i.alias("at"))))
-
-    def in_order(sorted_pairs: Column) -> Column:
-        none = F.struct(F.lit(None).cast("long").alias("h"), F.lit(None).cast("int").alias("at"))
-        before = F.concat(F.array(none), sorted_pairs)
-        after = F.concat(F.slice(sorted_pairs, 2, count), F.array(none))
-        neighbours = F.arrays_zip(before.alias("b"), sorted_pairs.alias("p"), after.alias("a"))
-        kept = F.filter(neighbours, lambda z: (z["p"]["h"] == z["b"]["h"]) | (z["p"]["h"] == z["a"]["h"]))
-        return F.sort_array(F.transform(kept, lambda z: z["p"]["at"]))
-
-    begins = in_order(pairs)
-    covered = F.aggregate(
-        begins,
-        F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
-        lambda seen, at: F.struct(
-            (seen["n"] + F.least(at - seen["last"], F.lit(WINDOW))).alias("n"), at.alias("last")
-        ),
-        lambda seen: seen["n"],
-    )
-    any_twice = F.size(F.array_distinct(hashes)) < count
-    return F.when(F.size(words) <= WINDOW, F.lit(0)).when(any_twice, covered).otherwise(F.lit(0))
+    def repeats(keys: Column, unit: Column) -> Column:
+        def agrees(key: Column, other: Column) -> Column:
+            return F.coalesce(key.bitwiseAND(-unit) == other.bitwiseAND(-unit), F.lit(False))
+
+        twice = F.filter(
+            keys, lambda key, i: agrees(key, F.get(keys, i + 1)) | ((i > 0) & agrees(key, F.get(keys, i - 1)))
+        )
+        return F.sort_array(F.transform(twice, lambda key: key.bitwiseAND(unit - 1)))
+
+    def covered(begins: Column) -> Column:
+        return F.aggregate(
+            begins,
+            F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).cast("long").alias("last")),
+            lambda seen, at: F.struct(
+                (seen["n"] + F.least(at - seen["last"], F.lit(WINDOW).cast("long"))).alias("n"), at.alias("last")
+            ),
+            lambda seen: seen["n"],
+        )
+
+    def of(hashes: Column) -> Column:
+        def sorted_keys(unit: Column) -> Column:
+            keys = F.sort_array(F.transform(hashes, lambda h, i: h.bitwiseAND(-unit).bitwiseOR(i.cast("long"))))
+            return bound(keys, lambda k: covered(repeats(k, unit)))
+
+        once = F.size(F.array_distinct(hashes)) == F.size(hashes)
+        return F.when(once, F.lit(0).cast("long")).otherwise(bound(places, sorted_keys))
+
+    windows = F.transform(F.sequence(F.lit(0), count - 1), window_hash)
+    return F.when(F.size(words) <= WINDOW, F.lit(0).cast("long")).otherwise(bound(windows, of))
 
 
 def line_fails(line: Column) -> Column:
-    """True for a line with words that breaks one of the rules."""
+    """True for a line with words that breaks one of the rules; cheap tests come first."""
     n_words = F.size(F.split(F.btrim(line), r"\s+"))
-    symbols = F.length(line) - F.length(F.regexp_replace(line, SYMBOLS, ""))
-    bare = ~F.rlike(line, F.lit(ENDS_SENTENCE))
+    symbols = F.length(line) - F.length(F.regexp_replace(line, SYMBOLS + "+", ""))
+    bare = ~F.rlike(F.substring(line, -LINE_END, LINE_END), F.lit(ENDS_SENTENCE))
+    short = F.length(line) <= MAX_BOILERPLATE_CHARS
     return F.rlike(line, F.lit(HAS_WORD)) & (
         (bare & (n_words <= SHORT_LINE_WORDS))
         | (symbols * 100 > F.length(line) * MAX_SYMBOL_PERCENT)
-        | F.rlike(line, F.lit(MENU_MARKS))
-        | F.rlike(line, F.lit(BOILERPLATE))
+        | (F.rlike(line, F.lit(MENU_MARK)) & F.rlike(line, F.lit(MENU_MARKS)))
+        | (short & F.rlike(line, F.lit(BOILERPLATE)))
     )
 
 
@@ -98,18 +117,20 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     n_lines, n_bad_lines, n_lost_words, cleaned_text and kept.
     """
     added = (
-        "words lines bad_lines n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed"
+        "words lines judged n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed"
         " n_lines n_bad_lines n_lost_words cleaned_text kept"
     ).split()
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added])
     names = [F.col(f"`{c}`") for c in docs.columns]
     content = F.coalesce(F.col(text), F.lit(""))
     wordy = F.filter(F.col("lines"), lambda line: F.rlike(line, F.lit(HAS_WORD)))
-    lost = F.array_join(F.col("bad_lines"), "\n")
+    bad = F.filter(F.col("judged"), lambda j: j["bad"])
+    lost = F.array_join(F.transform(bad, lambda j: j["line"]), "\n")
+    left = F.transform(F.filter(F.col("judged"), lambda j: ~j["bad"]), lambda j: j["line"])
     counted = (
         docs.withColumn("words", words_by_space(F.col(text)))
         .withColumn("lines", F.split(content, "\n"))
-        .withColumn("bad_lines", F.filter("lines", line_fails))
+        .withColumn("judged", F.transform("lines", lambda line: F.struct(line.alias("line"), line_fails(line).alias("bad"))))
         .select(
             *names,
             F.size("words").cast("long").alias("n_words"),
@@ -118,11 +139,9 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
             (F.size(wordy) - F.size(F.array_distinct(wordy))).cast("long").alias("n_dup_lines"),
             repeated_windows_words(F.col("words")).cast("long").alias("n_repeat_words"),
             F.size("lines").cast("long").alias("n_lines"),
-            F.size("bad_lines").cast("long").alias("n_bad_lines"),
+            F.size(bad).cast("long").alias("n_bad_lines"),
             F.size(words_by_space(lost)).cast("long").alias("n_lost_words"),
-            F.when(
-                F.col(text).isNotNull(), F.array_join(F.filter("lines", lambda line: ~line_fails(line)), "\n")
-            ).alias("cleaned_text"),
+            F.when(F.col(text).isNotNull(), F.array_join(left, "\n")).alias("cleaned_text"),
         )
     )
     failed = (F.col("n_words") < MIN_WORDS) | (
@@ -157,11 +176,11 @@ covered as (
 judged as (
     select *, list_filter(ls, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) wordy,
         list_transform(ls, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]') and (
-            (not regexp_matches(l, '[.!?:;\x{{2026}}\x{{3002}}\x{{FF01}}\x{{FF1F}}]["''\x{{2019}}\x{{201D}}\x{{00BB}})\]\s]*$')
+            (not regexp_matches(right(l, 12), '[.!?:;\x{{2026}}\x{{3002}}\x{{FF01}}\x{{FF1F}}]["''\x{{2019}}\x{{201D}}\x{{00BB}})\]\s]*$')
                 and len(regexp_extract_all(trim(l), '[^\x20\x09-\x0D]+')) <= {SHORT_LINE_WORDS})
             or (length(l) - length(regexp_replace(l, '[#*$%&|<>]', '', 'g'))) * 100 > length(l) * {MAX_SYMBOL_PERCENT}
             or regexp_matches(l, '(^|\s)[|\x{{00BB}}\x{{203A}}>\x{{2022}}\x{{00B7}}](\s|$)')
-            or regexp_matches(l, '{_BOILERPLATE_SQL}'))) bad
+            or (length(l) <= {MAX_BOILERPLATE_CHARS} and regexp_matches(l, '{_BOILERPLATE_SQL}')))) bad
     from worded),
 counted as (
     select j.doc_id, len(ws)::bigint n_words, length(array_to_string(ws, ''))::bigint word_chars,

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from chartloom.llm.chat import OP1_SQL, op1_chat
 from chartloom.llm.decontamination import OP8_SQL, op8_decontamination
+from chartloom.llm.html_text import op7_html_text
 from chartloom.llm.line_rules import OP5_SQL, op5_line_rules
 from chartloom.llm.mixing import OP2_SQL, op2_mixing
 from chartloom.llm.sharding import op3_sharding
+from chartloom.llm.toxicity import op4_toxicity
 
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_mixing": op2_mixing,
     "op3_sharding": op3_sharding,
+    "op4_toxicity": op4_toxicity,
     "op5_line_rules": op5_line_rules,
+    "op7_html_text": op7_html_text,
     "op8_decontamination": op8_decontamination,
 }
 ORACLES = {"op1_chat": OP1_SQL, "op2_mixing": OP2_SQL, "op5_line_rules": OP5_SQL, "op8_decontamination": OP8_SQL}
