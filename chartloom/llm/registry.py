@@ -7,6 +7,7 @@ from chartloom.llm.decontamination import OP8_SQL, op8_decontamination
 from chartloom.llm.html_text import op7_html_text
 from chartloom.llm.line_rules import OP5_SQL, op5_line_rules
 from chartloom.llm.mixing import OP2_SQL, op2_mixing
+from chartloom.llm.ngram_join import OP9_SQL, op9_ngram_join
 from chartloom.llm.sharding import op3_sharding
 from chartloom.llm.toxicity import op4_toxicity
 
@@ -18,5 +19,9 @@ QUERIES = {
     "op5_line_rules": op5_line_rules,
     "op7_html_text": op7_html_text,
     "op8_decontamination": op8_decontamination,
+    "op9_ngram_join": op9_ngram_join,
+}
+ORACLES = {
+    "op1_chat": OP1_SQL, "op2_mixing": OP2_SQL, "op5_line_rules": OP5_SQL, "op8_decontamination": OP8_SQL,
+    "op9_ngram_join": OP9_SQL,
 }
-ORACLES = {"op1_chat": OP1_SQL, "op2_mixing": OP2_SQL, "op5_line_rules": OP5_SQL, "op8_decontamination": OP8_SQL}
