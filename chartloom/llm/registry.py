@@ -6,6 +6,7 @@ from chartloom.llm.chat import OP1_SQL, op1_chat
 from chartloom.llm.decontamination import OP8_SQL, op8_decontamination
 from chartloom.llm.html_text import op7_html_text
 from chartloom.llm.line_rules import OP5_SQL, op5_line_rules
+from chartloom.llm.line_runs import OP10_SQL, op10_line_dedup
 from chartloom.llm.mixing import OP2_SQL, op2_mixing
 from chartloom.llm.ngram_join import OP9_SQL, op9_ngram_join
 from chartloom.llm.sharding import op3_sharding
@@ -20,8 +21,10 @@ QUERIES = {
     "op7_html_text": op7_html_text,
     "op8_decontamination": op8_decontamination,
     "op9_ngram_join": op9_ngram_join,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {
     "op1_chat": OP1_SQL, "op2_mixing": OP2_SQL, "op5_line_rules": OP5_SQL, "op8_decontamination": OP8_SQL,
     "op9_ngram_join": OP9_SQL,
+    "op10_line_dedup": OP10_SQL,
 }
