@@ -7,6 +7,7 @@ from chartloom.llm.decontamination import OP8_SQL, op8_decontamination
 from chartloom.llm.html_text import op7_html_text
 from chartloom.llm.line_rules import OP5_SQL, op5_line_rules
 from chartloom.llm.line_runs import OP10_SQL, op10_line_dedup
+from chartloom.llm.lm_scoring import op6_lm_scoring
 from chartloom.llm.mixing import OP2_SQL, op2_mixing
 from chartloom.llm.ngram_join import OP9_SQL, op9_ngram_join
 from chartloom.llm.sharding import op3_sharding
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_toxicity": op4_toxicity,
     "op5_line_rules": op5_line_rules,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_html_text": op7_html_text,
     "op8_decontamination": op8_decontamination,
     "op9_ngram_join": op9_ngram_join,

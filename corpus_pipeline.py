@@ -5,8 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chartloom.llm.common import stage, table
+from chartloom.llm.decontamination import without_contaminated
 from chartloom.llm.mixing import mix_tempered
+from chartloom.llm.ngram_join import one_of_each_component
 from chartloom.llm.sharding import shard
+from chartloom.llm.toxicity import without_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not take for toxic."""
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that n-gram links connect: the one with the least id."""
+    return one_of_each_component(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the share of benchmark text that makes them contaminated."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +37,13 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard(docs).select(*docs.columns, "shard", "slot")
 
 
-STAGES = [("mixing", mixing), ("sharding", sharding)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
+]
 
 #: Trained scores and hashed permutations have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
