@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def every(names: list[str]) -> list[Column]:
+    """Columns by their exact names, dots and all."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """A copy in the shared folder that later passes scan: the lineage ends here."""
     return staged(df, f"{name}-{uuid.uuid4().hex}")

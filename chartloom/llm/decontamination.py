@@ -89,6 +89,10 @@ def item_windows(items: DataFrame, counts: DataFrame, size: int = WINDOW_WORDS)
             F.slice(F.sort_array("frame"), 1, RAREST).alias("anchors"),
         )
         .where(F.col("anchors")[0]["n"] > 0)
+        # One window for each phrase of an item: repeats inside it would only find the same places.
+        .withColumn("place", F.row_number().over(Window.partitionBy("item", "phrase").orderBy("start")))
+        .where("place = 1")
+        .drop("place")
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.llm.common import table
+from chartloom.llm.common import every, table
 
 # Fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -181,7 +181,7 @@ def _main_text(pages: pd.Series) -> pd.Series:
 
 def extract_main_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` with the columns text and n_chars (code points)."""
-    kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("text", "n_chars")]
+    kept = every([c for c in pages.columns if c.lower() not in ("text", "n_chars")])
     content = F.coalesce(F.col(html).cast("string"), F.lit(""))
     return pages.select(*kept, _main_text(content).alias("text")).withColumn(
         "n_chars", F.char_length("text").cast("long")

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import table, words_by_space
+from chartloom.llm.common import every, table, words_by_space
 
 # Fixed values
 SYMBOLS = r"[#*$%&|<>]"
@@ -120,8 +120,8 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
         "words lines judged n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed"
         " n_lines n_bad_lines n_lost_words cleaned_text kept"
     ).split()
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added])
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    docs = docs.select(*every([c for c in docs.columns if c.lower() not in added]))
+    names = every(docs.columns)
     content = F.coalesce(F.col(text), F.lit(""))
     wordy = F.filter(F.col("lines"), lambda line: F.rlike(line, F.lit(HAS_WORD)))
     bad = F.filter(F.col("judged"), lambda j: j["bad"])

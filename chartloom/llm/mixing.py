@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.llm.common import bounded_broadcast, hash_number, stage, table, unit_hash
+from chartloom.llm.common import bounded_broadcast, every, hash_number, stage, table, unit_hash
 
 SEED = 7
 TEMPERATURE = 0.5  # a source's weight is its size to this power
@@ -95,7 +95,7 @@ def mix(
     each partition.
     """
     added = {"copy", "copies", "shuffle_key", "__source", "rate", "pieces", "steps", "__digest"}
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added])
+    docs = docs.select(*every([c for c in docs.columns if c.lower() not in added]))
     names = docs.columns
     pieces = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
     table_of_steps = rates.where("rate > 0").select(
@@ -109,7 +109,7 @@ def mix(
         poisson_copies(F.col("steps"), F.col("pieces"), seed, F.col(key), F.col("__digest")),
     )
     exploded = counted.where("copies > 0").select(
-        *[F.col(f"`{c}`") for c in names],
+        *every(names),
         "__digest",
         "copies",
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import bounded_broadcast, stage, table
+from chartloom.llm.common import bounded_broadcast, every, stage, table
 from chartloom.llm.components import connected_components
 
 # Fixed values
@@ -299,9 +299,8 @@ def one_of_each_component(docs: DataFrame) -> DataFrame:
     repeated = bounded_broadcast(repeated)
     single = kept.join(repeated, F.col("doc_id") == F.col("__doc"), "left_anti")
     several = kept.join(repeated, F.col("doc_id") == F.col("__doc"), "left_semi")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    first = several.groupBy("doc_id").agg(F.min(whole).alias("row")).select("row.*")
-    return single.unionByName(first.select(*docs.columns))
+    first = several.groupBy("doc_id").agg(F.min(F.struct(*every(docs.columns))).alias("row")).select("row.*")
+    return single.unionByName(first)
 
 
 #: All pairs of different sets that share a shingle, and their closure.

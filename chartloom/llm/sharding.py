@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.llm.common import bounded_broadcast, stage, table
+from chartloom.llm.common import bounded_broadcast, every, stage, table
 
 SHARDS = 24
 SEED = 20240229
@@ -75,12 +75,12 @@ def _numbered(docs: DataFrame, key: str, limit: int) -> DataFrame:
         return docs.withColumn("__copy", F.lit(0).cast("long"))
     crowded = bounded_broadcast(crowded)
     keyed = docs.withColumn("__key", text_key)
-    few = keyed.join(crowded, "__key", "left_anti").select(*names, F.lit(0).cast("long").alias("__copy"))
+    few = keyed.join(crowded, "__key", "left_anti").select(*every(names), F.lit(0).cast("long").alias("__copy"))
     many = (
         keyed.join(crowded, "__key", "left_semi")
-        .groupBy(*names)
+        .groupBy(*every(names))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*names, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("__copy"))
+        .select(*every(names), F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("__copy"))
     )
     return few.unionByName(many)
 
@@ -114,7 +114,7 @@ def shard(
     case, are left out of the result. The number of buckets follows from the bytes.
     """
     taken = {"shard", "slot", "bucket", "place", "__order", "__copy", "__key", "__n"}
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
+    docs = docs.select(*every([c for c in docs.columns if c.lower() not in taken]))
     total, rows = docs.agg(
         F.coalesce(F.sum(utf8_size(text)), F.lit(0)), F.count(F.lit(1))
     ).first()
@@ -122,7 +122,7 @@ def shard(
     buckets = int(shards * per_shard)
     limit = max(1, rows // buckets)
     numbered = _numbered(docs, key, limit)
-    identity = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns], F.col("__copy"))
+    identity = F.xxhash64(F.lit(seed), *every(docs.columns), F.col("__copy"))
     spread = F.pmod(F.xxhash64(identity, F.lit("bucket")), F.lit(per_shard))
     placed = (
         numbered.withColumn("shard", jump_shard(key_hash(key, seed), shards))

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.llm.common import stage, table
+from chartloom.llm.common import every, stage, table
 
 # Fixed values
 FOLDS, HELD_OUT = 5, 0
@@ -298,7 +298,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -
     def score(texts: pd.Series) -> pd.Series:
         return texts.map(model.score, na_action=None).astype("float64")
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")]
+    kept = every([c for c in docs.columns if c.lower() not in ("score", "predicted")])
     scored = docs.select(*kept, score(F.coalesce(F.col(text), F.lit(""))).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 

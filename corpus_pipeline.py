@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm.common import stage, table
+from chartloom.llm.common import every, stage, table
 from chartloom.llm.decontamination import without_contaminated
 from chartloom.llm.mixing import mix_tempered
 from chartloom.llm.ngram_join import one_of_each_component
@@ -29,12 +29,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target weight asks for."""
-    return mix_tempered(docs).select(*docs.columns)
+    return mix_tempered(docs).select(*every(docs.columns))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with their shard and their place in it."""
-    return shard(docs).select(*docs.columns, "shard", "slot")
+    return shard(docs).select(*every(docs.columns), "shard", "slot")
 
 
 STAGES = [
