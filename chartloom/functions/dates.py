@@ -15,6 +15,10 @@ LAYOUTS = {
     "slashed": (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
     "month_name": (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
     "compact": (r"^\d{8}$", "yyyyMMdd"),
+    "slashed_time": (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?$", "M/d/yyyy H:mm[:ss]"),
+    "year_first": (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    "day_month": (r"^\d{1,2}-[A-Z][a-z]{2}-\d{4}$", "d-MMM-yyyy"),
+    "full_month": (r"^(January|February|March|April|May|June|July|August|September|October|November|December) \d{1,2}, \d{4}$", "MMMM d, yyyy"),
 }
 # Grain -> spans of more than this many whole days use it; coarsest first.
 GRAIN_SPANS = {"year": 730, "month": 90, "week": 7}
@@ -27,6 +31,10 @@ def _parsed(text: Column, layout: str) -> Column:
     pattern = LAYOUTS[layout][1]
     if pattern is None:
         return text.try_cast("timestamp_ntz")
+    if "H" in pattern:
+        # Date and time apart: no time zone, whatever the session's, can shift the clock.
+        day = F.try_to_date(F.substring_index(text, " ", 1), pattern.split(" ")[0]).cast("string")
+        return F.concat_ws(" ", day, F.lpad(F.substring_index(text, " ", -1), 8, "0")).try_cast("timestamp_ntz")
     return F.try_to_date(text, pattern).cast("timestamp_ntz")
 
 

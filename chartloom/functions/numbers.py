@@ -13,6 +13,10 @@ from chartloom.functions.text import column
 NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
 
 
+# The spelling of a whole number.
+WHOLE_TEXT = r"^\s*[+-]?\d+\s*$"
+
+
 def amount(text: Column) -> Column:
     """Text that Spark can cast to double, as a double; anything else is null."""
     return F.trim(text).try_cast("double")

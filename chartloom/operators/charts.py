@@ -6,10 +6,12 @@ scalar subqueries: one row each, evaluated once before the main stage, no join.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations_with_replacement
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ BAR_VALUES = 15
 SHARE_VALUES = 10
 OTHER_LABEL = "Other"
 
-PAIRS_PER_PASS = 200
+ROUNDING = 1e-12  # of a sum of squares: what is below counts as no spread
 
 
 # Totals ------------------------------------------------------------------------
@@ -191,62 +193,71 @@ def histogram(df: DataFrame, name: str, bins: int = 20, ends: Bounds | None = No
 # Relations ---------------------------------------------------------------------
 
 
-def _measured_pairs(doubles: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Correlation of each pair over the rows where both values exist, in one pass.
+SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy", "bad")
 
-    Each row becomes one small row per pair of columns, which the map side folds at
-    once into one group per pair; the plan does not grow with the pairs.
+
+def _pair_sums(shift: np.ndarray):
+    """Sums of every pair of columns over the rows where both exist, for one task.
+
+    Values are shifted by a constant near them, so that squares lose no digits. Matrix
+    products of values and their masks give all pairs of a batch at once.
     """
-    entries = [
-        F.struct(
-            F.lit(i).alias("pair"),
-            F.when(column(y).isNotNull(), column(x)).alias("a"),
-            F.when(column(x).isNotNull(), column(y)).alias("b"),
-        )
-        for i, (x, y) in enumerate(pairs)
-    ]
-    names = F.get(
-        F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs]), F.col("pair")
-    )
-    spread = F.stddev_pop("a") * F.stddev_pop("b")
-    r = without_nan(F.try_divide(F.covar_pop("a", "b"), spread))
-    return (
-        doubles.select(F.explode(F.array(*entries)).alias("entry"))
-        .select("entry.*")
-        .groupBy("pair")
-        .agg(r.alias("r"), F.count("a").alias("n"))
-        .select(names.alias("name"), "r", "n")
-        .select(
-            "name.*", F.when(F.col("name.x") != F.col("name.y"), F.col("r")).otherwise(
-                F.when(F.col("r").isNotNull(), 1.0)
-            ).alias("r"), "n",
-        )
-    )
+    width = len(shift)
+    one, other = np.triu_indices(width)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = {name: np.zeros((width, width)) for name in SUMS}
+        for batch in batches:
+            values = batch.to_numpy(dtype=float) - shift
+            infinite = np.isinf(values)
+            there = (~np.isnan(values)).astype(float)
+            values = np.where(np.isfinite(values), values, 0.0)
+            mixed, squared = values.T @ there, (values * values).T @ there
+            endless = infinite.T.astype(float) @ there
+            found = (there.T @ there, mixed, mixed.T, squared, squared.T, values.T @ values, endless + endless.T)
+            for name, matrix in zip(SUMS, found):
+                total[name] += matrix
+        yield pd.DataFrame({"i": one, "j": other} | {name: total[name][one, other] for name in SUMS})
+
+    return sums
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Every cell ``(col_x, col_y, r, n)`` of the correlation matrix.
+    """Every cell ``(col_x, col_y, r, n)`` of the correlation matrix, in one scan.
 
-    ``r`` is null where it is undefined: a constant column, or fewer than two rows.
-    A wide table is measured a fixed number of pairs per pass.
+    ``r`` is null where it is undefined: a constant column, an infinite value, or fewer
+    than two rows. Each task hands on one row of sums for each pair of columns.
     """
     names = numeric_columns(df) if columns is None else columns
     if not names:
         return df.sparkSession.createDataFrame([], "col_x string, col_y string, r double, n bigint")
-    pairs = list(combinations_with_replacement(names, 2))
-    doubles = df.select(*[as_double(name).alias(name) for name in names])
-    measured = reduce(
-        DataFrame.unionByName,
-        [
-            _measured_pairs(doubles, pairs[i : i + PAIRS_PER_PASS])
-            for i in range(0, len(pairs), PAIRS_PER_PASS)
-        ],
+    doubles = df.select(*[as_double(name).alias(f"c{i}") for i, name in enumerate(names)])
+    start = doubles.limit(100).toPandas().astype(float)
+    start = start.where(np.isfinite(start)).bfill()
+    shift = np.nan_to_num(start.iloc[0].to_numpy()) if len(start) else np.zeros(len(names))
+    schema = "i int, j int, " + ", ".join(f"{name} double" for name in SUMS)
+    summed = doubles.mapInPandas(_pair_sums(shift), schema).groupBy("i", "j").agg(
+        *[F.sum(name).alias(name) for name in SUMS]
+    )
+
+    def spread(total: str, squares: str) -> Column:
+        off = F.col(squares) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
+        return F.when(off > ROUNDING * F.col(squares), off)
+
+    together = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    r = together / F.sqrt(spread("sx", "sxx") * spread("sy", "syy"))
+    r = F.when(F.col("i") == F.col("j"), F.when(r.isNotNull(), 1.0)).otherwise(
+        F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+    )
+    measured = summed.select(
+        "i", "j", F.when((F.col("bad") == 0) & (F.col("n") > 1), r).alias("r"), F.col("n").cast("bigint").alias("n")
     )
-    one = F.struct("x", "y")
-    other = F.struct(F.col("y").alias("x"), F.col("x").alias("y"))
-    cells = F.when(F.col("x") == F.col("y"), F.array(one)).otherwise(F.array(one, other))
+    listed = F.array(*[F.lit(name) for name in names])
+    one = F.struct(F.col("i").alias("x"), F.col("j").alias("y"))
+    other = F.struct(F.col("j").alias("x"), F.col("i").alias("y"))
+    cells = F.when(F.col("i") == F.col("j"), F.array(one)).otherwise(F.array(one, other))
     return measured.select(F.explode(cells).alias("cell"), "r", "n").select(
-        F.col("cell.x").alias("col_x"), F.col("cell.y").alias("col_y"), "r", "n"
+        F.get(listed, F.col("cell.x")).alias("col_x"), F.get(listed, F.col("cell.y")).alias("col_y"), "r", "n"
     )
 
 
@@ -258,9 +269,10 @@ def scatter_points(
     n: int | None = None,
     seed: int = 0,
     key: str | None = None,
+    unique_key: bool = False,
 ) -> DataFrame:
     """One point per row; with ``n``, an exact sample of that many rows."""
-    rows = df if n is None else exact_sample(df, n, seed, key)
+    rows = df if n is None else exact_sample(df, n, seed, key, unique_key)
     points = [column(x).alias("x"), column(y).alias("y")]
     return rows.select(*points, *([column(colour).alias("colour")] if colour else []))
 

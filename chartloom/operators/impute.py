@@ -31,8 +31,15 @@ def mode_values(df: DataFrame, names: list[str]) -> dict[str, str]:
     return {r["column"]: r["value"] for r in modes(df, names).collect()} if names else {}
 
 
-def filled_number(name: str, median: float) -> Column:
-    """The column as double, gaps replaced by the median."""
+def filled_number(name: str, median: float, kind: T.DataType | None = None, long: bool = False) -> Column:
+    """The column with gaps replaced by the median, as double unless that would lose digits.
+
+    ``long`` whole numbers (``kind``) keep their type if the median is whole, and become
+    decimals if it is not.
+    """
+    if isinstance(kind, T.IntegralType) and long:
+        kept = "bigint" if float(median).is_integer() else "decimal(21,1)"
+        return F.coalesce(column(name).cast(kept), F.lit(repr(median)).cast("decimal(21,1)").cast(kept))
     return F.coalesce(as_double(name), F.lit(float(median)))
 
 

@@ -10,15 +10,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.functions.dates import LAYOUTS, layout_of, parse_by_layout, parse_date
-from chartloom.functions.numbers import NUMBER_TEXT
+from chartloom.functions.numbers import NUMBER_TEXT, WHOLE_TEXT, without_nan
 from chartloom.functions.text import column, drop_marks, trim_text
 from chartloom.operators.roles import DATE, NUMERIC, date_columns, role_of, text_columns
 
 # A text column is retyped when more than this share of all rows parses.
 NUMERIC_SHARE = 0.5
 DATE_SHARE = 0.7
+EXACT_DIGITS = 15  # that a double surely holds
 
 
 def record_array(records: list[dict[str, Column]]) -> Column:
@@ -40,28 +42,26 @@ def dataset_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
+def gap_places(df: DataFrame) -> Column:
+    """Places of the row's null or NaN cells, in one array: as wide as the table, not as deep."""
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    flags = [
+        F.when((without_nan(column(name)) if name in floats else column(name)).isNull(), seq)
+        for seq, name in enumerate(df.columns)
+    ]
+    return F.array_compact(F.array(*flags)) if flags else F.array().cast("array<int>")
+
+
 def null_counts(df: DataFrame) -> DataFrame:
-    """Nulls per column."""
-    return rows_from_aggregates(
-        df,
-        [
-            {
-                "seq": F.lit(seq),
-                "column": F.lit(name),
-                "n_null": F.count_if(column(name).isNull()),
-            }
-            for seq, name in enumerate(df.columns)
-        ],
-        "seq int, column string, n_null bigint",
-    )
+    """Nulls (and NaN) per column: one row for each gap is counted, by its column's place."""
+    names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "seq int, column string")
+    gaps = df.select(F.explode(gap_places(df)).alias("seq")).groupBy("seq").agg(F.count(F.lit(1)).alias("n_null"))
+    return names.join(gaps, "seq", "left").select("seq", "column", F.coalesce("n_null", F.lit(0)).alias("n_null"))
 
 
 def missing_cell_total(df: DataFrame) -> Column:
-    """Aggregate expression: null cells over all columns."""
-    total = F.lit(0).cast("bigint")
-    for name in df.columns:
-        total = total + F.count_if(column(name).isNull())
-    return total
+    """Aggregate expression: null and NaN cells over all columns."""
+    return F.coalesce(F.sum(F.size(gap_places(df)).cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def missing_cells(df: DataFrame) -> DataFrame:
@@ -95,6 +95,7 @@ def number_facts() -> dict[str, Column]:
     """
     text, bare, rows = F.col("text"), F.col("bare"), F.count(F.lit(1))
     n_numeric = F.count_if(bare.rlike(NUMBER_TEXT))
+    whole = bare.rlike(WHOLE_TEXT)
     return {
         "n_rows": rows,
         "n_null": F.count_if(text.isNull()),
@@ -103,6 +104,8 @@ def number_facts() -> dict[str, Column]:
         "n_numeric": n_numeric,
         "numeric_share": n_numeric / rows,
         "becomes_numeric": n_numeric / rows > NUMERIC_SHARE,
+        "n_whole": F.count_if(whole & bare.try_cast("bigint").isNotNull()),
+        "n_long": F.count_if(whole & (F.length(F.regexp_replace(bare, r"^\s*[+-]?0*|\s+$", "")) > EXACT_DIGITS)),
     }
 
 
@@ -130,7 +133,7 @@ def date_facts() -> dict[str, Column]:
 
 TEXT_PROFILE = (
     "seq int, column string, n_rows bigint, n_null bigint, n_trimmed bigint, has_marks boolean,"
-    " n_numeric bigint, numeric_share double, becomes_numeric boolean"
+    " n_numeric bigint, numeric_share double, becomes_numeric boolean, n_whole bigint, n_long bigint"
 )
 DATE_PROFILE = (
     "seq int, column string, n_rows bigint, layout string, n_dates bigint, date_share double,"

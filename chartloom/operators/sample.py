@@ -1,27 +1,30 @@
 """Sampling and previews.
 
-The exact sample orders rows by a hash of their key and takes the first ``n``. It is
-unbiased, repeats for a seed whatever the partitioning, and has exactly
-``min(n, rows)`` rows. Ordering the whole table would make every task hand ``n`` rows
-to one reducer, so one counting pass first finds a hash bound under which between
-``n`` and about ``2n`` rows lie; only those are ordered.
+The exact sample takes the ``n`` rows with the smallest hashes. It is unbiased, repeats for
+a seed whatever the partitioning, follows one rule at every size, and has exactly
+``min(n, rows)`` rows.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.functions.text import column
+from chartloom.plans.staging import staged
 
 # Fixed values
 SAMPLE_ROWS = 100_000
 OVERSAMPLE = 1.2
 PREVIEW_ROWS = 5
 
-HASH_DIGITS = 15  # leading hexadecimal digits of the hash that are read as a number
-# More kept rows than this, absolutely and per wanted row, and the hash must repeat.
-CROWDED, FEW_ROWS = 4, 10_000
+BERNOULLI_DIGITS = 13  # hexadecimal digits that a share is compared with
+
+HASH_LENGTH = 32  # hexadecimal digits of a hash
+DIGITS_A_PASS = 4
+NULL_KEY = "\u0000"  # no key reads like this
 
 
 def sampling_fraction(total: int, n: int = SAMPLE_ROWS) -> float:
@@ -38,9 +41,14 @@ def sample_fraction(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     )
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Keep each row with the given probability."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int, key: str | None = None) -> DataFrame:
+    """Keep each row with the given probability, decided by its hash: alike for any partitioning.
+
+    ``key`` names a unique column; without it the whole row is hashed, and equal rows stay
+    or go together.
+    """
+    digits = F.conv(F.substring(row_hash(df, seed, key), 1, BERNOULLI_DIGITS), 16, 10).cast("bigint")
+    return df.where(digits < F.lit(round(fraction * 16**BERNOULLI_DIGITS)))
 
 
 def preview(df: DataFrame, order_by: list[str] | None = None, n: int = PREVIEW_ROWS) -> DataFrame:
@@ -49,76 +57,65 @@ def preview(df: DataFrame, order_by: list[str] | None = None, n: int = PREVIEW_R
     return ordered.limit(n)
 
 
-def row_hash(df: DataFrame, seed: int, key: str | None) -> Column:
-    """Hash of the key, or of the whole row when there is none."""
-    if key is None:
-        identity = F.to_json(F.struct(*[column(c) for c in df.columns]), {"ignoreNullFields": "false"})
-    else:
-        identity = F.coalesce(column(key).cast("string"), F.lit(""))
-    return F.md5(F.concat(F.lit(f"{seed}:"), identity))
-
-
-def _hash_bits(hashed: Column) -> Column:
-    """Bit length of the leading digits; it halves the rows with each step down."""
-    return F.length(F.bin(F.conv(F.substring(hashed, 1, HASH_DIGITS), 16, 10).cast("bigint")))
+def row_hash(df: DataFrame, seed: int, key: str | None, unique_key: bool = True) -> Column:
+    """Hash of a unique key alone, or of the key (if any) and the whole row."""
+    parts = [F.lit(str(seed))]
+    if key is not None:
+        parts.append(F.coalesce(column(key).cast("string"), F.lit(NULL_KEY)))
+    if key is None or not unique_key:
+        parts.append(F.to_json(F.struct(*[column(c) for c in df.columns]), {"ignoreNullFields": "false"}))
+    return F.md5(F.concat_ws(":", *parts))
 
 
 def exact_sample(
-    df: DataFrame, n: int = SAMPLE_ROWS, seed: int = 0, key: str | None = None
+    df: DataFrame,
+    n: int = SAMPLE_ROWS,
+    seed: int = 0,
+    key: str | None = None,
+    unique_key: bool = False,
 ) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, drawn without bias.
-
-    ``key`` names a column whose values identify rows. Without one the whole row is
-    hashed. If the key turns out to repeat so much that the bound keeps far more rows
-    than wanted, the whole row is used as well.
-    """
-    hash_name = "__row_hash"
-    hashed = df.withColumn(hash_name, row_hash(df, seed, key))
-    steps = (
-        hashed.groupBy(_hash_bits(F.col(hash_name)).alias("bits"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("bits")
-        .collect()
-    )
-    kept, bits = 0, 0
-    for step in steps:
-        kept, bits = kept + step["n"], step["bits"]
-        if kept >= n:
-            break
-    if kept < n:
-        return df
-    near = hashed
-    if bits < 4 * HASH_DIGITS:
-        near = hashed.where(F.col(hash_name) < f"{1 << bits:0{HASH_DIGITS}x}")
-    if kept == n:
-        return near.drop(hash_name)
-    if kept <= max(CROWDED * n, FEW_ROWS):
-        order = [hash_name] if key is None else [hash_name, key]
-        return near.orderBy(*[column(c) for c in order]).limit(n).drop(hash_name)
-    if key is not None:
-        return exact_sample(df, n, seed)
-    return _first_copies(near, df.columns, hash_name, n)
-
-
-def _first_copies(near: DataFrame, columns: list[str], hash_name: str, n: int) -> DataFrame:
-    """First ``n`` rows by hash where single rows may have any number of copies.
-
-    Copies collapse to one counted row before anything is ordered, which leaves about
-    ``2n`` rows for the running total, and come back as far as they are wanted.
+    """Exactly ``min(n, rows)`` rows, drawn without bias: those with the smallest hashes.
+
+    Rows are hashed as a whole, together with ``key``; ``unique_key`` hashes the key alone,
+    which reads less. The n-th smallest hash is found digit by digit: a pass counts rows
+    by the next digits (65,536 counts at most), and every pass after the first works on a
+    stored copy of the few rows that can still be in the sample. Rows are then filtered by
+    that hash, so no task ever holds the sample. Equal rows share a hash: their copies come
+    back by number, as many as are wanted.
     """
-    counted = near.groupBy(*[column(c) for c in columns], hash_name).agg(
+    name = "__row_hash"
+    near = df.withColumn(name, row_hash(df, seed, key, unique_key))
+    known, before = "", 0
+    while len(known) < HASH_LENGTH:
+        digits = F.substring(name, len(known) + 1, DIGITS_A_PASS)
+        counts = near.where(column(name).startswith(known)).groupBy(digits.alias("digits")).count().collect()
+        for found in sorted(counts):
+            if before + found["count"] >= n:
+                break
+            before += found["count"]
+        else:
+            return df  # fewer rows than wanted, or as many
+        known += found["digits"]
+        bounded = near.where(F.substring(name, 1, len(known)) <= known)
+        if before + found["count"] == n:
+            return bounded.drop(name)
+        near = staged(bounded, f"sample-{uuid.uuid4().hex}") if len(known) == DIGITS_A_PASS else bounded
+    # More rows share the n-th hash than are wanted of them: count the copies, take the first.
+    copies = near.where(column(name) == known).groupBy(*[column(c) for c in df.columns]).agg(
         F.count(F.lit(1)).alias("__copies")
     )
+    whole = F.to_json(F.struct(*[column(c) for c in df.columns]))
     running = F.sum("__copies").over(
-        Window.orderBy(hash_name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.orderBy(F.md5(whole), whole).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    before = running - F.col("__copies")
-    return (
-        counted.withColumn("__wanted", F.least(F.col("__copies"), F.lit(n) - before))
-        .where(F.col("__wanted") > 0)
+    wanted = F.least(F.col("__copies"), F.lit(n - before) - (running - F.col("__copies")))
+    last = (
+        copies.withColumn("__wanted", wanted)
+        .where("__wanted > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__wanted")))
-        .select(*[column(c) for c in columns])
     )
+    names = [column(c) for c in df.columns]
+    return near.where(column(name) < known).select(*names).unionByName(last.select(*names))
 
 
 def partition_rows(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ have gaps. Only those per-column facts reach the driver.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,15 +32,26 @@ class TextFacts:
     has_marks: bool
     n_numeric: int
     becomes_numeric: bool
+    n_whole: int
+    n_long: int
+
+    @property
+    def is_whole(self) -> bool:
+        """All numbers are whole and fit: the column becomes a bigint."""
+        return self.becomes_numeric and self.n_whole == self.n_numeric
 
 
 def text_facts(df: DataFrame) -> list[TextFacts]:
     """Facts of all text columns, in schema order."""
-    fields = ("n_null", "n_trimmed", "has_marks", "n_numeric", "becomes_numeric")
-    return [
+    fields = ("n_null", "n_trimmed", "has_marks", "n_numeric", "becomes_numeric", "n_whole", "n_long")
+    found = [
         TextFacts(row["column"], *(row[f] for f in fields))
         for row in text_profile(df).orderBy("seq").collect()
     ]
+    # A double would make long whole numbers equal that are not: such text stays text.
+    return [
+        replace(f, becomes_numeric=False) if f.n_long and f.n_whole < f.n_numeric else f for f in found
+    ]
 
 
 def number_gaps(df: DataFrame) -> tuple[int, dict[str, int]]:
@@ -54,7 +65,7 @@ def number_gaps(df: DataFrame) -> tuple[int, dict[str, int]]:
 
 
 def retype_text(df: DataFrame, facts: list[TextFacts], strip_all: bool = False) -> DataFrame:
-    """Trim text columns and turn the numeric ones into doubles.
+    """Trim text columns and turn the numeric ones into whole numbers or doubles.
 
     Amount marks leave only the columns that become numbers. With ``strip_all`` they
     leave every column in which one occurs, converted or not.
@@ -63,7 +74,8 @@ def retype_text(df: DataFrame, facts: list[TextFacts], strip_all: bool = False)
     for fact in facts:
         text = trim_text(column(fact.name))
         if fact.becomes_numeric:
-            text = number(drop_marks(text))
+            text = drop_marks(text)
+            text = text.try_cast("bigint") if fact.is_whole else number(text)
         elif strip_all and fact.has_marks:
             text = drop_marks(text)
         changes[fact.name] = text
@@ -78,8 +90,9 @@ def convert_text(df: DataFrame, strip_all: bool = False) -> DataFrame:
 def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return the cleaned table and a report of what was changed.
 
-    Afterwards only columns without any value still have gaps. Integer columns with
-    gaps become doubles, since a median need not be whole.
+    Afterwards only columns without any value still have gaps. A whole-number column with
+    gaps becomes a double, since a median need not be whole; one of text with numbers too
+    long for that stays whole if the median is, else it becomes a decimal.
     """
     df = nan_to_null(df)
     facts = text_facts(df)
@@ -92,7 +105,8 @@ def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataF
     text_gaps = [n for n in text_columns(typed) if 0 < nulls.get(n, 0) < rows]
     medians = exact_medians(typed, numeric_gaps, {n: rows - nulls[n] for n in numeric_gaps})
     modes = mode_values(typed, text_gaps)
-    fills = {n: filled_number(n, medians[n]) for n in numeric_gaps}
+    long = {f.name for f in facts if f.n_long}
+    fills = {n: filled_number(n, medians[n], typed.schema[n].dataType, n in long) for n in numeric_gaps}
     fills.update({n: filled_text(n, modes[n]) for n in text_gaps})
     cleaned = typed.withColumns(fills) if fills else typed
 

@@ -15,10 +15,14 @@ class EmptyResultError(Exception):
 
 
 def clean_and_sample(
-    df: DataFrame, n: int = SAMPLE_ROWS, seed: int = 0, key: str | None = None
+    df: DataFrame,
+    n: int = SAMPLE_ROWS,
+    seed: int = 0,
+    key: str | None = None,
+    unique_key: bool = False,
 ) -> DataFrame:
     """Clean the prices where the columns exist and draw an exact sample."""
-    return exact_sample(clean_prices(df), n, seed, key)
+    return exact_sample(clean_prices(df), n, seed, key, unique_key)
 
 
 def process_file(
@@ -29,9 +33,10 @@ def process_file(
     seed: int = 0,
     key: str | None = None,
     fmt: str | None = None,
+    unique_key: bool = False,
 ) -> str:
     """Read, clean, sample and write; returns the folder that holds the CSV file."""
     cleaned = clean_prices(read_table(spark, source, fmt, typed=False))
     if cleaned.isEmpty():
         raise EmptyResultError(f"{source}: no row is left after cleaning")
-    return write_sample_csv(exact_sample(cleaned, n, seed, key), target)
+    return write_sample_csv(exact_sample(cleaned, n, seed, key, unique_key), target)

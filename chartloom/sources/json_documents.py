@@ -9,16 +9,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartloom.errors import UnreadableTableError
 from chartloom.functions.text import column
 from chartloom.sources.typed_csv import infer_types
 
 
 def read_record_documents(spark: SparkSession, path: str, schema=None, **options) -> DataFrame:
     """Files that each hold an array of objects; one row per object."""
-    reader = spark.read.options(**{"multiLine": "true", **options})
+    reader = spark.read.options(**{"multiLine": "true", "mode": "FAILFAST", **options})
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def json_layout(spark: SparkSession, path: str) -> str:
+    """``lines``, ``records`` or ``columns``, from the whole content of every file.
+
+    A file of several lines that are all objects holds lines. Other files are documents: an
+    array is ``records``; an object is ``columns`` if all its values are objects with the same
+    labels, else one line. Files that disagree, or fit nothing, raise an error.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
+        F.input_file_name().alias("document"),
+        (F.ltrim("value").startswith("{") & F.expr("try_parse_json(value)").isNotNull()).alias("is_object"),
+    )
+    files = lines.groupBy("document").agg(F.count(F.lit(1)).alias("n"), F.bool_and("is_object").alias("objects"))
+    labels = F.map_values(F.from_json("value", "map<string,map<string,string>>"))
+    alike = F.forall(F.transform(labels, lambda m: F.array_sort(F.map_keys(m))), lambda keys: keys == F.array_sort(F.map_keys(labels[0])))
+    named = F.map_values(F.from_json("value", "map<string,string>"))
+    nested = F.forall(named, lambda v: F.ltrim(v).startswith("{")) & (F.size(named) > 0)
+    fits = F.expr("try_parse_json(value)").isNotNull()
+    start = F.substring(F.ltrim("value"), 1, 1)
+    whole = spark.read.text(path, wholetext=True).select(
+        F.input_file_name().alias("document"),
+        F.when(fits & (start == "["), "records")
+        .when(fits & (start == "{") & nested & alike, "columns")
+        .when(fits & (start == "{"), "lines")
+        .alias("kind"),
+    )
+    lined = files.where("objects and n > 1").select("document", F.lit("lines").alias("kind"))
+    rest = files.where("not objects or n = 1").select("document")
+    kinds = lined.unionByName(whole.join(rest, "document", "left_semi")).groupBy("kind").agg(F.min("document").alias("document"))
+    found = {row["kind"]: row["document"] for row in kinds.collect()}
+    if None in found:
+        raise UnreadableTableError(f"{found[None]}: neither lines, records nor columns")
+    if len(found) > 1:
+        raise UnreadableTableError(f"{path}: files of different layouts: {found}")
+    return next(iter(found), "lines")
+
+
 def read_column_documents(
     spark: SparkSession, path: str, columns: list[str] | None = None
 ) -> DataFrame:
@@ -31,6 +68,9 @@ def read_column_documents(
         F.input_file_name().alias("document"),
         F.from_json("value", "map<string,map<string,string>>").alias("columns"),
     )
+    broken = documents.where("columns is null").select("document").first()
+    if broken:
+        raise UnreadableTableError(f"{broken['document']}: no object of columns")
     cells = documents.select(
         "document", F.explode("columns").alias("column", "cells")
     ).select("document", "column", F.explode("cells").alias("label", "value"))

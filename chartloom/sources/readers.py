@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.errors import MissingPathError, TableReadError, UnreadableTableError, UnsupportedFormatError
-from chartloom.sources.json_documents import read_column_documents, read_record_documents
-from chartloom.sources.typed_csv import CSV_QUOTING, read_typed_csv
-from chartloom.sources.workbooks import read_workbooks
+from chartloom.sources.json_documents import json_layout, read_column_documents, read_record_documents
+from chartloom.sources.typed_csv import csv_options, read_typed_csv
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -22,9 +21,9 @@ def read_parquet(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.options(**options).parquet(path)
 
 
-def read_csv_strings(spark: SparkSession, path: str, **options) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True, **options) -> DataFrame:
     """CSV with a header line; every column stays text."""
-    return spark.read.options(**{**CSV_QUOTING, **options}).csv(path, header=True, inferSchema=False)
+    return spark.read.options(**csv_options(multi_line, options)).csv(path, inferSchema=False)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema=None, **options) -> DataFrame:
@@ -42,10 +41,9 @@ def read_json_lines(spark: SparkSession, path: str, schema=None, **options) -> D
 def read_json(spark: SparkSession, path: str, orient: str | None = None, **options) -> DataFrame:
     """JSON in any of three layouts: ``lines``, ``records`` (an array) or ``columns``.
 
-    Without ``orient`` the start of the first file decides. Columns are recognised by
-    an inner object labelled with a number, as data frames are commonly written.
+    Without ``orient`` the whole content of all files decides, which costs a pass.
     """
-    orient = orient or _json_layout(spark, path)
+    orient = orient or json_layout(spark, path)
     if orient == "lines":
         return read_json_lines(spark, path, **options)
     if orient == "records":
@@ -55,26 +53,12 @@ def read_json(spark: SparkSession, path: str, orient: str | None = None, **optio
     raise UnsupportedFormatError(f"{path}: unknown JSON layout {orient!r}")
 
 
-def _json_layout(spark: SparkSession, path: str) -> str:
-    start = (
-        spark.read.text(path)
-        .where(F.trim("value") != "")
-        .select(F.substring(F.ltrim("value"), 1, 2000).alias("start"))
-        .head(5)
-    )
-    text = "".join(row["start"] for row in start)
-    if text.startswith("["):
-        return "records"
-    return "columns" if re.match(r'\{\s*"[^"]*"\s*:\s*\{\s*"\d+"\s*:', text) else "lines"
-
-
 _TYPED: dict[str, Callable[..., DataFrame]] = {
     "parquet": read_parquet,
     "csv": read_typed_csv,
     "json": read_json,
     "jsonl": read_json_lines,
     "ndjson": read_json_lines,
-    "xlsx": read_workbooks,
 }
 _UNTYPED = {**_TYPED, "csv": read_csv_strings}
 

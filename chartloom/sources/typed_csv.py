@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.functions.numbers import NUMBER_TEXT, number
+from chartloom.functions.numbers import NUMBER_TEXT, WHOLE_TEXT, number
 from chartloom.functions.text import column
 
 # Cells that mean "missing" in a typed CSV file.
@@ -24,13 +24,17 @@ TRUE_TEXT, FALSE_TEXT = ("True", "TRUE", "true"), ("False", "FALSE", "false")
 # Quotes inside quoted cells are doubled, as most writers do.
 CSV_QUOTING = {"quote": '"', "escape": '"'}
 
-INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
+def csv_options(multi_line: bool, options: dict) -> dict:
+    """Cells may hold line breaks, and a row with too few or too many cells stops the read."""
+    strict = {"multiLine": str(multi_line).lower(), "mode": "FAILFAST", "columnPruning": "false"}
+    return {**CSV_QUOTING, "header": "true", **strict, **options}
 
 
 def infer_types(df: DataFrame, null_markers: tuple[str, ...] = NULL_MARKERS) -> DataFrame:
     """Retype an all-text table: whole numbers, numbers, truth values, else text.
 
-    A column without any value becomes double, so that it counts as numeric.
+    A column without any value becomes double, so that it counts as numeric. Whole
+    numbers that no bigint holds stay text, since a double would make some of them equal.
     """
     cells = {
         name: F.when(~column(name).isin(*null_markers), column(name)) for name in df.columns
@@ -42,7 +46,8 @@ def infer_types(df: DataFrame, null_markers: tuple[str, ...] = NULL_MARKERS) ->
     for i, name in enumerate(df.columns):
         text = column(name)
         tests += [
-            F.bool_and(text.rlike(INTEGER_TEXT)).alias(f"integer{i}"),
+            F.bool_and(text.rlike(WHOLE_TEXT)).alias(f"integer{i}"),
+            F.bool_and(text.try_cast("bigint").isNotNull() | text.isNull()).alias(f"fits{i}"),
             F.bool_and(text.rlike(NUMBER_TEXT)).alias(f"number{i}"),
             F.bool_and(text.isin(*TRUE_TEXT, *FALSE_TEXT)).alias(f"truth{i}"),
         ]
@@ -50,7 +55,7 @@ def infer_types(df: DataFrame, null_markers: tuple[str, ...] = NULL_MARKERS) ->
     typed: list[Column] = []
     for i, (name, cell) in enumerate(cells.items()):
         if facts[f"integer{i}"]:
-            cell = cell.try_cast("bigint")
+            cell = F.trim(cell).try_cast("bigint") if facts[f"fits{i}"] else cell
         elif facts[f"number{i}"]:
             cell = number(cell)
         elif facts[f"truth{i}"]:
@@ -66,10 +71,15 @@ def read_typed_csv(
     path: str,
     schema=None,
     null_markers: tuple[str, ...] = NULL_MARKERS,
+    multi_line: bool = True,
     **options,
 ) -> DataFrame:
-    """CSV with header; a known ``schema`` saves the profile pass."""
-    reader = spark.read.options(**{**CSV_QUOTING, "header": "true", **options})
+    """CSV with header; a known ``schema`` saves the profile pass.
+
+    A file whose cells may hold line breaks is read by one task; ``multi_line=False``
+    splits large files without such cells.
+    """
+    reader = spark.read.options(**csv_options(multi_line, options))
     if schema is not None:
         return reader.schema(schema).csv(path)
     return infer_types(reader.csv(path, inferSchema=False), null_markers)

@@ -33,30 +33,30 @@ def test_draws_from_the_whole_table(spark):
     assert len(tenths) == 10 and min(tenths.values()) > 60
 
 
-@pytest.fixture
-def no_slack(monkeypatch):
-    """Treat any crowding as repeating hashes, so that small tables show the effect."""
-    monkeypatch.setattr(sample, "FEW_ROWS", 0)
-
-
-def test_hot_copies_are_drawn_with_multiplicity(spark, no_slack):
+def test_hot_copies_are_drawn_with_multiplicity(spark):
     rows = spark.range(9000).selectExpr("if(id < 6000, 0, id) as id", "map('k', 'v') as m")
-    hot = []
-    for seed in range(4):
+    for seed in range(3):
         drawn = sample.exact_sample(rows, 50, seed)
         assert drawn.count() == 50 and drawn.columns == ["id", "m"]
         assert keys(drawn) == keys(sample.exact_sample(rows.repartition(7), 50, seed))
-        hot.append(sum(value == 0 for value in keys(drawn)))
     whole = sample.exact_sample(rows, 8000, 1)
     assert 5000 <= sum(value == 0 for value in keys(whole)) <= 6000
     assert max(Counter(value for value in keys(whole) if value).values()) == 1
 
 
-def test_repeating_key_falls_back_to_whole_rows(spark, no_slack):
-    rows = spark.range(9000).selectExpr("if(id < 6000, 0, id) as key", "id")
-    for seed in range(3):
-        drawn = sample.exact_sample(rows, 50, seed, "key")
-        assert drawn.count() == 50 and len(set(keys(drawn))) == 50
+@pytest.mark.parametrize("total", [9_000, 400_000])
+def test_one_rule_for_a_repeating_key_at_any_size(spark, total):
+    rows = spark.range(total).selectExpr("id % 4 as key", "id")
+    drawn = sample.exact_sample(rows, 100, 3, "key")
+    again = sample.exact_sample(rows.repartition(7), 100, 3, "key")
+    assert keys(drawn) == keys(again) and drawn.count() == 100
+    assert {r["key"] for r in drawn.collect()} == {0, 1, 2, 3}
+
+
+def test_null_and_empty_keys_differ(spark):
+    rows = spark.createDataFrame([(None,), ("",)], "key string")
+    hashes = rows.select(sample.row_hash(rows, 1, "key").alias("h")).distinct()
+    assert hashes.count() == 2
 
 
 def test_empty_table(spark):

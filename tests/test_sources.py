@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 
 import pandas as pd
@@ -15,7 +14,6 @@ from chartloom.plans.staging import reused, staged
 from chartloom.sources.json_documents import read_column_documents
 from chartloom.sources.readers import read_table
 from chartloom.streaming.prices import write_clean_prices
-from workload.files import workbook_bytes
 
 
 def put(folder, name, content):
@@ -72,41 +70,6 @@ def test_bad_json_line_is_kept_apart(spark, tmp_path):
     assert sorted((r["a"] or 0, r["_corrupt_record"]) for r in rows.collect()) == [(0, "oops"), (1, None)]
 
 
-def test_workbooks(spark, tmp_path):
-    frame = pd.DataFrame(
-        {
-            "id": [1, 2], "price": [1.5, None], "name": ["<a> & b", None],
-            "day": [pd.Timestamp("2024-02-03"), pd.Timestamp("2024-02-04 12:00")], "ok": [True, False],
-        }
-    )
-    put(tmp_path, "one.xlsx", workbook_bytes(frame))
-    put(tmp_path, "two.xlsx", workbook_bytes(frame.assign(id=[3, 4])))
-    rows = read_table(spark, str(tmp_path), "xlsx").orderBy("id").collect()
-    assert [r["id"] for r in rows] == [1, 2, 3, 4]
-    assert tuple(rows[0]) == (1, 1.5, "<a> & b", dt.datetime(2024, 2, 3), True)
-    assert tuple(rows[1]) == (2, None, None, dt.datetime(2024, 2, 4, 12), False)
-
-
-def test_shared_strings_and_gaps(spark, tmp_path):
-    import zipfile
-
-    path = tmp_path / "s.xlsx"
-    path.write_bytes(workbook_bytes(pd.DataFrame({"a": ["x"]})))
-    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    with zipfile.ZipFile(path) as book:
-        parts = {name: book.read(name) for name in book.namelist()}
-    parts["xl/sharedStrings.xml"] = f"<sst {main}><si><t>a</t></si><si><r><t>p</t></r><r><t>q</t></r></si></sst>".encode()
-    parts["xl/worksheets/sheet1.xml"] = (
-        f'<worksheet {main}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c>'
-        '<c r="C1" t="str"><v>c</v></c></row><row r="2"><c r="A2" t="s"><v>1</v></c>'
-        '<c r="C2" t="e"><v>#N/A</v></c></row><row r="3"/></sheetData></worksheet>'
-    ).encode()
-    with zipfile.ZipFile(path, "w") as book:
-        for name, content in parts.items():
-            book.writestr(name, content)
-    assert [tuple(r) for r in read_table(spark, str(path)).collect()] == [("pq", None)]
-
-
 def test_suffixes_and_formats(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "plain"))
     spark.range(3).write.orc(str(tmp_path / "t.orc"))
@@ -177,3 +140,35 @@ def test_staged_and_reused(spark):
     with reused(spark.range(5)) as rows:
         assert rows.is_cached and rows.count() == 5
     assert not rows.is_cached
+
+
+def test_line_breaks_in_cells_and_ragged_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 'a\n"b",\r\nc'), (2, None)], "id long, text string")
+    path = str(tmp_path / "broken.csv")
+    rows.repartition(1).write.options(quote='"', escape='"', header=True).csv(path)
+    assert read_table(spark, path, fmt="csv").count() == 2
+    for content in ("a,b\n3,4,5\n", "a,b\n3\n"):
+        with pytest.raises(errors.UnreadableTableError):
+            read_table(spark, put(tmp_path, f"ragged{len(content)}.csv", content))
+
+
+def test_long_whole_numbers_stay_apart(spark, tmp_path):
+    ids = [1234567890123456789, 1234567890123456790, 1234567890123456791]
+    path = put(tmp_path, "ids.csv", "id,huge\n" + "".join(f"{i},{i}00\n" for i in ids))
+    rows = read_table(spark, path)
+    assert dict(rows.dtypes) == {"id": "bigint", "huge": "string"} and rows.distinct().count() == 3
+
+
+def test_json_layout_follows_from_the_whole_content(spark, tmp_path):
+    lines = put(tmp_path, "maps.json", '{"m":{"1":"x"},"z":5}\n{"m":{"1":"y"},"z":6}\n')
+    assert sorted(r["z"] for r in read_table(spark, lines).collect()) == [5, 6]
+    labelled = put(tmp_path, "labelled.json", '{"a": {"r1": 1, "r2": 2}, "b": {"r1": "x", "r2": "y"}}')
+    assert sorted((r["a"], r["b"]) for r in read_table(spark, labelled).collect()) == [(1, "x"), (2, "y")]
+    mixed = tmp_path / "mixed.json"
+    mixed.mkdir()
+    put(mixed, "a.json", '[{"a": 1}, {"a": 2}]')
+    put(mixed, "b.json", '{"a": 3}\n{"a": 4}\n')
+    with pytest.raises(errors.UnreadableTableError):
+        read_table(spark, str(mixed))
+    with pytest.raises(errors.UnreadableTableError):
+        read_table(spark, put(tmp_path, "broken.json", '{"a": {"0": 1}'))

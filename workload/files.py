@@ -1,18 +1,14 @@
 """Files that Spark derives from the given tables, for the readers to read back.
 
-They go below the shared folder of the session. Documents and workbooks are built in
+They go below the shared folder of the session. Documents are built in
 groups of a fixed number of key values, so no task ever holds more than that.
 """
 
 from __future__ import annotations
 
 import hashlib
-import io
 import uuid
-import zipfile
-from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,79 +54,6 @@ def column_documents(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-_PARTS = {
-    "[Content_Types].xml": (
-        '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-        '<Default Extension="xml" ContentType="application/xml"/></Types>'
-    ),
-    "xl/workbook.xml": (
-        '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
-        'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
-        '<sheets><sheet name="data" sheetId="1" r:id="rId1"/></sheets></workbook>'
-    ),
-    "xl/_rels/workbook.xml.rels": (
-        '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-        '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>'
-    ),
-    "xl/styles.xml": (
-        '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-        '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>'
-    ),
-}
-
-
-def workbook_bytes(frame: pd.DataFrame) -> bytes:
-    """A minimal workbook with the columns of the frame."""
-
-    def cell(letter: str, row: int, value) -> str:
-        if value is None or value is pd.NaT or value != value:
-            return ""
-        if isinstance(value, pd.Timestamp):
-            days = (value - pd.Timestamp("1899-12-30")) / pd.Timedelta(days=1)
-            return f'<c r="{letter}{row}" s="1"><v>{days!r}</v></c>'
-        if isinstance(value, str):
-            text = f'<is><t xml:space="preserve">{escape(value)}</t></is>'
-            return f'<c r="{letter}{row}" t="inlineStr">{text}</c>'
-        if isinstance(value, bool):
-            return f'<c r="{letter}{row}" t="b"><v>{int(value)}</v></c>'
-        return f'<c r="{letter}{row}"><v>{value!r}</v></c>'
-
-    letters = [chr(65 + i) for i in range(len(frame.columns))]
-    lines = [list(frame.columns)] + frame.astype(object).values.tolist()
-    body = "".join(
-        f'<row r="{row}">'
-        + "".join(cell(letter, row, value) for letter, value in zip(letters, line))
-        + "</row>"
-        for row, line in enumerate(lines, start=1)
-    )
-    sheet = (
-        '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-        f"<sheetData>{body}</sheetData></worksheet>"
-    )
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        for name, text in {**_PARTS, "xl/worksheets/sheet1.xml": sheet}.items():
-            book.writestr(name, text)
-    return out.getvalue()
-
-
-def workbooks(df: DataFrame, key: str) -> DataFrame:
-    """Workbooks ``(path, content)`` over ranges of the (unique) key."""
-
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        part = int(frame["part"].iloc[0])
-        content = workbook_bytes(frame.drop(columns="part"))
-        return pd.DataFrame({"path": [f"part-{part}.xlsx"], "content": [content]})
-
-    ranged = df.withColumn("part", F.floor(F.col(key) / RECORDS_PER_DOCUMENT))
-    return spread(ranged, "part").groupBy("part").applyInPandas(build, "path string, content binary")
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """One partition per core: little data, but much work per row."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def run_id() -> str:
     """Name part of a folder that no other run uses."""
     return uuid.uuid4().hex[:12]

@@ -48,13 +48,21 @@ select case when l_partkey % 7 = 0 then null else l_quantity end as quantity,
 from lineitem
 """
 
+# Whole numbers that a double cannot tell apart, and some that no bigint holds.
+LONG_IDS = """
+select cast(1000000000000000000 + o_orderkey as varchar(20)) as long_id,
+  cast(9000000000000000000 as varchar(20)) || cast(o_orderkey as varchar(20)) as huge_id,
+  cast(o_orderkey as varchar(20)) as short_id
+from orders
+"""
+
 # A real category named like the remainder row.
 RESERVED = """
 select p_partkey, case when p_brand = 'Brand#4' then 'Other' else p_brand end as p_brand
 from part
 """
 
-TABLES = {"PRICES": "orders", "MIXED": "orders", "MEASURES": "lineitem", "RESERVED": "part"}
+TABLES = {"PRICES": "orders", "MIXED": "orders", "MEASURES": "lineitem", "RESERVED": "part", "LONG_IDS": "orders"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from itertools import product
 
-from chartloom.functions.numbers import NUMBER_TEXT
-from chartloom.functions.text import WHITE_SPACE
 from workload.inputs import duck
 from workload.queries import SAMPLE, SEED
 
 ORACLES: dict[str, str] = {}
 
+# What counts as a number, and the code points of white space, written out once more here.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
+BLANKS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+
 
 def with_input(name: str, sql: str, *more: str) -> str:
     """Prefix a query by one derived input, under its lower-case name, and further CTEs."""
@@ -26,7 +28,7 @@ def marks_off(x: str) -> str:
 
 
 def num(x: str) -> str:
-    return f"case when regexp_matches({x}, '{NUMBER_TEXT}') then try_cast({x} as double) end"
+    return f"case when regexp_matches({x}, '{NUMBER}') then try_cast({x} as double) end"
 
 
 def amount(x: str) -> str:
@@ -72,7 +74,6 @@ ORACLES["scan_jsonl"] = (
     " from customer"
 )
 ORACLES["scan_json_array"] = ORACLES["scan_json_columns"] = ORACLES["scan_jsonl"]
-ORACLES["scan_workbooks"] = f"{ORDERS_DAY}, o_orderpriority = '1-URGENT' as urgent from orders"
 ORACLES["scan_dispatch"] = union(
     f"select '{suffix}' as suffix, count(*) as n_rows, cast(sum(c_custkey) as bigint) as key_sum"
     " from customer"
@@ -93,20 +94,59 @@ SAMPLED = f" order by md5(concat('{SEED}:', o_orderkey)), o_orderkey limit {SAMP
 
 ORACLES["price_clean"] = with_input("PRICES", CLEAN_PRICES)
 ORACLES["price_clean_stream"] = ORACLES["price_clean"]
-ORACLES["price_clean_passthrough"] = "select event_id, user_id, event_type, value from events"
+ORACLES["price_clean_passthrough"] = "select * from events"
 ORACLES["clean_sample"] = with_input("PRICES", CLEAN_PRICES + SAMPLED)
 ORACLES["sink_csv_roundtrip"] = ORACLES["clean_sample"]
+ORACLES["process_file"] = ORACLES["clean_sample"]
+ORACLES["sample_repeating_key"] = f"""
+with counted as (
+  select l_suppkey, l_returnflag, l_linenumber, count(*) as copies,
+    md5('{SEED}:' || l_suppkey || ':{{"l_suppkey":' || l_suppkey || ',"l_returnflag":"' || l_returnflag
+        || '","l_linenumber":' || l_linenumber || '}}') as h
+  from lineitem group by 1, 2, 3),
+running as (select *, sum(copies) over (order by h) - copies as before from counted)
+select l_suppkey, l_returnflag, l_linenumber
+from running, range(1, {SAMPLE} + 1) g(i) where i <= copies and before + i <= {SAMPLE}
+"""
+ORACLES["csv_roundtrip_text"] = """
+select md5(doc_id::varchar) as doc_id, md5(text) as text, md5(lang) as lang, md5(source) as source,
+  md5(n_chars::varchar) as n_chars from documents
+"""
+ORACLES["scan_csv_long_ids"] = with_input(
+    "LONG_IDS", "select long_id::bigint as long_id, huge_id, short_id::bigint as short_id from long_ids"
+)
+ORACLES["autoclean_long_ids"] = ORACLES["scan_csv_long_ids"]
+ORACLES["date_profile_slashed"] = """
+select 0 as seq, 'stamp' as "column", count(*) as n_rows, 'slashed_time' as layout,
+  count(*) filter (o_orderkey % 8 <> 0) as n_dates,
+  round(count(*) filter (o_orderkey % 8 <> 0) / count(*)::double, 4) as date_share,
+  count(*) filter (o_orderkey % 8 <> 0) / count(*)::double > 0.7 as becomes_date
+from orders
+"""
+ORACLES["null_counts_nan"] = with_input(
+    "MEASURES",
+    "select t.*, (select count(*) * 2 - count(quantity) - count(extendedprice) from measures)::bigint as missing_cells from ("
+    + union(
+        f"select {seq} as seq, '{c}' as \"column\", count(*) - count({c}) as n_null from measures"
+        for seq, c in enumerate(("quantity", "extendedprice", "discount", "tax", "constant_col"))
+    )
+    + ") t",
+)
 ORACLES["sample_exact"] = f"{ORDERS_DAY} from orders {SAMPLED}"
 ORACLES["sample_fraction"] = (
     f"select count(*) as n_rows, round(least(1.0::double, {SAMPLE * 1.2}::double / count(*)), 12)"
     " as fraction from orders"
 )
+ORACLES["sample_bernoulli"] = (
+    f"{ORDERS_DAY} from orders where ('0x' || substr(md5('{SEED}:' || o_orderkey), 1, 13))::bigint"
+    f" < (select round(least(1.0::double, {SAMPLE * 1.2}::double / count(*)) * {16**13}) from orders)"
+)
 ORACLES["preview"] = "select * from customer order by c_custkey limit 5"
 
 # Scalar functions ----------------------------------------------------------------
 
 _padded = "concat(chr(9), chr(160), chr(8195), ' ', text, ' ', chr(12288), chr(10))"
-_blanks = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
+_blanks = " || ".join(f"chr({code})" for code in BLANKS)
 ORACLES["trim_text_whole"] = (
     f"select doc_id, cast(length(t) as integer) as n_chars, md5(t) as digest"
     f" from (select doc_id, trim({_padded}, {_blanks}) as t from documents) d"
@@ -121,7 +161,8 @@ ORACLES["date_parse"] = (
     "select o_orderkey, "
     + ", ".join(
         f"case when o_orderkey % 8 <> 0 then cast(o_orderdate as date) end as {layout}"
-        for layout in ("iso_date", "iso_timestamp", "slashed", "month_name", "compact")
+        for layout in ("iso_date", "iso_timestamp", "slashed", "month_name", "compact", "slashed_time", "year_first",
+                       "day_month", "full_month")
     )
     + " from orders"
 )
@@ -156,13 +197,15 @@ ORACLES["missing_cells"] = with_input(
 ORACLES["text_profile"] = with_input(
     "MIXED",
     "select seq, \"column\", n_rows, n_null, n_trimmed, has_marks, n_numeric,"
-    " round(n_numeric / n_rows, 4) as numeric_share, n_numeric / n_rows > 0.5 as becomes_numeric"
+    " round(n_numeric / n_rows, 4) as numeric_share, n_numeric / n_rows > 0.5 as becomes_numeric,"
+    " n_whole, cast(0 as bigint) as n_long"
     " from ("
     + union(
         f"select {seq} as seq, '{c}' as column, count(*) as n_rows, count(*) - count({c}) as n_null,"
         f" count(case when trim({c}) <> {c} then 1 end) as n_trimmed,"
         f" coalesce(bool_or(regexp_matches({c}, '[$,₹]')), false) as has_marks,"
-        f" count({num(marks_off(f'trim({c})'))}) as n_numeric from mixed"
+        f" count({num(marks_off(f'trim({c})'))}) as n_numeric,"
+        f" count(case when regexp_full_match({marks_off(f'trim({c})')}, '[+-]?[0-9]+') then 1 end) as n_whole from mixed"
         for seq, c in enumerate(MIXED_TEXT)
     )
     + ") t",

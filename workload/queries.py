@@ -14,10 +14,10 @@ from chartloom.operators import charts, frequency, impute, median, profile, samp
 from chartloom.operators.price import clean_prices
 from chartloom.plans import chart_data as chart_plans
 from chartloom.plans.auto_clean import auto_clean, convert_text
+from chartloom.plans import clean_sample as batch
 from chartloom.plans.clean_sample import clean_and_sample
 from chartloom.plans.insights import insights, quick_fact
 from chartloom.sources import readers, sinks
-from chartloom.sources.workbooks import parse_workbooks
 from chartloom.streaming.prices import write_clean_prices
 from workload import files
 from workload.inputs import derived, table
@@ -100,14 +100,6 @@ def scan_json_columns(spark, sf_dir):
     return readers.read_table(spark, path)
 
 
-@query
-def scan_workbooks(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").withColumn("urgent", F.col("o_orderpriority") == "1-URGENT")
-    path = files.folder(spark, sf_dir, "workbooks")
-    sinks.write_parquet(files.workbooks(rows, "o_orderkey"), path)
-    return as_day(parse_workbooks(files.spread(spark.read.parquet(path))), "o_orderdate")
-
-
 @query
 def scan_dispatch(spark, sf_dir):
     rows = _customer_text(spark, sf_dir)
@@ -130,7 +122,7 @@ def scan_dispatch(spark, sf_dir):
 
 @query
 def sink_csv_roundtrip(spark, sf_dir):
-    cleaned = clean_and_sample(derived(spark, sf_dir, "PRICES"), SAMPLE, SEED, "o_orderkey")
+    cleaned = clean_and_sample(derived(spark, sf_dir, "PRICES"), SAMPLE, SEED, "o_orderkey", unique_key=True)
     path = sinks.write_sample_csv(cleaned, files.folder(spark, sf_dir, "sample.csv"))
     return rounded(readers.read_table(spark, path))
 
@@ -156,7 +148,7 @@ def price_clean_stream(spark, sf_dir):
 
 @query
 def price_clean_passthrough(spark, sf_dir):
-    return clean_prices(table(spark, sf_dir, "events")).select("event_id", "user_id", "event_type", "value")
+    return clean_prices(table(spark, sf_dir, "events"))
 
 
 @query
@@ -168,18 +160,66 @@ def sample_fraction(spark, sf_dir):
 def sample_bernoulli(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     fraction = sample.sampling_fraction(orders.count(), SAMPLE)
-    return as_day(sample.bernoulli_sample(orders, fraction, SEED), "o_orderdate")
+    return as_day(sample.bernoulli_sample(orders, fraction, SEED, "o_orderkey"), "o_orderdate")
 
 
 @query
 def sample_exact(spark, sf_dir):
-    drawn = sample.exact_sample(table(spark, sf_dir, "orders"), SAMPLE, SEED, "o_orderkey")
+    drawn = sample.exact_sample(table(spark, sf_dir, "orders"), SAMPLE, SEED, "o_orderkey", unique_key=True)
     return as_day(drawn, "o_orderdate")
 
 
+@query
+def sample_repeating_key(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_linenumber")
+    return sample.exact_sample(rows, SAMPLE, SEED, "l_suppkey")
+
+
+@query
+def process_file(spark, sf_dir):
+    source = sinks.write_csv(derived(spark, sf_dir, "PRICES"), files.folder(spark, sf_dir, "process.csv"))
+    target = files.folder(spark, sf_dir, "processed.csv")
+    batch.process_file(spark, source, target, SAMPLE, SEED, "o_orderkey", unique_key=True)
+    return rounded(readers.read_table(spark, target))
+
+
+@query
+def csv_roundtrip_text(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents")
+    back = readers.read_table(spark, sinks.write_csv(rows, files.folder(spark, sf_dir, "documents.csv")))
+    return back.select(*[F.md5(F.col(c).cast("string")).alias(c) for c in rows.columns])
+
+
+@query
+def scan_csv_long_ids(spark, sf_dir):
+    path = sinks.write_csv(derived(spark, sf_dir, "LONG_IDS"), files.folder(spark, sf_dir, "long_ids.csv"))
+    return readers.read_table(spark, path)
+
+
+@query
+def autoclean_long_ids(spark, sf_dir):
+    return convert_text(derived(spark, sf_dir, "LONG_IDS"))
+
+
+@query
+def date_profile_slashed(spark, sf_dir):
+    days = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 8 == 0, "unknown").otherwise(F.date_format("o_orderdate", "M/d/yyyy H:mm:ss")).alias("stamp")
+    )
+    return rounded(profile.date_profile(days))
+
+
+@query
+def null_counts_nan(spark, sf_dir):
+    measures = derived(spark, sf_dir, "MEASURES").withColumn(
+        "quantity", F.coalesce("quantity", F.lit(float("nan")))
+    )
+    return profile.null_counts(measures).crossJoin(profile.missing_cells(measures))
+
+
 @query
 def clean_sample(spark, sf_dir):
-    return clean_and_sample(derived(spark, sf_dir, "PRICES"), SAMPLE, SEED, "o_orderkey")
+    return clean_and_sample(derived(spark, sf_dir, "PRICES"), SAMPLE, SEED, "o_orderkey", unique_key=True)
 
 
 @query
@@ -215,6 +255,10 @@ def date_parse(spark, sf_dir):
         "slashed": "MM/dd/yyyy",
         "month_name": "MMM d, yyyy",
         "compact": "yyyyMMdd",
+        "slashed_time": "M/d/yyyy H:mm:ss",
+        "year_first": "yyyy/MM/dd",
+        "day_month": "d-MMM-yyyy",
+        "full_month": "MMMM d, yyyy",
     }
     assert list(formats) == list(LAYOUTS)
     return table(spark, sf_dir, "orders").select(
@@ -431,7 +475,7 @@ def scatter_points(spark, sf_dir):
 def scatter_sample(spark, sf_dir):
     return charts.scatter_points(
         table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", "o_orderstatus",
-        SAMPLE, SEED, "o_orderkey",
+        SAMPLE, SEED, "o_orderkey", unique_key=True,
     )
 
 
