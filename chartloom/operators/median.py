@@ -1,15 +1,16 @@
-"""Exact medians without collecting a large column in one place.
-
-A column of bounded size is sorted in one aggregation buffer. Larger ones are narrowed
-down first: each pass counts the rows below, inside and at the ends of a bracket around
-the middle rank and sketches the quantiles inside it; the next bracket lies between two
-of those. The counts are exact, so the sketch decides only how fast the bracket shrinks
-(about 60-fold per pass), never the answer. A value repeated a billion times soon is an
-end of the bracket, where its rows are counted, not kept.
+"""Exact medians in two scans, without collecting a column anywhere.
+
+The first scan sketches two values just around the middle of every column. The second one
+counts the rows below them, and how often each value between them occurs: a distributed
+count that is about a thousandth of the input at most, and is stored. On that table the
+middle rank is closed in by counts over equal bins, until a bin holds one value. A value
+repeated a billion times is one counted row. The counts are exact, so the sketch decides
+only how much is stored, never the answer.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,53 +20,51 @@ from chartloom.functions.numbers import without_nan
 from chartloom.functions.text import column
 from chartloom.operators.profile import rows_from_aggregates
 from chartloom.operators.roles import numeric_columns
+from chartloom.plans.staging import staged
 
-# Values that one pass may keep in buffers, over all columns.
-BUFFER_VALUES = 5_000_000
-GRID = 200
-SKETCH_ACCURACY = 2000
+SKETCH_ACCURACY = 5_000  # the sketch's rank is off by at most one part in so many
+BINS = 1_000
 
 
 def as_double(name: str) -> Column:
     return without_nan(column(name).cast("double"))
 
 
-def value_counts_by_column(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Non-null, non-NaN values per column."""
-    row = df.agg(*[F.count(as_double(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    return {name: row[f"n{i}"] for i, name in enumerate(columns)}
-
-
 def exact_medians(
-    df: DataFrame,
-    columns: list[str] | None = None,
-    counts: dict[str, int] | None = None,
-    buffer_values: int = BUFFER_VALUES,
+    df: DataFrame, columns: list[str] | None = None, accuracy: int = SKETCH_ACCURACY
 ) -> dict[str, float | None]:
-    """Median per numeric column, null where a column has no value.
-
-    ``counts`` (values per column) saves the counting pass when already known.
-    """
+    """Median per numeric column, null where a column has no value."""
     names = numeric_columns(df) if columns is None else columns
     if not names:
         return {}
-    if counts is None:
-        counts = value_counts_by_column(df, names)
-    room = max(buffer_values // len(names), 1)
-    searches = [
-        _Search(name, rank, inside=counts[name] if counts[name] <= room else 0)
-        for name in names
-        if counts[name]
-        for rank in sorted({(counts[name] - 1) // 2, counts[name] // 2})
-    ]
-    values = df.select(*[as_double(name).alias(name) for name in {s.name for s in searches}])
-    while wide := [s for s in searches if s.answer is None and not s.inside]:
-        _tighten(values, wide, room)
-    _look_up(values, [s for s in searches if s.answer is None])
-    middle: dict[str, list[float]] = {name: [] for name in names}
+    entries = [F.struct(F.lit(i).alias("i"), as_double(name).alias("value")) for i, name in enumerate(names)]
+    values = df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    around = F.array(*[F.lit(0.5 + side * 2 / accuracy) for side in (-1, 1)])
+    sketched = values.groupBy("i").agg(
+        F.count("value").alias("n"), F.percentile_approx("value", around, accuracy).alias("ends")
+    )
+    facts = {row["i"]: row for row in sketched.collect()}
+    bounds = [facts[i]["ends"] if i in facts else (None, None) for i in range(len(names))]
+    low, high = (
+        F.get(F.array(*[F.lit(b[side]).cast("double") for b in bounds]), F.col("i")) for side in (0, 1)
+    )
+    # What is below the bracket has no value here, and so is one group.
+    inside = F.when(F.col("value") >= low, F.col("value"))
+    counted = values.where(F.col("value") <= high).groupBy("i", inside.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counted = staged(counted, f"medians-{uuid.uuid4().hex}")
+    ends = counted.groupBy("i").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("below"), F.min("value"), F.max("value")
+    )
+    searches = []
+    for i, below, least, most in ends.collect():
+        total = facts[i]["n"]
+        searches += [_Search(i, rank, below, least, most) for rank in sorted({(total - 1) // 2, total // 2})]
+    while open_ := [s for s in searches if s.answer is None]:
+        _close_in(counted, open_)
+    middle: dict[int, list[float]] = {i: [] for i in range(len(names))}
     for search in searches:
-        middle[search.name].append(search.answer)
-    return {name: sum(ends) / len(ends) if ends else None for name, ends in middle.items()}
+        middle[search.column].append(search.answer)
+    return {name: sum(middle[i]) / len(middle[i]) if middle[i] else None for i, name in enumerate(names)}
 
 
 def median_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -96,122 +95,49 @@ def approximate_medians(
 
 @dataclass
 class _Search:
-    """One wanted rank of one column, with open bracket ends (None: unbounded).
-
-    ``inside`` is set once the bracket holds few enough values to be sorted; ``below``
-    then is the number of values before them.
-    """
+    """One wanted rank of one column, among counted values from ``low`` to ``high``."""
 
-    name: str
+    column: int
     rank: int
-    low: float | None = None
-    high: float | None = None
-    inside: int = 0
-    below: int = 0
-    answer: float | None = None
+    below: int
+    low: float
+    high: float
 
     @property
-    def bracket(self) -> tuple:
-        return self.name, self.low, self.high
-
-    def advance(
-        self, less: int, at_low: int, inside: int, at_high: int, grid: list | None, room: int
-    ) -> None:
-        """Use exact counts to answer, or to move to a tighter bracket."""
-        first, end = less + at_low, less + at_low + inside
-        if self.rank < less:
-            self.low, self.high = None, self.low
-        elif self.rank < first:
-            self.answer = self.low
-        elif self.rank >= end + at_high:
-            self.low, self.high = self.high, None
-        elif self.rank >= end:
-            self.answer = self.high
-        elif inside <= room:
-            self.below, self.inside = first, inside
-        else:
-            cell = int((self.rank - first) / inside * GRID)
-            if cell >= 1:
-                self.low = grid[cell - 1]
-            if cell + 2 <= GRID:
-                self.high = grid[cell + 2]
-
-
-def _bracketed(values: DataFrame, brackets: list[tuple]) -> DataFrame:
-    """Every value next to each bracket of its column: ``(bracket, low, high, value, inside)``.
-
-    One row per value and bracket keeps the expressions small, however many columns
-    are searched at once; there are two brackets per column at most.
-    """
-    entries = [
-        F.struct(
-            F.lit(i).alias("bracket"),
-            F.lit(low).cast("double").alias("low"),
-            F.lit(high).cast("double").alias("high"),
-            column(name).alias("value"),
-        )
-        for i, (name, low, high) in enumerate(brackets)
-    ]
-    inside = (F.col("low").isNull() | (F.col("value") > F.col("low"))) & (
-        F.col("high").isNull() | (F.col("value") < F.col("high"))
-    )
-    rows = values.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*")
-    return rows.where(F.col("value").isNotNull()).withColumn(
-        "inside", F.when(inside, F.col("value"))
-    )
+    def answer(self) -> float | None:
+        return self.low if self.low == self.high else None
 
 
-def _tighten(values: DataFrame, searches: list[_Search], room: int) -> None:
-    """One pass that measures every distinct bracket and advances its searches."""
-    brackets = list({search.bracket: None for search in searches})
-    grid = F.expr(f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})")
-    value, low, high = F.col("value"), F.col("low"), F.col("high")
-    measured = (
-        _bracketed(values, brackets)
-        .groupBy("bracket")
-        .agg(
-            F.count_if(value < low).alias("less"),
-            F.count_if(value == low).alias("at_low"),
-            F.count("inside").alias("inside"),
-            F.count_if(value == high).alias("at_high"),
-            F.percentile_approx("inside", grid, SKETCH_ACCURACY).alias("grid"),
-        )
-        .collect()
+def _close_in(counted: DataFrame, searches: list[_Search]) -> None:
+    """One pass over the counted values: every search goes on in the bin that holds its rank."""
+    entries = [
+        F.struct(F.lit(s.column).alias("i"), F.lit(k).alias("search"), F.lit(s.low).alias("low"), F.lit(s.high).alias("high"))
+        for k, s in enumerate(searches)
+    ]
+    asked = F.filter(F.array(*entries), lambda e: e["i"] == F.col("i"))
+    rows = counted.where(F.col("value").isNotNull()).select("value", "n", F.inline(asked))
+    # Infinite ends leave finite values between them: these share a bin, then get bins of their own.
+    width = F.col("high") / BINS - F.col("low") / BINS
+    step = F.floor(F.try_divide(F.col("value") - F.col("low"), width))
+    even = F.greatest(F.lit(1), F.least(step, F.lit(BINS - 2)))
+    bin_ = (
+        F.when(F.col("value") == F.col("low"), 0)
+        .when(F.col("value") == F.col("high"), BINS - 1)
+        .otherwise(F.when(width < float("inf"), even).otherwise(1))
     )
-    facts = {brackets[row["bracket"]]: tuple(row)[1:] for row in measured}
-    for search in searches:
-        search.advance(*facts[search.bracket], room)
-
-
-def _look_up(values: DataFrame, searches: list[_Search]) -> None:
-    """Sort the few values inside each bracket and pick the ranks."""
-    whole = [s for s in searches if s.low is None and s.high is None]
-    if whole:
-        names = list({search.name: None for search in whole})
-        row = (
-            values.agg(
-                *[F.sort_array(F.collect_list(column(n))).alias(f"v{i}") for i, n in enumerate(names)]
-            )
-            .select(*[F.get(f"v{names.index(s.name)}", F.lit(s.rank)) for s in whole])
-            .first()
-        )
-        for search, answer in zip(whole, row):
-            search.answer = answer
-    bounded = [s for s in searches if s.answer is None]
-    if not bounded:
-        return
-    brackets = list({search.bracket: None for search in bounded})
-    ranks = [[s.rank - s.below for s in bounded if s.bracket == bracket] for bracket in brackets]
-    wanted = F.get(F.array(*[F.array(*[F.lit(r) for r in rs]) for rs in ranks]), F.col("bracket"))
-    found = (
-        _bracketed(values, brackets)
-        .where(F.col("inside").isNotNull())
-        .groupBy("bracket")
-        .agg(F.sort_array(F.collect_list("inside")).alias("sorted"))
-        .select("bracket", F.transform(wanted, lambda rank: F.get("sorted", rank)).alias("answers"))
+    counts = (
+        rows.where((F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high")))
+        .groupBy("search", bin_.alias("bin"))
+        .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .collect()
     )
-    for row in found:
-        same = [s for s in bounded if s.bracket == brackets[row["bracket"]]]
-        for search, answer in zip(same, row["answers"]):
-            search.answer = answer
+    by_search: dict[int, list] = {}
+    for row in sorted(counts, key=lambda r: (r["search"], r["bin"])):
+        by_search.setdefault(row["search"], []).append(row)
+    for k, rows_of in by_search.items():
+        search = searches[k]
+        for row in rows_of:
+            if search.rank < search.below + row["n"]:
+                search.low, search.high = row["low"], row["high"]
+                break
+            search.below += row["n"]

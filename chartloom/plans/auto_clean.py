@@ -103,7 +103,7 @@ def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataF
 
     numeric_gaps = [n for n in numeric_columns(typed) if 0 < nulls.get(n, 0) < rows]
     text_gaps = [n for n in text_columns(typed) if 0 < nulls.get(n, 0) < rows]
-    medians = exact_medians(typed, numeric_gaps, {n: rows - nulls[n] for n in numeric_gaps})
+    medians = exact_medians(typed, numeric_gaps)
     modes = mode_values(typed, text_gaps)
     long = {f.name for f in facts if f.n_long}
     fills = {n: filled_number(n, medians[n], typed.schema[n].dataType, n in long) for n in numeric_gaps}

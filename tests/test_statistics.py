@@ -21,7 +21,7 @@ def doubles(spark, values):
 def test_narrowing_gives_the_exact_median(spark, seed, size):
     draw = random.Random(seed)
     values = [draw.choice([draw.gauss(0, 1e6), 7.0, draw.randint(-3, 3)]) * 1.0 for _ in range(size)]
-    found = median.exact_medians(doubles(spark, values), ["x"], buffer_values=10)
+    found = median.exact_medians(doubles(spark, values), ["x"], accuracy=5)
     assert found == {"x": statistics.median(values)}
 
 
@@ -36,7 +36,7 @@ def test_narrowing_gives_the_exact_median(spark, seed, size):
     ],
 )
 def test_narrowing_with_hot_values(spark, values):
-    found = median.exact_medians(doubles(spark, values), ["x"], buffer_values=4)
+    found = median.exact_medians(doubles(spark, values), ["x"], accuracy=5)
     assert found == {"x": statistics.median(values)}
 
 

@@ -330,10 +330,10 @@ def median_per_column(spark, sf_dir):
 
 @query
 def median_narrowed(spark, sf_dir):
-    """The same medians by narrowing, as for columns too large for one buffer."""
+    """The same medians from a coarse sketch, so that more has to be narrowed down."""
     lineitem = table(spark, sf_dir, "lineitem")
     names = [name for name, kind in lineitem.dtypes if kind in ("double", "int", "bigint")]
-    medians = median.exact_medians(lineitem, names, buffer_values=400_000)
+    medians = median.exact_medians(lineitem, names, accuracy=50)
     return rounded(spark.createDataFrame(list(medians.items()), "column string, median double"))
 
 
