@@ -94,6 +94,7 @@ def chart_data(
     bins: int = 20,
     grid: int = 50,
     stage: bool | None = None,
+    scatter_rows: int | None = None,
     **columns,
 ) -> dict[str, DataFrame]:
     """Chart name -> data, on the cleaned table or (``clean=False``) on the raw one.
@@ -103,10 +104,10 @@ def chart_data(
     scans only the columns it needs.
 
     ``stage`` writes the columns that the charts use to the shared folder first. By
-    default that happens when text had to be parsed or trimmed for them, work that
-    every chart would repeat otherwise.
+    default that happens when the table was cleaned or its dates were text: work that
+    every chart would repeat otherwise. ``scatter_rows`` adds single points, an exact sample
+    of so many rows, to the grid of all.
     """
-    raw_types = dict(df.dtypes)
     data = auto_clean(df)[0] if clean else nan_to_null(df)
     found = find_date_column(data)
     data = with_date_column(data, found)
@@ -114,7 +115,7 @@ def chart_data(
     chosen = replace(choose_columns(data, found and found.name), **columns)
     used = chosen.used() + ([colour] if colour and colour not in chosen.used() else [])
     if stage is None:
-        stage = any(raw_types[name] == "string" != kind for name, kind in data.select(*[column(name) for name in used]).dtypes)
+        stage = clean or bool(found and found.layout)
     if stage:
         data = staged(data.select(*[column(name) for name in used]), f"charts-{uuid.uuid4().hex}")
     days, ends = _extents(data, chosen)
@@ -136,7 +137,8 @@ def chart_data(
     if chosen.scatter_x and chosen.scatter_y:
         x, y = chosen.scatter_x, chosen.scatter_y
         built["scatter_grid"] = charts.scatter_grid(data, x, y, colour, grid, [ends[x], ends[y]])
-        built["scatter"] = charts.scatter_points(data, x, y, colour)
+        if scatter_rows is not None:
+            built["scatter"] = charts.scatter_points(data, x, y, colour, scatter_rows)
     return built
 
 

@@ -172,3 +172,11 @@ def test_json_layout_follows_from_the_whole_content(spark, tmp_path):
         read_table(spark, str(mixed))
     with pytest.raises(errors.UnreadableTableError):
         read_table(spark, put(tmp_path, "broken.json", '{"a": {"0": 1}'))
+
+
+def test_batch_entry_point(spark, tmp_path):
+    from chartloom.__main__ import main
+
+    source = put(tmp_path, "p.csv", "id,actual_price\n" + "".join(f"{i},₹{i}\n" for i in range(50)))
+    target = main([source, str(tmp_path / "out.csv"), "--rows", "10", "--seed", "3", "--key", "id", "--unique-key"])
+    assert read_table(spark, target, fmt="csv").count() == 10

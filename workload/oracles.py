@@ -74,6 +74,8 @@ ORACLES["scan_jsonl"] = (
     " from customer"
 )
 ORACLES["scan_json_array"] = ORACLES["scan_json_columns"] = ORACLES["scan_jsonl"]
+ORACLES["scan_other_format"] = ORACLES["scan_parquet"]
+ORACLES["partition_rows"] = "select count(*)::bigint as n_rows from lineitem"
 ORACLES["scan_dispatch"] = union(
     f"select '{suffix}' as suffix, count(*) as n_rows, cast(sum(c_custkey) as bigint) as key_sum"
     " from customer"
@@ -125,12 +127,13 @@ from orders
 """
 ORACLES["null_counts_nan"] = with_input(
     "MEASURES",
-    "select t.*, (select count(*) * 2 - count(quantity) - count(extendedprice) from measures)::bigint as missing_cells from ("
-    + union(
-        f"select {seq} as seq, '{c}' as \"column\", count(*) - count({c}) as n_null from measures"
-        for seq, c in enumerate(("quantity", "extendedprice", "discount", "tax", "constant_col"))
-    )
-    + ") t",
+    union(
+        [
+            f"select {seq} as seq, '{c}' as \"column\", count(*) - count({c}) as n_null from measures"
+            for seq, c in enumerate(("quantity", "extendedprice", "discount", "tax", "constant_col"))
+        ]
+        + ["select -1, 'all columns', count(*) * 2 - count(quantity) - count(extendedprice) from measures"]
+    ),
 )
 ORACLES["sample_exact"] = f"{ORDERS_DAY} from orders {SAMPLED}"
 ORACLES["sample_fraction"] = (

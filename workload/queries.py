@@ -100,6 +100,18 @@ def scan_json_columns(spark, sf_dir):
     return readers.read_table(spark, path)
 
 
+@query
+def scan_other_format(spark, sf_dir):
+    path = files.folder(spark, sf_dir, "orders.orc")
+    table(spark, sf_dir, "orders").write.mode("overwrite").orc(path)
+    return as_day(readers.read_table(spark, path, fmt="orc"), "o_orderdate")
+
+
+@query
+def partition_rows(spark, sf_dir):
+    return sample.partition_rows(table(spark, sf_dir, "lineitem")).agg(F.sum("n_rows").alias("n_rows"))
+
+
 @query
 def scan_dispatch(spark, sf_dir):
     rows = _customer_text(spark, sf_dir)
@@ -214,7 +226,10 @@ def null_counts_nan(spark, sf_dir):
     measures = derived(spark, sf_dir, "MEASURES").withColumn(
         "quantity", F.coalesce("quantity", F.lit(float("nan")))
     )
-    return profile.null_counts(measures).crossJoin(profile.missing_cells(measures))
+    total = profile.missing_cells(measures).select(
+        F.lit(-1).alias("seq"), F.lit("all columns").alias("column"), F.col("missing_cells").alias("n_null")
+    )
+    return profile.null_counts(measures).unionByName(total)
 
 
 @query
