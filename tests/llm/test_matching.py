@@ -193,7 +193,6 @@ def test_pipeline_stages(spark, small):
         assert ids and (before is None or ids <= before)
         assert docs.columns[: len(columns)] == columns
         before = ids
-    assert docs.count() == corpus_pipeline.run(spark, small).count()
     assert docs.select("doc_id", "text").exceptAll(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").unionAll(
         docs.select("doc_id", "text"))).isEmpty()
 
