@@ -64,7 +64,8 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for text in batch["text"]:
             counts.update(tokens(text))
-    yield pd.DataFrame({"word": list(counts.keys()), "n": list(counts.values())})
+    if counts:
+        yield pd.DataFrame({"word": list(counts.keys()), "n": list(counts.values())})
 
 
 def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> dict[str, int]:
@@ -119,6 +120,8 @@ def count_models(docs: DataFrame, ids: dict[str, int], cells: int = CELLS) -> Pa
                             np.add.at(sums[part][m], where, 1)
         for part, both in sums.items():
             used = np.flatnonzero(both[0])
+            if not len(used):
+                continue
             yield pd.DataFrame({"part": part, "cell": used, "background": both[0][used], "target": both[1][used]})
 
     counted = (
@@ -143,6 +146,8 @@ def score_documents(docs: DataFrame, models: PairedModels) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if not len(batch):
+                continue
             rows = []
             for text in batch["text"]:
                 ids = word_ids(text, models.ids)
@@ -150,7 +155,7 @@ def score_documents(docs: DataFrame, models: PairedModels) -> DataFrame:
                 background, target = models.losses(ids) / n if n else (None, None)
                 rows.append((n, target, background, target - background if n else None))
             found = pd.DataFrame(rows, columns=["n_tokens", "target_loss", "background_loss", "score"])
-            found.insert(0, "doc_id", batch["doc_id"].array)
+            found.insert(0, "doc_id", batch["doc_id"].tolist())
             yield found
 
     # An id that is null would turn a batch's ids into fractions: carry it as text.

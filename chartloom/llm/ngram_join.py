@@ -225,6 +225,8 @@ def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _member_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
+        if not len(batch):
+            continue
         yield pd.DataFrame(
             {"doc": batch["doc_id"], "members": [shingles(text).view(np.int64) for text in batch["text"]]}
         )

@@ -130,11 +130,12 @@ def shard(
         .withColumn("__order", identity)
         .drop("__copy")
     )
-    schema = T.StructType(
-        [f for f in placed.schema.fields if f.name != "__order"] + [T.StructField("place", T.LongType())]
-    )
-    shuffled = placed.groupBy("bucket").applyInArrow(_fisher_yates(seed), schema)
-    written = stage(shuffled, "shards")
+    # Grouped functions take columns by name, where a dot would mean a field: number them.
+    names = placed.columns[:-1]
+    numbered = placed.toDF(*[c if c in ("shard", "bucket", "__order") else f"c{i}" for i, c in enumerate(placed.columns)])
+    schema = T.StructType([*numbered.schema.fields[:-1], T.StructField("place", T.LongType())])
+    shuffled = numbered.groupBy("bucket").applyInArrow(_fisher_yates(seed), schema)
+    written = stage(shuffled.toDF(*names, "place"), "shards")
     # Where each bucket starts in its shard: one small row for each bucket.
     starts = (
         written.groupBy("shard", "bucket")

@@ -144,7 +144,8 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts.update((word, False, toxic) for word in words)
             counts.update((p, True, toxic) for p in {w[:n] for w in words for n in PREFIX_LENGTHS if len(w) >= n})
     found = [(term, prefix, toxic, n) for (term, prefix, toxic), n in counts.items()]
-    yield pd.DataFrame(found, columns=["term", "prefix", "toxic", "n"])
+    if found:
+        yield pd.DataFrame(found, columns=["term", "prefix", "toxic", "n"])
 
 
 def mine_terms(sample: DataFrame, limit: int = TERMS) -> Terms:
@@ -280,7 +281,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxici
 
     def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"terms": [sorted(terms.of(text)) for text in batch["text"]]})
+            if len(batch):
+                yield pd.DataFrame({"terms": [sorted(terms.of(text)) for text in batch["text"]]})
 
     rows_of_terms = [
         np.array(r["terms"], dtype=np.int64) for r in sample.select("text").mapInPandas(numbers, "terms array<int>").collect()

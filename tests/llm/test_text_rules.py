@@ -31,7 +31,8 @@ def test_repeated_windows(spark):
 
 
 def test_bad_lines_go_and_rejected_documents(spark):
-    menu = f"Home | About | News\n{PROSE}\nAll rights reserved.\n{PROSE} Once more, with other words at its end."
+    more = "Other words stand in this one, and they say nothing that was said above it, at all."
+    menu = f"Home | About | News\n{PROSE}\nAll rights reserved.\n{more}"
     junk = "buy ### now $$$ here *** and\nthere %%% is\nmore\nto\nsee"
     rows = clean_lines(documents(spark, [(1, menu), (2, junk), (3, PROSE)])).orderBy("doc_id").collect()
     assert [r["kept"] for r in rows] == [True, False, True]
