@@ -1,16 +1,20 @@
 """Language-model scores: cross-entropy difference of a target and a background model.
 
-Both are bigram models, matched in everything but their text: one vocabulary (the most
-frequent words of all documents, ties by the word, and one id for all others), one
-interpolation with unigrams, and equal mass (background counts are scaled to the target's).
-A document's score is the mean over its words of target loss minus background loss, in nats:
-the lower, the more it reads like the target.
-
-Counts come from every word of every document. Each task counts its own words and word
-pairs and hands on sums; pairs are counted in a fixed number of hashed cells, so that a model
-has the same size for any corpus: the vocabulary and two counts for each cell travel to
-the scoring tasks (about 20 MB). Three scans of the documents; no text is shuffled while the
-target's ids, counted first, are few enough to broadcast.
+Both are bigram models, matched in everything but their text: one vocabulary (every word of
+all documents, and one place for a word never seen), one interpolation with unigrams, and
+equal mass (background counts are scaled to the target's). A document's score is the mean
+over its words of target loss minus background loss, in nats: the lower, the more it reads
+like the target.
+
+Every word and every word pair is counted, in tables of the shared folder that grow with the
+corpus: a word is named by its 64-bit hash, a pair by the hashes of both words. The pair table
+gives the counts of words and of words before others, and each pair's two losses. The most
+frequent pairs, as many as a fixed bound allows (a histogram of the counts says from which
+count on), travel to the scoring tasks; the others, none of which is more than a small share
+of the corpus, are joined to their losses and added up by row. Two scans of the documents; no text
+is shuffled while the target's ids, counted first, are few enough to broadcast.
+
+Losses are added up as whole numbers, so sums do not depend on their order.
 
 Defined cases: null and blank texts have no words, and null losses and score; equal rows get
 equal results; a document counts as target once for each of its rows if any label row names
@@ -20,22 +24,24 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import bounded_broadcast, table
+from chartloom.llm.common import bounded_broadcast, stage, table
 
-VOCABULARY = 16_384  # words with an id of their own
-CELLS = 1 << 20  # of hashed word pairs, in each model
 PAIR_WEIGHT = 0.6  # of the bigram estimate
 ADDED = 0.1  # to every word's count
 
+CARRIED_PAIRS = 1 << 19  # most frequent pairs that scoring tasks hold, at most
+CHUNK_WORDS = 200_000  # words that a task works on at a time, or one text
+UNIT = float(1 << 30)  # of a nat, in which losses are added up
+
+_BEGIN = np.uint64(xxhash.xxh3_64_intdigest(""))  # before the first word of a text
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,125 +49,166 @@ def tokens(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def word_ids(text: str | None, ids: dict[str, int]) -> np.ndarray:
-    """Id 0 is any other word; the id after the last is the beginning of a text."""
-    get = ids.get
-    return np.array([get(word, 0) for word in tokens(text)], dtype=np.int64)
+def _chunks(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(at, lengths, known, before, word) for some texts at a time, from number ``at`` on.
+
+    ``known`` are the hashes of their words; ``before`` and ``word`` are places in it.
+    """
+    at, lengths, hashes, size = 0, [], [], 0
+    for i, text in enumerate(texts):
+        words = tokens(text)
+        hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)))
+        lengths.append(len(words))
+        size += len(words)
+        if size >= CHUNK_WORDS or i == len(texts) - 1:
+            known, place = np.unique(np.concatenate([*hashes, [_BEGIN]]).astype(np.uint64), return_inverse=True)
+            word, begin = place[:-1].astype(np.int64), int(place[-1])
+            before = np.concatenate(([begin], word[:-1]))[: len(word)]
+            starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+            before[starts[np.array(lengths) > 0]] = begin
+            yield at, np.array(lengths, dtype=np.int64), known.view(np.int64), before, word
+            at, lengths, hashes, size = i + 1, [], [], 0
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        targets = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
+        for at, lengths, known, before, word in _chunks(batch.column("text").to_pylist()):
+            pairs, place, n = np.unique(before * len(known) + word, return_inverse=True, return_counts=True)
+            in_target = np.repeat(targets[at : at + len(lengths)], lengths)
+            n_target = np.bincount(place[in_target], minlength=len(pairs))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(known[pairs // len(known)]), pa.array(known[pairs % len(known)]), pa.array(n), pa.array(n_target)],
+                names=["before", "word", "background", "target"],
+            )
+
+
+def count_pairs(docs: DataFrame) -> DataFrame:
+    """(before, word, background, target): occurrences of every word pair of ``docs`` (text, is_target)."""
+    counted = docs.select("text", "is_target").mapInArrow(
+        _count_pairs, "before long, word long, background long, target long"
+    )
+    return counted.groupBy("before", "word").agg(
+        F.sum("background").alias("background"), F.sum("target").alias("target")
+    )
 
 
-def pair_cells(before: np.ndarray, word: np.ndarray, cells: int) -> np.ndarray:
-    key = (before.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)) * _MULTIPLIER
-    key ^= key >> np.uint64(29)
-    return ((key * _MULTIPLIER) >> np.uint64(33)).astype(np.int64) % cells
+def pair_losses(pairs: DataFrame) -> DataFrame:
+    """(before, word, n, target, background): every pair's occurrences and its loss in both models, in units."""
+    words, befores = (
+        stage(
+            pairs.groupBy(key).agg(
+                F.sum("background").alias(f"{key}_background"), F.sum("target").alias(f"{key}_target")
+            ),
+            f"{key}-counts",
+        )
+        for key in ("word", "before")
+    )
+    size, background, target = words.agg(
+        F.count(F.lit(1)), F.sum("word_background"), F.sum("word_target")
+    ).first()
+    mass = max(float(target or 0), 1.0)
+
+    def loss(model: str, total: float) -> Column:
+        scale = mass / total if total else 1.0
+        single = (F.col(f"word_{model}") * scale + ADDED) / (total * scale + ADDED * (size + 1))
+        follows = F.col(model) / F.greatest(F.col(f"before_{model}"), F.lit(1))
+        return F.round(-F.log(PAIR_WEIGHT * follows + (1 - PAIR_WEIGHT) * single) * UNIT).cast("long").alias(model)
+
+    joined = pairs.join(bounded_broadcast(befores), "before").join(bounded_broadcast(words), "word")
+    return joined.select(
+        "before",
+        "word",
+        F.col("background").alias("n"),
+        loss("target", float(target or 0)),
+        loss("background", float(background or 0)),
+    )
 
 
-def with_previous(ids: np.ndarray, begin: int) -> np.ndarray:
-    return np.concatenate(([begin], ids[:-1]))
+def carried_from(losses: DataFrame, most: int) -> int:
+    """The least count that so few pairs reach that tasks can hold them."""
+    rows, least = 0, None
+    for n, pairs in sorted(losses.groupBy("n").count().collect(), reverse=True):
+        rows += pairs
+        if rows > most:
+            return n + 1
+        least = n
+    return least or 1
 
 
-def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: Counter[str] = Counter()
-    for batch in batches:
-        for text in batch["text"]:
-            counts.update(tokens(text))
-    if counts:
-        yield pd.DataFrame({"word": list(counts.keys()), "n": list(counts.values())})
-
-
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> dict[str, int]:
-    """Ids from 1 of the most frequent words."""
-    counted = docs.select("text").mapInPandas(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(size).collect()
-    return {row["word"]: i for i, row in enumerate(top, start=1)}
-
-
-@dataclass
-class PairedModels:
-    """Counts of both models; index 0 is the background, 1 the target."""
-
-    ids: dict[str, int]
-    words: np.ndarray  # (2, ids): occurrences of each id
-    before: np.ndarray  # (2, ids + 1): occurrences of each id before another word
-    pairs: np.ndarray  # (2, cells)
-
-    @property
-    def begin(self) -> int:
-        return len(self.ids) + 1
-
-    def losses(self, ids: np.ndarray) -> np.ndarray:
-        """Summed loss in both models over the words of one text."""
-        previous = with_previous(ids, self.begin)
-        cells = pair_cells(previous, ids, self.pairs.shape[1])
-        mass = max(float(self.words[1].sum()), 1.0)
-        out = np.zeros(2)
-        for m in (0, 1):
-            total = float(self.words[m].sum())
-            scale = mass / total if total else 1.0
-            single = (self.words[m][ids] * scale + ADDED) / (total * scale + ADDED * self.words.shape[1])
-            follows = self.pairs[m][cells] / np.maximum(self.before[m][previous], 1.0)
-            out[m] = -np.log(PAIR_WEIGHT * np.minimum(follows, 1.0) + (1 - PAIR_WEIGHT) * single).sum()
-        return out
-
-
-def count_models(docs: DataFrame, ids: dict[str, int], cells: int = CELLS) -> PairedModels:
-    """Both models' counts over all of ``docs`` (text, is_target)."""
-    begin = len(ids) + 1
-    parts = {"word": len(ids) + 1, "before": len(ids) + 2, "pair": cells}
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = {part: np.zeros((2, size), dtype=np.int64) for part, size in parts.items()}
+def score_documents(docs: DataFrame, losses: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs``."""
+    least = carried_from(losses, CARRIED_PAIRS)
+    carried = losses.where(F.col("n") >= least).toArrow()
+    own = [carried.column(c).to_numpy().astype(np.int64) for c in ("before", "word", "target", "background")]
+    mixed = own[0].view(np.uint64) * _MULTIPLIER + own[1].view(np.uint64)
+    order = np.argsort(mixed)
+    mixed, (c_before, c_word, c_target, c_background) = mixed[order], [c[order] for c in own]
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each text a row with the losses of carried pairs, and a row for each other pair in it."""
         for batch in batches:
-            for text, is_target in zip(batch["text"], batch["is_target"]):
-                own = word_ids(text, ids)
-                if len(own):
-                    previous = with_previous(own, begin)
-                    for part, where in (("word", own), ("before", previous), ("pair", pair_cells(previous, own, cells))):
-                        for m in (0, 1) if is_target else (0,):
-                            np.add.at(sums[part][m], where, 1)
-        for part, both in sums.items():
-            used = np.flatnonzero(both[0])
-            if not len(used):
-                continue
-            yield pd.DataFrame({"part": part, "cell": used, "background": both[0][used], "target": both[1][used]})
-
-    counted = (
-        docs.select("text", "is_target")
-        .mapInPandas(count, "part string, cell long, background long, target long")
-        .groupBy("part", "cell")
-        .agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+            rows, names = batch.column("row").to_numpy(), batch.schema.names
+            ids = batch.column(names.index("doc_id"))
+            for at, lengths, known, before, word in _chunks(batch.column("text").to_pylist()):
+                texts, base = len(lengths), len(known)
+                text = np.repeat(np.arange(texts), lengths)
+                cells, n = np.unique((text * base + before) * base + word, return_counts=True)
+                text, before, word = cells // base // base, known[cells // base % base], known[cells % base]
+                sums, other = np.zeros((2, texts), dtype=np.int64), np.ones(len(cells), dtype=bool)
+                if len(mixed):
+                    asked = before.view(np.uint64) * _MULTIPLIER + word.view(np.uint64)
+                    place = np.minimum(np.searchsorted(mixed, asked), len(mixed) - 1)
+                    other = (c_before[place] != before) | (c_word[place] != word)
+                    for total, each in zip(sums, (c_target, c_background)):
+                        np.add.at(total, text[~other], n[~other] * each[place[~other]])
+                own_rows, n_other = rows[at : at + texts], int(other.sum())
+                none = pa.nulls(n_other, pa.int64())
+                # Texts are dealt out by their row: they need no pair.
+                columns = [
+                    (own_rows, rows[at + text[other]]),
+                    None,
+                    (lengths, none),
+                    (own_rows, before[other]),
+                    (np.zeros(texts, dtype=np.int64), word[other]),
+                    (np.zeros(texts, dtype=np.int64), n[other]),
+                    (sums[0], none),
+                    (sums[1], none),
+                ]
+                arrays = [pa.concat_arrays([pa.array(a, pa.int64()) for a in both]) if both else None for both in columns]
+                arrays[1] = pa.concat_arrays([ids.slice(at, texts), pa.nulls(n_other, ids.type)])
+                yield pa.RecordBatch.from_arrays(
+                    arrays, names=["row", "doc_id", "n_tokens", "before", "word", "n", "target", "background"]
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    looked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+        look_up,
+        f"row long, doc_id {kind}, n_tokens long, before long, word long, n long, target long, background long",
+    )
+    rest = losses.where(F.col("n") < least).select(
+        "before", "word", F.col("target").alias("pair_target"), F.col("background").alias("pair_background")
     )
-    found = {part: np.zeros((2, size), dtype=np.float32) for part, size in parts.items()}
-    rows = counted.toArrow()  # at most one row for each id and cell
-    named = rows.column("part").to_numpy()
-    for part in parts:
-        chosen = named == part
-        cell = rows.column("cell").to_numpy()[chosen]
-        found[part][0, cell] = rows.column("background").to_numpy()[chosen]
-        found[part][1, cell] = rows.column("target").to_numpy()[chosen]
-    return PairedModels(ids, found["word"].astype(np.float64), found["before"].astype(np.float64), found["pair"])
-
-
-def score_documents(docs: DataFrame, models: PairedModels) -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs``."""
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            rows = []
-            for text in batch["text"]:
-                ids = word_ids(text, models.ids)
-                n = len(ids)
-                background, target = models.losses(ids) / n if n else (None, None)
-                rows.append((n, target, background, target - background if n else None))
-            found = pd.DataFrame(rows, columns=["n_tokens", "target_loss", "background_loss", "score"])
-            found.insert(0, "doc_id", batch["doc_id"].tolist())
-            yield found
-
-    # An id that is null would turn a batch's ids into fractions: carry it as text.
-    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    schema = "doc_id string, n_tokens long, target_loss double, background_loss double, score double"
-    return texts.mapInPandas(score, schema).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    def added(model: str) -> Column:
+        return F.sum(F.coalesce(F.col(model), F.col("n") * F.col(f"pair_{model}"))).alias(model)
+
+    summed = (
+        looked.join(rest, ["before", "word"], "left")
+        .groupBy("row")
+        .agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), added("target"), added("background"))
+    )
+
+    def mean(units: Column) -> Column:
+        return F.when(F.col("n_tokens") > 0, units / (F.col("n_tokens") * F.lit(UNIT)))
+
+    return summed.select(
+        "doc_id",
+        "n_tokens",
+        mean(F.col("target")).alias("target_loss"),
+        mean(F.col("background")).alias("background_loss"),
+        mean(F.col("target") - F.col("background")).alias("score"),
+    )
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
@@ -170,9 +217,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     marked = docs.select("doc_id", "text").join(
         bounded_broadcast(wanted, 2_000_000), F.col("doc_id") == F.col("target_id"), "left"
     )
-    ids = vocabulary(docs)
-    models = count_models(marked.select("text", F.col("target_id").isNotNull().alias("is_target")), ids)
-    return score_documents(docs, models)
+    pairs = stage(count_pairs(marked.select("text", F.col("target_id").isNotNull().alias("is_target"))), "pairs")
+    return score_documents(docs, stage(pair_losses(pairs), "pair-losses"))
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

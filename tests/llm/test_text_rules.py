@@ -138,3 +138,27 @@ def test_odd_rows_by_model(spark, odd, none, clashing):
     assert found.count() == odd.count() and found.where("n_tokens = 0 and score is null").count() == 4
     assert lm_scoring.cross_entropy_difference(none, ids).collect() == []
     assert lm_scoring.cross_entropy_difference(odd, ids.limit(0)).where("score is not null").count() == 6
+
+
+@pytest.mark.parametrize("carried", [0, 50, 1 << 19])
+def test_every_word_and_pair_has_its_own_count(spark, monkeypatch, carried):
+    monkeypatch.setattr("chartloom.llm.lm_scoring.CARRIED_PAIRS", carried)
+    texts = {i: [f"w{i * 100 + k}" for k in range(100)] + ["the", "end"] * 3 for i in range(200)}
+    docs = documents(spark, [(i, " ".join(words)) for i, words in texts.items()])
+    rows = lm_scoring.cross_entropy_difference(docs, docs.where("doc_id < 20").select("doc_id")).collect()
+    found = {r["doc_id"]: (r["target_loss"], r["background_loss"]) for r in rows}
+    assert len(rows) == len(texts)
+
+    def losses(members):
+        words, before, pairs = Counter(), Counter(), Counter()
+        for i in members:
+            words.update(texts[i])
+            before.update([None, *texts[i][:-1]])
+            pairs.update(zip([None, *texts[i]], texts[i]))
+        total, scale = sum(words.values()), 20 / len(members)
+        single = lambda y: (words[y] * scale + 0.1) / (total * scale + 0.1 * 20_003)
+        each = lambda x, y: -math.log(0.6 * pairs[x, y] / max(before[x], 1) + 0.4 * single(y))
+        return {i: np.mean([each(x, y) for x, y in zip([None, *t], t)]) for i, t in texts.items()}
+
+    target, background = losses(range(20)), losses(range(200))
+    assert all(found[i] == (pytest.approx(target[i]), pytest.approx(background[i])) for i in texts)
