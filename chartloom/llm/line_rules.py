@@ -17,6 +17,8 @@ table gives an empty result; input columns named like the added ones, in any cas
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +36,8 @@ MAX_REPEATED_PERCENT = 20
 MAX_LOST_PERCENT = 33  # of a document's words
 SHORT_LINE_WORDS = 4  # a line up to this long with no sentence end looks like navigation
 MAX_SYMBOL_PERCENT = 5  # of a line's characters
-LINE_END = 12  # characters in which a sentence end and closing marks are looked for
-MAX_BOILERPLATE_CHARS = 200  # longer lines are prose
+LINE_END = 12  # characters in which a sentence end and closing marks are looked for first
+MAX_BOILERPLATE_CHARS = 200  # in OP5_SQL alone
 ENDS_SENTENCE = r"[.!?:;…。！？][\"'’”»)\]\s]*$"
 MENU_MARK = r"[|»›>•·]"
 MENU_MARKS = r"(^|\s)[|»›>•·](\s|$)"
@@ -45,6 +47,13 @@ BOILERPLATE = (
     r"©|\(c\) ?(19|20)\d\d|licensed under|released under|copyright|general public license|"
     r"powered by|skip to (main )?content)"
 )
+#: Lower-case texts of which every match of BOILERPLATE has one.
+BOILERPLATE_SIGNS = (
+    "all rights reserved", "terms of ", "terms and conditions", "privacy policy", "cookie", "javascript",
+    "lorem ipsum", "subscribe to", "sign in", "sign up", "login", "log in", "click here", "read more", "share this",
+    "share on", "©", "(c)", "licensed under", "released under", "copyright", "general public license", "powered by",
+    "skip to ",
+)
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -97,16 +106,21 @@ def repeated_windows_words(words: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """True for a line with words that breaks one of the rules; cheap tests come first."""
+    """True for a line with words that breaks one of the rules.
+
+    Cheap tests come first: a sentence end near the line's end, signs of menus and boilerplate.
+    What they leave open is decided on the whole line.
+    """
     n_words = F.size(F.split(F.btrim(line), r"\s+"))
     symbols = F.length(line) - F.length(F.regexp_replace(line, SYMBOLS + "+", ""))
-    bare = ~F.rlike(F.substring(line, -LINE_END, LINE_END), F.lit(ENDS_SENTENCE))
-    short = F.length(line) <= MAX_BOILERPLATE_CHARS
+    bare_end = ~F.rlike(F.substring(line, -LINE_END, LINE_END), F.lit(ENDS_SENTENCE))
+    bare = ~F.rlike(line, F.lit(ENDS_SENTENCE))
+    signs = bound(F.lower(line), lambda low: reduce(or_, [F.contains(low, F.lit(sign)) for sign in BOILERPLATE_SIGNS]))
     return F.rlike(line, F.lit(HAS_WORD)) & (
-        (bare & (n_words <= SHORT_LINE_WORDS))
+        (bare_end & (n_words <= SHORT_LINE_WORDS) & bare)
         | (symbols * 100 > F.length(line) * MAX_SYMBOL_PERCENT)
         | (F.rlike(line, F.lit(MENU_MARK)) & F.rlike(line, F.lit(MENU_MARKS)))
-        | (short & F.rlike(line, F.lit(BOILERPLATE)))
+        | (signs & F.rlike(line, F.lit(BOILERPLATE)))
     )
 
 

@@ -162,3 +162,12 @@ def test_every_word_and_pair_has_its_own_count(spark, monkeypatch, carried):
 
     target, background = losses(range(20)), losses(range(200))
     assert all(found[i] == (pytest.approx(target[i]), pytest.approx(background[i])) for i in texts)
+
+
+def test_line_rules_read_whole_lines(spark):
+    notice = PROSE + " " + "It may be used by all who want to, in any way they like to use it. " * 3
+    long = [notice + sign + " and more words." for sign in ("Copyright of the firm,", "(C) 1999,", "Please Log in", "Terms of use apply,")]
+    texts = ["\n".join([PROSE, line]) for line in long] + [f"{PROSE}\nIt ends here.{' ' * 20}", f"{PROSE}\n{notice}"]
+    rows = clean_lines(documents(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [r["n_bad_lines"] for r in rows] == [1, 1, 1, 1, 0, 0]
+    assert [r["cleaned_text"] for r in rows[:4]] == [PROSE] * 4
