@@ -1,10 +1,12 @@
 """Similarity join of documents on word n-grams: T-occurrence search with DivideSkip.
 
-A document's set holds the hashes of its distinct four-word shingles; two documents link
-when 100 * intersection >= 85 * union. Documents with equal sets are one class, named by the
+A document's set holds the hashes of its distinct shingles of ``width`` words; two documents
+link when 100 * intersection >= percent * union: four words and 85 percent in op9, other
+values where a caller gives them. Documents with equal sets are one class, named by the
 least id, and only classes are compared.
 
-1. Every class lists its lowest hashes: a fifth, at least 64. Linked sets of sizes n and m
+1. Every class lists its lowest hashes: five percent more than linked sets may lack (a fifth
+   at 85 percent), at least 64. Linked sets of sizes n and m
    agree in most of these (``_needed``), so a class whose listed hashes occur in too few other
    classes has no link and leaves. Ordinary texts leave here, also those that share a
    common line or passage.
@@ -22,7 +24,7 @@ blocks in comparisons, spread over as many tasks; a task's memory and what it re
 in proportion to a block.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; fewer
-than four words are one shingle; rows of one id are one document that links through any of
+words than a shingle has are one; rows of one id are one document that links through any of
 its rows; rows without id are in no component (null); extra columns are ignored; an empty
 table gives an empty result.
 """
@@ -41,24 +43,24 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import bounded_broadcast, every, stage, table
 from chartloom.llm.components import connected_components
 
-# Fixed values
+# Fixed values of op9
 SHINGLE_WORDS = 4
 PERCENT = 85  # of the union
 
-LISTED_SHARE, LISTED_LEAST = 20, 64  # percent of a set's hashes that are listed, and how many at least
+LISTED_MORE, LISTED_LEAST = 5, 64  # percent of a set's hashes that are listed beyond what it may lack, and how many at least
 BLOCK_HASHES = 1_500_000  # set members that a task compares at a time
 LONG_LISTS = 0.1  # a query's lists that are probed, as a share of its threshold
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles of a text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-    width = min(SHINGLE_WORDS, len(words))
+    width = min(width, len(words))
     mixed = np.full(len(words) - width + 1, width, dtype=np.uint64)
     for i in range(width):
         mixed = mixed * _MULTIPLIER + hashes[i : len(hashes) - width + 1 + i]
@@ -68,41 +70,45 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(mixed)
 
 
-def threshold(n: np.ndarray | int):
+def threshold(n: np.ndarray | int, percent: int = PERCENT):
     """The overlap that a set of n needs with any set it links with."""
-    return -(-PERCENT * n // 100)
+    return -(-percent * n // 100)
 
 
-def _listed(n: int) -> int:
-    return min(n, max(LISTED_LEAST, -(-LISTED_SHARE * n // 100)))
+def _listed_share(percent: int) -> int:
+    return 100 - percent + LISTED_MORE
 
 
-def _shared(n: int) -> int:
+def _listed(n: int, percent: int = PERCENT) -> int:
+    return min(n, max(LISTED_LEAST, -(-_listed_share(percent) * n // 100)))
+
+
+def _shared(n: int, percent: int = PERCENT) -> int:
     """Listed hashes that a set of n surely shares with a linked set that lists as many."""
-    return _listed(n) - (n - threshold(n))
+    return _listed(n, percent) - (n - threshold(n, percent))
 
 
-def needed(n: int, _known: dict[int, int] = {}) -> int:  # noqa: B006
+def needed(n: int, percent: int = PERCENT, _known: dict[tuple[int, int], int] = {}) -> int:  # noqa: B006
     """Listed hashes that a set of n shares with any linked set, whatever its size.
 
     Beyond the sizes where the least number listed matters, fewer hashes are shared by
     smaller sets, so the smallest partner decides.
     """
-    if n not in _known:
-        smallest, largest = threshold(n), 100 * n // PERCENT
-        flat = 100 * LISTED_LEAST // LISTED_SHARE + 20
+    if (n, percent) not in _known:
+        smallest, largest = threshold(n, percent), 100 * n // percent
+        flat = 100 * LISTED_LEAST // _listed_share(percent) + 20
         sizes = range(smallest, min(largest, max(flat, n)) + 1) if smallest <= flat else (smallest, smallest + 1, n)
-        _known[n] = min(_shared(m) for m in sizes) - (2 if smallest > flat else 0)
-    return max(1, _known[n])
+        _known[n, percent] = min(_shared(m, percent) for m in sizes) - (2 if smallest > flat else 0)
+    return max(1, _known[n, percent])
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(text) for text in batch.column("text").to_pylist()]
+        sets = [shingles(text, width) for text in batch.column("text").to_pylist()]
         sizes = [len(s) for s in sets]
         marks = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         halves = np.frombuffer(b"".join(marks), dtype=np.int64).reshape(-1, 2)
-        low = [s[: _listed(n)].view(np.int64) for s, n in zip(sets, sizes)]
+        low = [s[: _listed(n, percent)].view(np.int64) for s, n in zip(sets, sizes)]
         ends = np.concatenate(([0], np.cumsum([len(x) for x in low]))).astype(np.int32)
         listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *low])))
         yield pa.RecordBatch.from_arrays(
@@ -111,18 +117,19 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(sizes, pa.int64()),
                 pa.array(halves[:, 0]),
                 pa.array(halves[:, 1]),
-                pa.array([needed(n) if n else 0 for n in sizes], pa.int64()),
+                pa.array([needed(n, percent) if n else 0 for n in sizes], pa.int64()),
                 listed,
             ],
             names=["doc_id", "n", "d1", "d2", "needed", "listed"],
         )
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
+def document_sets(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n, d1, d2, needed, listed): size, identity and lowest hashes of every set."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
-        _set_rows, "doc_id long, n long, d1 long, d2 long, needed long, listed array<long>"
+        lambda batches: _set_rows(batches, width, percent),
+        "doc_id long, n long, d1 long, d2 long, needed long, listed array<long>",
     )
 
 
@@ -157,11 +164,13 @@ class _Forest:
         return i
 
 
-def search_links(sets: list[np.ndarray], sides: np.ndarray | None = None) -> list[tuple[int, int]]:
+def search_links(
+    sets: list[np.ndarray], sides: np.ndarray | None = None, percent: int = PERCENT
+) -> list[tuple[int, int]]:
     """A spanning forest of the links among the sets (across the two sides, if given).
 
     Queries go through the sets by size; a query's partners come before it and are at least
-    85 percent as large, so its threshold is 85 percent of its own size.
+    ``percent`` percent as large, so its threshold is that share of its own size.
     """
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
     sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
@@ -178,7 +187,7 @@ def search_links(sets: list[np.ndarray], sides: np.ndarray | None = None) -> lis
     own_start = np.searchsorted(owners, np.arange(len(order) + 1))
     forest, links = _Forest(len(order)), []
     for q in range(1, len(order)):
-        need = int(threshold(sizes[q]))
+        need = int(threshold(sizes[q], percent))
         asked = token[own_start[q] : own_start[q + 1]]
         if len(asked) < need:
             continue
@@ -206,7 +215,7 @@ def search_links(sets: list[np.ndarray], sides: np.ndarray | None = None) -> lis
             place = np.searchsorted(inverted, found + first)
             total = total + (inverted[np.minimum(place, len(inverted) - 1)] == found + first)
         union = sizes[q] + sizes[found + first] - total
-        for r in (found + first)[100 * total >= PERCENT * union]:
+        for r in (found + first)[100 * total >= percent * union]:
             here, there = forest.root(q), forest.root(int(r))
             if here != there:
                 forest.up[here] = there
@@ -214,29 +223,33 @@ def search_links(sets: list[np.ndarray], sides: np.ndarray | None = None) -> lis
     return links
 
 
-def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links of one block, or between two."""
     sets = [np.sort(np.asarray(s, dtype=np.int64).view(np.uint64)) for s in rows["members"]]
     one_block = rows["low_block"].iat[0] == rows["high_block"].iat[0]
     docs = rows["doc"].to_numpy()
-    links = search_links(sets, None if one_block else rows["block"].to_numpy())
+    links = search_links(sets, None if one_block else rows["block"].to_numpy(), percent)
     return pd.DataFrame([(docs[a], docs[b]) for a, b in links], columns=["a", "b"]).astype("int64")
 
 
-def _member_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _member_rows(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if not len(batch):
             continue
         yield pd.DataFrame(
-            {"doc": batch["doc_id"], "members": [shingles(text).view(np.int64) for text in batch["text"]]}
+            {"doc": batch["doc_id"], "members": [shingles(text, width).view(np.int64) for text in batch["text"]]}
         )
 
 
-def class_links(docs: DataFrame, candidates: DataFrame) -> DataFrame:
+def class_links(
+    docs: DataFrame, candidates: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
     """(a, b): links between candidate classes that connect all that are linked."""
     keys = bounded_broadcast(candidates.select(F.col("doc").alias("doc_id")), 4_000_000)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(keys, "doc_id", "left_semi")
-    sets = texts.mapInPandas(_member_rows, "doc long, members array<long>").join(candidates, "doc")
+    sets = texts.mapInPandas(
+        lambda batches: _member_rows(batches, width), "doc long, members array<long>"
+    ).join(candidates, "doc")
     sets = stage(sets, "sets")
     parts = (
         sets.groupBy("part")
@@ -254,12 +267,14 @@ def class_links(docs: DataFrame, candidates: DataFrame) -> DataFrame:
         "block",
         "members",
     )
-    return pairs.groupBy("part", "low_block", "high_block").applyInPandas(_block_links, "a long, b long")
+    return pairs.groupBy("part", "low_block", "high_block").applyInPandas(
+        lambda rows: _block_links(rows, percent), "a long, b long"
+    )
 
 
-def link_components(docs: DataFrame) -> DataFrame:
+def link_components(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs`` (doc_id, text)."""
-    sets = stage(document_sets(docs), "document-sets")
+    sets = stage(document_sets(docs, width, percent), "document-sets")
     filled = sets.where("n > 0 and doc_id is not null")
     classes = stage(
         filled.groupBy("n", "d1", "d2").agg(
@@ -268,7 +283,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         "classes",
     )
     candidates = stage(candidate_classes(classes), "candidates")
-    components = stage(connected_components(class_links(docs, candidates)), "components")
+    components = stage(connected_components(class_links(docs, candidates, width, percent)), "components")
     named = (
         classes.select("n", "d1", "d2", "doc")
         .join(components.withColumnRenamed("node", "doc"), "doc", "left")
@@ -284,9 +299,9 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def one_of_each_component(docs: DataFrame) -> DataFrame:
+def one_of_each_component(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: the one with the least id, the first by content."""
-    found = link_components(docs.select("doc_id", "text"))
+    found = link_components(docs.select("doc_id", "text"), width, percent)
     gone = stage(
         found.where("component_id < doc_id").select(F.col("doc_id").alias("__doc")).distinct(), "later-copies"
     )

@@ -17,9 +17,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+# The near-duplicate stage's links
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that n-gram links connect: the one with the least id."""
-    return one_of_each_component(docs)
+    return one_of_each_component(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -204,3 +204,30 @@ def test_pipeline_of_odd_and_empty_tables(spark, odd, none, tables):
     found = corpus_pipeline.run(spark, folder)
     assert {r["doc_id"] for r in found.collect()} <= {r["doc_id"] for r in odd.collect()} - {6, 4}
     assert corpus_pipeline.run(spark, tables(documents=none, labels=labels, benchmark=items)).collect() == []
+
+
+def test_near_duplicates_at_five_words_and_80_percent(spark):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(8):
+        base = [f"v{rng.randrange(4000)}" for _ in range(rng.choice((60, 300, 700)))]
+        texts.append(" ".join(base))
+        for share in (8, 6, 5, 4):  # an added paragraph: a passage of so many parts of a hundred, three times
+            texts.append(" ".join(base + [f"n{rng.randrange(10**6)}" for _ in range(len(base) * share * 3 // 100)]))
+    sets = {i: frozenset(shingles(t, 5).tolist()) for i, t in enumerate(texts)}
+    shares = {(a, b): 100 * len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    links = [pair for pair, share in shares.items() if share >= 80]
+    assert any(80 <= share < 84 for share in shares.values())
+    docs = documents(spark, list(enumerate(texts)))
+    found = link_components(docs, 5, 80).collect()
+    wanted = closure(links, sets)
+    assert {r["doc_id"]: r["component_id"] for r in found} == wanted
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == set(wanted.values())
+
+
+def test_needed_at_80_percent():
+    shared = lambda n: min(n, max(64, -(-n // 4))) - (n - threshold(n, 80))
+    for n in [*range(1, 700), 1_000, 1_777, 5_000, 12_345]:
+        partners = range(threshold(n, 80), 100 * n // 80 + 1)
+        assert 1 <= needed(n, 80) <= max(1, min(map(shared, partners)))
