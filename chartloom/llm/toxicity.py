@@ -9,7 +9,8 @@
    voters within a class discount their votes, so that voters who say the same thing do not
    count twice. Labelled training rows anchor the two classes.
 3. A linear classifier over the terms is trained on the label model's posteriors of the
-   sampled rows, and scores every whole text.
+   sampled rows, and scores every whole text. If no sampled row has one of the phrases, their
+   weight is what the label model gives their voter.
 
 Passes over the documents: one for the sample's terms, one that turns every document into
 a vote pattern (at most 2**14 different ones, counted in each task first), and the scoring
@@ -58,8 +59,12 @@ INSULTS = frozenset(
     " dummkopf arschloch abschaum idiota imbécil estúpido basura connard salope ordure abruti".split()
 )
 PHRASES = re.compile(
-    r"\b(?:shut up|drop dead|kill yourself|go to hell|hate you|piece of (?:trash|garbage|shit)"
-    r"|you(?: are|'re)? (?:all )?(?:an? )?(?:idiot|moron|loser|clown|scum|trash|pathetic|stupid|worthless))\b"
+    r"\b(?:shut\s+up|drop\s+dead|kill\s+yourself|go\s+to\s+hell|hate\s+you|piece\s+of\s+(?:trash|garbage|shit)"
+    r"|you(?:\s+are|'re)?\s+(?:all\s+)?(?:an?\s+)?(?:idiot|moron|loser|clown|scum|trash|pathetic|stupid|worthless))\b"
+)
+#: Words of which every phrase has one.
+PHRASE_WORDS = frozenset(
+    "shut dead yourself hell hate piece idiot moron loser clown scum trash pathetic stupid worthless".split()
 )
 WORDS = re.compile(r"\w+")
 
@@ -82,15 +87,15 @@ class Terms:
     def of(self, text: str | None) -> set[int]:
         """The numbers of the terms in a text."""
         said = (text or "").lower()
-        found = set()
-        for word in set(WORDS.findall(said)):
+        found, spoken = set(), set(WORDS.findall(said))
+        for word in spoken:
             if word in self.words:
                 found.add(self.words[word])
             if word[: PREFIX_LENGTHS[0]] in self.starts:
                 for n in PREFIX_LENGTHS:
                     if word[:n] in self.prefixes:
                         found.add(self.prefixes[word[:n]])
-        if found and PHRASES.search(said):
+        if not spoken.isdisjoint(PHRASE_WORDS) and PHRASES.search(said):
             found.add(self.size - 1)  # the phrases are the last term
         return found
 
@@ -179,6 +184,12 @@ class LabelModel:
     correlation: np.ndarray  # (voters, voters): what remains within the classes
     weight: np.ndarray  # discount of each voter for saying what others say
 
+    def worth(self) -> np.ndarray:
+        """What each voter adds to the log-odds when it fires."""
+        one = np.log(self.fires[1]) - np.log(self.fires[0])
+        none = np.log1p(-self.fires[1]) - np.log1p(-self.fires[0])
+        return (one - none) * self.weight
+
     def posterior(self, fired: np.ndarray) -> np.ndarray:
         one = np.log(self.fires[1]) - np.log(self.fires[0])
         none = np.log1p(-self.fires[1]) - np.log1p(-self.fires[0])
@@ -290,6 +301,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxici
     masks = as_array(terms.votes(set(r)) for r in rows_of_terms)
     targets = label_model.posterior(bits(masks, voters)) if len(masks) else np.empty(0)
     weights, bias = fit_classifier(rows_of_terms, targets, terms.size)
+    if len(masks) and not (masks >> (voters - 1)).any():
+        weights[-1] = label_model.worth()[voters - 1]
     return ToxicityModel(terms, label_model, weights, bias)
 
 

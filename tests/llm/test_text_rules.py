@@ -171,3 +171,14 @@ def test_line_rules_read_whole_lines(spark):
     rows = clean_lines(documents(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
     assert [r["n_bad_lines"] for r in rows] == [1, 1, 1, 1, 0, 0]
     assert [r["cleaned_text"] for r in rows[:4]] == [PROSE] * 4
+
+
+def test_phrases_vote_alone(spark, labelled):
+    phrases = ["shut up", "Drop\ndead", "kill  yourself", "go to\thell", "I hate you"]
+    model = train(*labelled)
+    assert all(model.terms.of(f"now {p}.") == {model.terms.size - 1} for p in phrases)
+    assert model.terms.of("shut the door, up there; hate, you say") == set()
+    assert all(model.score(f"now {p}.") > model.score("now.") for p in phrases)
+    plain = documents(spark, [(i, f"now {p}.") for i, p in enumerate([*phrases, "then"])])
+    no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert [r["predicted"] for r in score_documents(plain, train(plain, no_labels)).orderBy("doc_id").collect()] == [1] * 5 + [0]
