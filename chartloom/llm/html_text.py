@@ -4,9 +4,11 @@ A page becomes a sequence of text blocks, each with the path of block tags from
 For every path the blocks' text length and punctuation are added up and divided by the
 number of blocks; the two ratios are fused, laid out in page order, smoothed over
 neighbouring blocks, and averaged by path again. Paths above a share of the page's best
-path are content. Blocks inside elements that never hold the article (menus, forms,
-scripts, adverts, comments and the like, by tag or by class, id and role) are left out
-before, and paths that are mostly links after.
+path are content. Text inside elements that never hold the article (menus, forms, scripts
+and the like, by tag) is left out before, and paths that are mostly links after. So is text
+inside elements with a class, id or role such as "sidebar" or "comments" (the whole name),
+but not if the element holds an article or main element, or most of the unlinked text of a
+page without text in such elements: there the ratios decide.
 
 A page is worked on alone, in Arrow batches, in one scan without a shuffle: no key or host
 gathers pages. Work and memory follow the length of the page.
@@ -50,10 +52,10 @@ NEVER = frozenset(
     " iframe svg canvas object dialog menu datalist audio video".split()
 )
 NEVER_NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|side-?bar|menu|nav(?:bar|igation)?|bread-?crumbs?"
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|side-?bar|menu|nav(?:bar|igation)?|bread-?crumbs?"
     r"|comments?|discussion|replies|disqus|respond|notices?|alerts?|cookies?|consent|pop-?up|modal|newsletter"
     r"|subscribe|share|sharing|social|related|recommend\w*|widget|footer|masthead|site-?header|page-?header|login"
-    r"|contentinfo|complementary|search)(?:$|[\s_-])",
+    r"|contentinfo|complementary|search)",
     re.I,
 )
 
@@ -75,43 +77,77 @@ class _Blocks:
     """Collects text blocks with their paths while markup opens and closes."""
 
     def __init__(self) -> None:
-        self.open: list[tuple[str, bool, bool]] = []  # tag, left out, in a link
+        self.open: list[tuple[str, bool, bool, int]] = []  # tag, left out, in a link, named element
         self.paths: list[str] = []
         self.texts: list[str] = []
         self.links: list[int] = []
-        self.parts: list[str] = []
-        self.linked = 0
+        self.parts: list[tuple[str, bool, int]] = []  # text, in a link, named element
+        self.ended: list[tuple[str, list[tuple[str, bool, int]]]] = []  # path, parts
+        # Elements with a name of NEVER_NAMED, numbered as they open: the one around each (or -1), ...
+        self.around: list[int] = []
+        self.holds: list[bool] = []  # an article or main element
+        self.unlinked: list[int] = []  # characters outside links, of its own
+        self.all_unlinked = 0
 
     def text(self, raw: str) -> None:
         if raw and not (self.open and self.open[-1][1]):
             said = entities.unescape(raw)
-            self.parts.append(said)
-            if self.open and self.open[-1][2]:
-                self.linked += len(said.strip())
+            link, named = (self.open[-1][2], self.open[-1][3]) if self.open else (False, -1)
+            self.parts.append((said, link, named))
+            if not link:
+                self.all_unlinked += len(said.strip())
+                if named >= 0:
+                    self.unlinked[named] += len(said.strip())
 
     def end_block(self) -> None:
-        said = " ".join("".join(self.parts).split())
-        if said:
-            self.paths.append("/".join(tag for tag, _, _ in self.open if tag not in INLINE))
-            self.texts.append(said)
-            self.links.append(min(self.linked, len(said)))
-        self.parts, self.linked = [], 0
+        if self.parts:
+            self.ended.append(("/".join(tag for tag, *_ in self.open if tag not in INLINE), self.parts))
+            self.parts = []
+
+    def settle(self) -> None:
+        """Leave out what the named elements hold, and make blocks of the rest."""
+        for i in range(len(self.around) - 1, -1, -1):
+            if self.around[i] >= 0:
+                self.unlinked[self.around[i]] += self.unlinked[i]
+        marked = any(
+            not {"article", "main"}.isdisjoint(path.split("/")) and any(said.strip() and not link for said, link, _ in parts)
+            for path, parts in self.ended
+        )
+        out: list[bool] = []
+        for around, holds, unlinked in zip(self.around, self.holds, self.unlinked):
+            out.append(around >= 0 and out[around] or not (holds or not marked and 2 * unlinked > self.all_unlinked))
+        for path, parts in self.ended:
+            kept = [(said, link) for said, link, named in parts if named < 0 or not out[named]]
+            text = " ".join("".join(said for said, _ in kept).split())
+            if text:
+                self.paths.append(path)
+                self.texts.append(text)
+                self.links.append(min(sum(len(said.strip()) for said, link in kept if link), len(text)))
 
     def start(self, tag: str, attributes: str) -> None:
         if tag not in INLINE:
             self.end_block()
-        if tag in CLOSES_P and any(t == "p" for t, _, _ in self.open[-8:]):
+        if tag in CLOSES_P and any(t == "p" for t, *_ in self.open[-8:]):
             self.close("p")
-        elif tag in CLOSES_ITSELF and any(t == tag for t, _, _ in self.open[-3:]):
+        elif tag in CLOSES_ITSELF and any(t == tag for t, *_ in self.open[-3:]):
             self.close(tag)
         if tag in VOID:
             return
-        out, link = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
-        out = out or tag in NEVER or tag == "header" and not any(t in ("article", "main") for t, _, _ in self.open)
-        if not out and tag not in ("html", "body", "article", "main") and "=" in attributes:
+        out, link, named = self.open[-1][1:] if self.open else (False, False, -1)
+        out = out or tag in NEVER or tag == "header" and not any(t in ("article", "main") for t, *_ in self.open)
+        if not out and tag in ("article", "main"):
+            around = named
+            while around >= 0 and not self.holds[around]:
+                self.holds[around] = True
+                around = self.around[around]
+        elif not out and tag not in ("html", "body") and "=" in attributes:
             names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
-            out = bool(names and NEVER_NAMED.search(names))
-        self.open.append((tag, out, link or tag == "a"))
+            if any(map(NEVER_NAMED.fullmatch, names.split())):
+                self.around.append(named)
+                self.holds.append(False)
+                self.unlinked.append(0)
+                named = len(self.around) - 1
+        self.open.append((tag, out, link or tag == "a", named))
 
     def close(self, tag: str) -> None:
         for i in range(len(self.open) - 1, -1, -1):
@@ -131,6 +167,7 @@ def blocks(page: str) -> _Blocks:
         if markup is None:
             found.text(page[at:])
             found.end_block()
+            found.settle()
             return found
         found.text(page[at : markup.start()])
         at = markup.end()

@@ -182,3 +182,13 @@ def test_phrases_vote_alone(spark, labelled):
     plain = documents(spark, [(i, f"now {p}.") for i, p in enumerate([*phrases, "then"])])
     no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r["predicted"] for r in score_documents(plain, train(plain, no_labels)).orderBy("doc_id").collect()] == [1] * 5 + [0]
+
+
+def test_layout_names_do_not_cost_the_article():
+    words = "<p>First text, with words.</p><p>Second text, with more words.</p>"
+    said = "First text, with words. Second text, with more words."
+    for name in ("no-sidebar", "content has-sidebar", "content-sidebar-wrap", "sidebar"):
+        assert main_text(f"<body><div class='{name}'>{words}</div></body>") == said
+    side = "<div class='box ad'><p>Buy this, and that, now.</p></div>"
+    assert main_text(f"<div class='search'><article>{words}{side}</article></div>") == said
+    assert main_text(f"<div id=main>{words}<p>Third<span class=ad> Buy, buy</span>, at last.</p>{side}</div>") == said + " Third, at last."
