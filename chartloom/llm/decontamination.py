@@ -139,19 +139,20 @@ def exact_hits(candidates: DataFrame, docs: DataFrame, windows: DataFrame) -> Da
 
 
 def near_matches(index: DataFrame, windows: DataFrame, slack: int = SLACK) -> DataFrame:
-    """(doc, item, item_id, span): documents with all rarest terms of an item's rarest window close by.
+    """(doc, item, item_id, span): documents with all rarest terms of one of an item's windows close by.
 
     ``span`` is the fewest words that hold all of them, in any order, at most the window's
-    length plus ``slack``. A sliding pass keeps the last place of each term.
+    length plus ``slack``, over all windows of the item; windows with the same terms are one.
+    A sliding pass keeps the last place of each term.
     """
-    rarest = Window.partitionBy("item").orderBy(F.col("anchors")[0]["n"], "start")
-    best = windows.withColumn("place", F.row_number().over(rarest)).where("place = 1")
-    terms = best.select("item", "item_id", "length", F.array_distinct("anchors.term").alias("terms"))
+    terms = windows.select(
+        "item", "item_id", "length", F.array_sort(F.array_distinct("anchors.term")).alias("terms")
+    ).distinct()
     asked = terms.select("*", F.posexplode("terms").alias("slot", "term"))
     met = index.join(bounded_broadcast(asked, 200_000), "term").select(
-        "doc", "item", "item_id", "length", F.size("terms").alias("n_terms"), "slot", F.explode("positions").alias("position")
+        "doc", "item", "item_id", "length", "terms", F.size("terms").alias("n_terms"), "slot", F.explode("positions").alias("position")
     )
-    so_far = Window.partitionBy("doc", "item").orderBy("position", "slot").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("doc", "item", "terms").orderBy("position", "slot").rowsBetween(Window.unboundedPreceding, 0)
     for slot in range(RAREST):
         last = F.max(F.when(F.col("slot") == slot, F.col("position"))).over(so_far)
         # A window of fewer terms has no last place in the later slots.
@@ -163,10 +164,10 @@ def near_matches(index: DataFrame, windows: DataFrame, slack: int = SLACK) -> Da
     span = F.col("position") - F.least(*lasts) + 1
     return (
         met.where(complete)
-        .groupBy("doc", "item", "item_id", "length")
-        .agg(F.min(span).alias("span"))
+        .withColumn("span", span)
         .where(F.col("span") <= F.col("length") + slack)
-        .drop("length")
+        .groupBy("doc", "item", "item_id")
+        .agg(F.min("span").alias("span"))
     )
 
 

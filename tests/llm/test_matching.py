@@ -231,3 +231,12 @@ def test_needed_at_80_percent():
     for n in [*range(1, 700), 1_000, 1_777, 5_000, 12_345]:
         partners = range(threshold(n, 80), 100 * n // 80 + 1)
         assert 1 <= needed(n, 80) <= max(1, min(map(shared, partners)))
+
+
+def test_near_matches_of_every_window(spark):
+    item = [f"q{i}" for i in range(60)]
+    late = " ".join(item[43:46] + ["x", "y"] + item[40:43] + item[46:56])  # reordered, from the item's end
+    docs = documents(spark, [(1, late), (2, " ".join(item)), (3, " ".join(f"{w} {'z ' * 30}" for w in item[40:56]))])
+    index, windows = dc.prepare(dc.keyed_words(docs, "doc_id", "text"), bench(spark, [(9, " ".join(item))]))
+    near = {r["doc"]["id"]: r["span"] for r in dc.near_matches(index, windows).collect()}
+    assert set(near) == {1, 2} and all(span <= 20 for span in near.values())
