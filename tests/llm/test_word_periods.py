@@ -22,9 +22,10 @@ def brute_force(words):
             while j + q < n and words[j] == words[j + q]:
                 j += 1
             length = j - i + q
-            smaller = any(all(words[k] == words[k + p] for k in range(i, i + length - p)) for p in range(1, q))
-            if j > i and length >= max(6, 4 * q) and not smaller:
-                runs.add((i, length, q))
+            if j > i and length >= max(6, 4 * q):
+                same = lambda p: all(words[k] == words[k + p] for k in range(i, i + length - p))  # noqa: B023, E731
+                if not any(same(p) for p in range(1, q)):
+                    runs.add((i, length, q))
             i = j + 1
     return sorted(runs, key=lambda r: (r[0], r[2]))
 
