@@ -1,4 +1,4 @@
-"""Errors raised while a table is being opened."""
+"""Errors raised while a table is being opened or written."""
 
 
 class TableReadError(Exception):
@@ -15,3 +15,7 @@ class UnsupportedFormatError(TableReadError):
 
 class UnreadableTableError(TableReadError):
     """The path exists, but its content does not match the format."""
+
+
+class TableWriteError(Exception):
+    """A table could not be written; the message names the path and the reason."""

@@ -12,7 +12,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.functions.dates import GRAINS, grain_for, period_start, span_days
@@ -30,7 +30,7 @@ BAR_VALUES = 15
 SHARE_VALUES = 10
 OTHER_LABEL = "Other"
 
-ROUNDING = 1e-12  # of a sum of squares: what is below counts as no spread
+ROUNDING = 1e-14  # of a mean: a standard deviation below counts as none
 
 
 # Totals ------------------------------------------------------------------------
@@ -193,65 +193,123 @@ def histogram(df: DataFrame, name: str, bins: int = 20, ends: Bounds | None = No
 # Relations ---------------------------------------------------------------------
 
 
-SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy", "bad")
+MOMENTS = ("n", "mx", "my", "xx", "yy", "xy", "bad")  # count, means, centred squares and products
+UNSURE = 1e-6  # of the squares: a spread below this is centred anew on the pair's own rows
 
 
-def _pair_sums(shift: np.ndarray):
-    """Sums of every pair of columns over the rows where both exist, for one task.
+def _batch_moments(values: np.ndarray) -> dict[str, np.ndarray]:
+    """Moments of all pairs of columns over the rows where both exist.
 
-    Values are shifted by a constant near them, so that squares lose no digits. Matrix
-    products of values and their masks give all pairs of a batch at once.
+    Values are moved by their column's median, and matrix products give all pairs at once. Where
+    little is left of the squares, the rows of that pair lie elsewhere: it is taken by itself.
     """
-    width = len(shift)
+    infinite = np.isinf(values)
+    there = ~np.isnan(values)
+    values = np.where(infinite, np.nan, values)
+    some = ~np.isnan(values).all(axis=0)
+    shift = np.zeros(values.shape[1])
+    shift[some] = np.nanmedian(values[:, some], axis=0)
+    mask, moved = there.astype(float), np.nan_to_num(values - shift)
+    n = mask.T @ mask
+    least = np.maximum(n, 1)
+    sums = moved.T @ mask
+    mean_x = sums / least
+    squares = (moved * moved).T @ mask
+    spread = squares - n * mean_x * mean_x
+    products = moved.T @ moved - n * mean_x * mean_x.T
+    endless = infinite.T.astype(float) @ mask
+    bad = endless + endless.T
+    unsure = (n > 1) & (bad == 0) & (spread < UNSURE * squares)
+    mx, my = mean_x + shift[:, None], (mean_x + shift[:, None]).T
+    xx, yy = spread.copy(), spread.T.copy()
+    for i, j in zip(*np.nonzero(np.triu(unsure | unsure.T))):
+        both = there[:, i] & there[:, j]
+        x, y = values[both, i], values[both, j]
+        x_off, y_off = x - x.mean(), y - y.mean()
+        mx[i, j], my[i, j] = x.mean(), y.mean()
+        xx[i, j], yy[i, j], products[i, j] = x_off @ x_off, y_off @ y_off, x_off @ y_off
+    return dict(zip(MOMENTS, (n, mx, my, xx, yy, products, bad)))
+
+
+def _joined_moments(one: dict[str, np.ndarray], other: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Moments of two sets of rows together: centred sums grow by the distance of the means."""
+    n = one["n"] + other["n"]
+    share = np.divide(other["n"], n, out=np.zeros_like(n), where=n > 0)
+    x, y = other["mx"] - one["mx"], other["my"] - one["my"]
+    weight = one["n"] * share
+    return {
+        "n": n,
+        "mx": one["mx"] + x * share,
+        "my": one["my"] + y * share,
+        "xx": one["xx"] + other["xx"] + x * x * weight,
+        "yy": one["yy"] + other["yy"] + y * y * weight,
+        "xy": one["xy"] + other["xy"] + x * y * weight,
+        "bad": one["bad"] + other["bad"],
+    }
+
+
+def _pair_moments(width: int):
+    """One row of moments for each pair of columns, for one task."""
     one, other = np.triu_indices(width)
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = {name: np.zeros((width, width)) for name in SUMS}
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
         for batch in batches:
-            values = batch.to_numpy(dtype=float) - shift
-            infinite = np.isinf(values)
-            there = (~np.isnan(values)).astype(float)
-            values = np.where(np.isfinite(values), values, 0.0)
-            mixed, squared = values.T @ there, (values * values).T @ there
-            endless = infinite.T.astype(float) @ there
-            found = (there.T @ there, mixed, mixed.T, squared, squared.T, values.T @ values, endless + endless.T)
-            for name, matrix in zip(SUMS, found):
-                total[name] += matrix
-        yield pd.DataFrame({"i": one, "j": other} | {name: total[name][one, other] for name in SUMS})
+            if len(batch):
+                found = _batch_moments(batch.to_numpy(dtype=float))
+                total = found if total is None else _joined_moments(total, found)
+        if total is not None:
+            yield pd.DataFrame({"i": one, "j": other} | {name: total[name][one, other] for name in MOMENTS})
 
-    return sums
+    return moments
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Every cell ``(col_x, col_y, r, n)`` of the correlation matrix, in one scan.
 
     ``r`` is null where it is undefined: a constant column, an infinite value, or fewer
-    than two rows. Each task hands on one row of sums for each pair of columns.
+    than two rows. Each task hands on one row of centred moments for each pair of columns; they are joined
+    by the rule for means and co-moments, so no value far from the others spoils the rest.
     """
     names = numeric_columns(df) if columns is None else columns
     if not names:
         return df.sparkSession.createDataFrame([], "col_x string, col_y string, r double, n bigint")
     doubles = df.select(*[as_double(name).alias(f"c{i}") for i, name in enumerate(names)])
-    start = doubles.limit(100).toPandas().astype(float)
-    start = start.where(np.isfinite(start)).bfill()
-    shift = np.nan_to_num(start.iloc[0].to_numpy()) if len(start) else np.zeros(len(names))
-    schema = "i int, j int, " + ", ".join(f"{name} double" for name in SUMS)
-    summed = doubles.mapInPandas(_pair_sums(shift), schema).groupBy("i", "j").agg(
-        *[F.sum(name).alias(name) for name in SUMS]
+    schema = "i int, j int, " + ", ".join(f"{name} double" for name in MOMENTS)
+    of_tasks = doubles.mapInPandas(_pair_moments(len(names)), schema)
+    pair = Window.partitionBy("i", "j")
+
+    def mean(name: str) -> Column:
+        return F.try_divide(F.sum(F.col("n") * F.col(name)).over(pair), F.sum("n").over(pair))
+
+    off = of_tasks.withColumns({"x": mean("mx"), "y": mean("my")}).withColumns(
+        {"dx": F.col("mx") - F.col("x"), "dy": F.col("my") - F.col("y")}
+    )
+    summed = off.groupBy("i", "j", "x", "y").agg(
+        F.sum("n").alias("n"),
+        F.sum("bad").alias("bad"),
+        F.sum(F.expr("xx + n * dx * dx")).alias("xx"),
+        F.sum(F.expr("yy + n * dy * dy")).alias("yy"),
+        F.sum(F.expr("xy + n * dx * dy")).alias("xy"),
     )
 
-    def spread(total: str, squares: str) -> Column:
-        off = F.col(squares) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
-        return F.when(off > ROUNDING * F.col(squares), off)
+    def spread(mean: str, squares: str) -> Column:
+        """Null for a constant: what is left of it is rounding of its mean."""
+        return F.when(F.col(squares) > F.col("n") * F.pow(F.col(mean) * ROUNDING, 2), F.col(squares))
 
-    together = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
-    r = together / F.sqrt(spread("sx", "sxx") * spread("sy", "syy"))
+    r = F.col("xy") / (F.sqrt(spread("x", "xx")) * F.sqrt(spread("y", "yy")))
     r = F.when(F.col("i") == F.col("j"), F.when(r.isNotNull(), 1.0)).otherwise(
         F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
     )
     measured = summed.select(
         "i", "j", F.when((F.col("bad") == 0) & (F.col("n") > 1), r).alias("r"), F.col("n").cast("bigint").alias("n")
     )
+    # A table without rows has every cell, too.
+    width = len(names)
+    every = df.sparkSession.range(width * width).select(
+        (F.col("id") / width).cast("int").alias("i"), (F.col("id") % width).cast("int").alias("j")
+    ).where("i <= j")
+    measured = every.join(measured, ["i", "j"], "left").select("i", "j", "r", F.coalesce("n", F.lit(0)).alias("n"))
     listed = F.array(*[F.lit(name) for name in names])
     one = F.struct(F.col("i").alias("x"), F.col("j").alias("y"))
     other = F.struct(F.col("j").alias("x"), F.col("i").alias("y"))

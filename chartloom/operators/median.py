@@ -30,21 +30,34 @@ def as_double(name: str) -> Column:
     return without_nan(column(name).cast("double"))
 
 
+def middle(value: Column | str, accuracy: int = SKETCH_ACCURACY) -> Column:
+    """Aggregate: two values around the median, from a sketch."""
+    around = F.array(*[F.lit(0.5 + side * 2 / accuracy) for side in (-1, 1)])
+    return F.percentile_approx(value, around, accuracy)
+
+
 def exact_medians(
-    df: DataFrame, columns: list[str] | None = None, accuracy: int = SKETCH_ACCURACY
+    df: DataFrame,
+    columns: list[str] | None = None,
+    accuracy: int = SKETCH_ACCURACY,
+    sketched: dict[str, tuple[int, list[float] | None]] | None = None,
 ) -> dict[str, float | None]:
-    """Median per numeric column, null where a column has no value."""
+    """Median per numeric column, null where a column has no value.
+
+    ``sketched`` has the number of values and the :func:`middle` of each column, if an
+    earlier pass took them.
+    """
     names = numeric_columns(df) if columns is None else columns
     if not names:
         return {}
     entries = [F.struct(F.lit(i).alias("i"), as_double(name).alias("value")) for i, name in enumerate(names)]
     values = df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
-    around = F.array(*[F.lit(0.5 + side * 2 / accuracy) for side in (-1, 1)])
-    sketched = values.groupBy("i").agg(
-        F.count("value").alias("n"), F.percentile_approx("value", around, accuracy).alias("ends")
-    )
-    facts = {row["i"]: row for row in sketched.collect()}
-    bounds = [facts[i]["ends"] if i in facts else (None, None) for i in range(len(names))]
+    if sketched is None:
+        found = values.groupBy("i").agg(F.count("value").alias("n"), middle("value", accuracy).alias("ends"))
+        facts = {row["i"]: (row["n"], row["ends"]) for row in found.collect()}
+    else:
+        facts = {i: sketched[name] for i, name in enumerate(names) if sketched[name][0]}
+    bounds = [facts[i][1] if i in facts else (None, None) for i in range(len(names))]
     low, high = (
         F.get(F.array(*[F.lit(b[side]).cast("double") for b in bounds]), F.col("i")) for side in (0, 1)
     )
@@ -57,14 +70,14 @@ def exact_medians(
     )
     searches = []
     for i, below, least, most in ends.collect():
-        total = facts[i]["n"]
+        total = facts[i][0]
         searches += [_Search(i, rank, below, least, most) for rank in sorted({(total - 1) // 2, total // 2})]
     while open_ := [s for s in searches if s.answer is None]:
         _close_in(counted, open_)
-    middle: dict[int, list[float]] = {i: [] for i in range(len(names))}
+    answers: dict[int, list[float]] = {i: [] for i in range(len(names))}
     for search in searches:
-        middle[search.column].append(search.answer)
-    return {name: sum(middle[i]) / len(middle[i]) if middle[i] else None for i, name in enumerate(names)}
+        answers[search.column].append(search.answer)
+    return {name: sum(answers[i]) / len(answers[i]) if answers[i] else None for i, name in enumerate(names)}
 
 
 def median_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

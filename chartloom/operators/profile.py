@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.functions.dates import LAYOUTS, layout_of, parse_by_layout, parse_date
+from chartloom.functions.dates import LAYOUTS, fitting_layouts, parse_date
 from chartloom.functions.numbers import NUMBER_TEXT, WHOLE_TEXT, without_nan
 from chartloom.functions.text import column, drop_marks, trim_text
 from chartloom.operators.roles import DATE, NUMERIC, date_columns, role_of, text_columns
@@ -70,11 +70,10 @@ def missing_cells(df: DataFrame) -> DataFrame:
 
 
 def long_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Every cell of the columns as ``(seq, column, value, text, bare, layout, moment)``.
+    """Every cell of the columns as ``(seq, column, value, text, bare, layouts)``.
 
-    ``text`` is the trimmed value, ``bare`` the same without amount marks, ``layout``
-    the date layout it has the shape of, ``moment`` the date it holds in that layout.
-    What a caller leaves out is not computed.
+    ``text`` is the trimmed value, ``bare`` the same without amount marks, ``layouts``
+    the bits of all date layouts that it fits. What a caller leaves out is not computed.
     """
     place = F.array_position(F.array(*[F.lit(name) for name in columns]), F.col("column"))
     text = trim_text(F.col("value"))
@@ -82,19 +81,18 @@ def long_text(df: DataFrame, columns: list[str]) -> DataFrame:
         df.select(*[column(name) for name in columns])
         .unpivot([], [column(name) for name in columns], "column", "value")
         .select((place - 1).cast("int").alias("seq"), "column", "value", text.alias("text"))
-        .withColumns({"bare": drop_marks(F.col("text")), "layout": layout_of(F.col("text"))})
-        .withColumn("moment", parse_by_layout(F.col("text"), F.col("layout")))
+        .withColumns({"bare": drop_marks(F.col("text")), "layouts": fitting_layouts(F.col("text"))})
     )
 
 
-def number_facts() -> dict[str, Column]:
+def number_facts(is_number: Column | None = None) -> dict[str, Column]:
     """Aggregates over :func:`long_text` about gaps, marks and numbers.
 
     Removing marks from a value without any changes nothing, so the share is
     always taken on the mark-free text and one pass is enough.
     """
     text, bare, rows = F.col("text"), F.col("bare"), F.count(F.lit(1))
-    n_numeric = F.count_if(bare.rlike(NUMBER_TEXT))
+    n_numeric = F.count_if(bare.rlike(NUMBER_TEXT) if is_number is None else is_number)
     whole = bare.rlike(WHOLE_TEXT)
     return {
         "n_rows": rows,
@@ -110,12 +108,17 @@ def number_facts() -> dict[str, Column]:
 
 
 def date_facts() -> dict[str, Column]:
-    """Aggregates over :func:`long_text` about dates; ties go to the layout listed first."""
+    """Aggregates over :func:`long_text` about dates.
+
+    A value counts for every layout that it fits, so the layout with most hits is the one
+    that no value contradicts, if there is one: a day above twelve settles what comes first.
+    Ties go to the layout listed first.
+    """
     rows = F.count(F.lit(1))
     best = F.greatest(
         *[
             F.struct(
-                F.count(F.when(F.col("layout") == layout, F.col("moment"))).alias("hits"),
+                F.count_if(F.col("layouts").bitwiseAND(1 << rank) != 0).alias("hits"),
                 F.lit(-rank).alias("rank"),
                 F.lit(layout).alias("layout"),
             )

@@ -1,15 +1,15 @@
 """Automatic cleaning of any table: trim, retype, fill.
 
-Two statistics steps come before the row-wise plan: the text profile decides which
-columns become numbers, then medians and modes are taken on the retyped columns that
-have gaps. Only those per-column facts reach the driver.
+One summary of all columns comes before the row-wise plan: it decides which
+columns become numbers and brackets their medians. Two more scans find the medians and modes of the
+columns that have gaps. Only those per-column facts reach the driver.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.numbers import nan_to_null, number
@@ -18,53 +18,18 @@ from chartloom.operators.impute import filled_number, filled_text, mode_values
 from chartloom.operators.median import exact_medians
 from chartloom.operators.profile import text_profile
 from chartloom.operators.roles import numeric_columns, text_columns
+from chartloom.operators.summary import TEXT_FIELDS, ColumnFacts, column_facts, exact_numbers
 
 REPORT_SCHEMA = "seq int, action string, column string, n_changed bigint, fill_value string, message string"
 
 
-@dataclass(frozen=True)
-class TextFacts:
-    """What the profile says about one text column."""
-
-    name: str
-    n_null: int
-    n_trimmed: int
-    has_marks: bool
-    n_numeric: int
-    becomes_numeric: bool
-    n_whole: int
-    n_long: int
-
-    @property
-    def is_whole(self) -> bool:
-        """All numbers are whole and fit: the column becomes a bigint."""
-        return self.becomes_numeric and self.n_whole == self.n_numeric
-
-
-def text_facts(df: DataFrame) -> list[TextFacts]:
-    """Facts of all text columns, in schema order."""
-    fields = ("n_null", "n_trimmed", "has_marks", "n_numeric", "becomes_numeric", "n_whole", "n_long")
-    found = [
-        TextFacts(row["column"], *(row[f] for f in fields))
-        for row in text_profile(df).orderBy("seq").collect()
-    ]
-    # A double would make long whole numbers equal that are not: such text stays text.
-    return [
-        replace(f, becomes_numeric=False) if f.n_long and f.n_whole < f.n_numeric else f for f in found
-    ]
-
+def text_facts(df: DataFrame) -> list[ColumnFacts]:
+    """Facts of all text columns, in schema order, without the sketches of a full summary."""
+    found = text_profile(df).orderBy("seq").collect()
+    return [exact_numbers(ColumnFacts(row["column"], *(row[f] for f in TEXT_FIELDS))) for row in found]
 
-def number_gaps(df: DataFrame) -> tuple[int, dict[str, int]]:
-    """Row count, and nulls of the numeric columns."""
-    names = numeric_columns(df)
-    row = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(column(name).isNull()).alias(f"n{i}") for i, name in enumerate(names)],
-    ).first()
-    return row["n_rows"], {name: row[f"n{i}"] for i, name in enumerate(names)}
 
-
-def retype_text(df: DataFrame, facts: list[TextFacts], strip_all: bool = False) -> DataFrame:
+def retype_text(df: DataFrame, facts: list[ColumnFacts], strip_all: bool = False) -> DataFrame:
     """Trim text columns and turn the numeric ones into whole numbers or doubles.
 
     Amount marks leave only the columns that become numbers. With ``strip_all`` they
@@ -87,6 +52,36 @@ def convert_text(df: DataFrame, strip_all: bool = False) -> DataFrame:
     return retype_text(df, text_facts(df), strip_all)
 
 
+@dataclass(frozen=True)
+class Fills:
+    """What fills the gaps of a retyped table, and how many there were."""
+
+    medians: dict[str, float]
+    modes: dict[str, str]
+    gaps: dict[str, int]
+    expressions: dict[str, Column]
+
+
+def gap_fills(
+    typed: DataFrame, rows: int, facts: dict[str, ColumnFacts], known_modes: dict[str, str] | None = None
+) -> Fills:
+    """Medians and modes of the columns of a retyped table that have gaps and values.
+
+    ``facts`` are those of the table before it was retyped; modes that are known already are not sought.
+    """
+    gaps = {n: rows - f.n_numeric if f.becomes_numeric else f.n_null for n, f in facts.items()}
+    some = [n for n in typed.columns if 0 < gaps.get(n, 0) < rows]
+    numbers = [n for n in numeric_columns(typed) if n in some]
+    texts = [n for n in text_columns(typed) if n in some]
+    medians = exact_medians(typed, numbers, sketched={n: (facts[n].n_numbers, facts[n].middle) for n in numbers})
+    modes = dict(known_modes or {})
+    modes |= mode_values(typed, [n for n in texts if n not in modes])
+    modes = {n: modes[n] for n in texts}
+    fills = {n: filled_number(n, medians[n], typed.schema[n].dataType, bool(facts[n].n_long)) for n in numbers}
+    fills |= {n: filled_text(n, modes[n]) for n in texts}
+    return Fills(medians, modes, gaps, fills)
+
+
 def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return the cleaned table and a report of what was changed.
 
@@ -95,20 +90,11 @@ def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataF
     long for that stays whole if the median is, else it becomes a decimal.
     """
     df = nan_to_null(df)
-    facts = text_facts(df)
-    rows, nulls = number_gaps(df)
-    for fact in facts:
-        nulls[fact.name] = rows - fact.n_numeric if fact.becomes_numeric else fact.n_null
+    rows, by_name = column_facts(df)
+    facts = [by_name[name] for name in text_columns(df)]
     typed = retype_text(df, facts, strip_all)
-
-    numeric_gaps = [n for n in numeric_columns(typed) if 0 < nulls.get(n, 0) < rows]
-    text_gaps = [n for n in text_columns(typed) if 0 < nulls.get(n, 0) < rows]
-    medians = exact_medians(typed, numeric_gaps)
-    modes = mode_values(typed, text_gaps)
-    long = {f.name for f in facts if f.n_long}
-    fills = {n: filled_number(n, medians[n], typed.schema[n].dataType, n in long) for n in numeric_gaps}
-    fills.update({n: filled_text(n, modes[n]) for n in text_gaps})
-    cleaned = typed.withColumns(fills) if fills else typed
+    fills = gap_fills(typed, rows, by_name)
+    cleaned = typed.withColumns(fills.expressions) if fills.expressions else typed
 
     steps = [
         ("trimmed", f.name, f.n_trimmed, None, f"White space removed at the ends of {f.name}")
@@ -123,17 +109,16 @@ def auto_clean(df: DataFrame, strip_all: bool = False) -> tuple[DataFrame, DataF
     if not converted:
         steps.append(("nothing_to_convert", None, 0, None, "No text column holds mostly numbers"))
     steps += [
-        ("filled_median", n, nulls[n], repr(medians[n]), f"Gaps in {n} filled with the median")
-        for n in numeric_gaps
+        ("filled_median", n, fills.gaps[n], repr(value), f"Gaps in {n} filled with the median")
+        for n, value in fills.medians.items()
     ]
     steps += [
-        ("filled_mode", n, nulls[n], modes[n], f"Gaps in {n} filled with the most frequent value")
-        for n in text_gaps
+        ("filled_mode", n, fills.gaps[n], value, f"Gaps in {n} filled with the most frequent value")
+        for n, value in fills.modes.items()
     ]
-    if not fills:
+    if not fills.expressions:
         steps.append(("nothing_to_fill", None, 0, None, "No gap could or had to be filled"))
     report = df.sparkSession.createDataFrame(
         [(seq, *step) for seq, step in enumerate(steps)], REPORT_SCHEMA
     )
     return cleaned, report
-

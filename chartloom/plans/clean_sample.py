@@ -35,7 +35,7 @@ def process_file(
     fmt: str | None = None,
     unique_key: bool = False,
 ) -> str:
-    """Read, clean, sample and write; returns the folder that holds the CSV file."""
+    """Read, clean, sample and write one CSV file; returns its path."""
     cleaned = clean_prices(read_table(spark, source, fmt, typed=False))
     if cleaned.isEmpty():
         raise EmptyResultError(f"{source}: no row is left after cleaning")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from chartloom.errors import MissingPathError, TableReadError, UnreadableTableError, UnsupportedFormatError
 from chartloom.sources.json_documents import json_layout, read_column_documents, read_record_documents
-from chartloom.sources.typed_csv import csv_options, read_typed_csv
+from chartloom.sources.typed_csv import open_csv, read_typed_csv
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -21,9 +21,9 @@ def read_parquet(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.options(**options).parquet(path)
 
 
-def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True, **options) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool | None = None, **options) -> DataFrame:
     """CSV with a header line; every column stays text."""
-    return spark.read.options(**csv_options(multi_line, options)).csv(path, inferSchema=False)
+    return open_csv(spark, path, None, multi_line, options)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema=None, **options) -> DataFrame:

@@ -26,7 +26,7 @@ def test_every_query_has_sql():
 
 def test_entry_has_rows(spark):
     result = contract.entry(spark)
-    assert result.columns == ["chart", "series", "label", "value"]
+    assert result.columns == ["chart", "series", "label", "value", "n", "low", "high", "colour"]
     assert {r["chart"] for r in result.select("chart").distinct().collect()} == {
         "kpis", "trend", "share", "histogram", "correlation", "scatter_grid",
     }

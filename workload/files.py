@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.plans.staging import shared_folder
@@ -39,6 +39,15 @@ def record_documents(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def line_documents(df: DataFrame, key: str, line: Column, header: str) -> DataFrame:
+    """Texts of a header and one line for each row of ``df``, one text per range of the (unique) key."""
+    return (
+        df.groupBy(F.floor(F.col(key) / RECORDS_PER_DOCUMENT).alias("part"))
+        .agg(F.concat_ws("\n", F.lit(header), F.collect_list(line)).alias("document"))
+        .select("document")
+    )
+
+
 def column_documents(df: DataFrame, key: str) -> DataFrame:
     """Objects ``{column: {row label: value}}``, labelled by the (unique) key."""
     label = F.col(key).cast("string")

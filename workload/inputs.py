@@ -56,13 +56,29 @@ select cast(1000000000000000000 + o_orderkey as varchar(20)) as long_id,
 from orders
 """
 
+# Values far away in rows where the other columns are missing, and one column far from zero.
+FAR_VALUES = """
+select case when l_linenumber = 1 and l_orderkey % 50 = 1 then 1e12 else l_quantity end as quantity,
+  case when l_linenumber = 1 and l_orderkey % 50 = 1 then null else l_extendedprice end as extendedprice,
+  case when l_linenumber = 1 and l_orderkey % 50 = 1 then null else 1000000 + l_quantity * l_discount end as lifted,
+  l_tax as tax
+from lineitem
+"""
+
+# Forty columns of numbers, some with gaps.
+WIDE = "select " + ", ".join(
+    f"case when l_orderkey % {13 + k} = 0 then null else cast((l_partkey * {k + 3} + l_suppkey) % {89 + k} as double) end as c{k}"
+    for k in range(40)
+) + " from lineitem"
+
 # A real category named like the remainder row.
 RESERVED = """
 select p_partkey, case when p_brand = 'Brand#4' then 'Other' else p_brand end as p_brand
 from part
 """
 
-TABLES = {"PRICES": "orders", "MIXED": "orders", "MEASURES": "lineitem", "RESERVED": "part", "LONG_IDS": "orders"}
+TABLES = {"PRICES": "orders", "MIXED": "orders", "MEASURES": "lineitem", "RESERVED": "part", "LONG_IDS": "orders",
+          "FAR_VALUES": "lineitem", "WIDE": "lineitem"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

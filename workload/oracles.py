@@ -77,10 +77,33 @@ ORACLES["scan_json_array"] = ORACLES["scan_json_columns"] = ORACLES["scan_jsonl"
 ORACLES["scan_other_format"] = ORACLES["scan_parquet"]
 ORACLES["partition_rows"] = "select count(*)::bigint as n_rows from lineitem"
 ORACLES["scan_dispatch"] = union(
-    f"select '{suffix}' as suffix, count(*) as n_rows, cast(sum(c_custkey) as bigint) as key_sum"
-    " from customer"
-    for suffix in ("parquet", "csv", "jsonl")
-)
+    f"select '{suffix}' as suffix, c_custkey, cast(c_nationkey as bigint) as c_nationkey, c_name, c_mktsegment,"
+    " cast(cast(c_acctbal as decimal(18,2)) as double) as c_acctbal from customer"
+    for suffix in ("parquet", "csv", "json", "jsonl")
+)
+ORACLES["csv_rejects"] = (
+    "select case when (o_orderkey % 5 = 0) = (o_orderkey % 7 = 0) then 'good'"
+    " when o_orderkey % 5 = 0 then 'too few cells' else 'too many cells' end as reason,"
+    " count(*) as n_rows, cast(sum(o_orderkey) as bigint) as key_sum,"
+    " cast(sum(case when (o_orderkey % 5 = 0) = (o_orderkey % 7 = 0) then 1 when o_orderkey % 5 = 0 then 2 else 3 end)"
+    " as bigint) as n_last from orders group by 1"
+)
+ORACLES["scan_guards"] = (
+    "select * from (values ('missing', 'MissingPathError'), ('unknown', 'UnsupportedFormatError'),"
+    " ('broken', 'UnreadableTableError'), ('nothing left', 'EmptyResultError')) t(attempt, outcome)"
+    " union all select 'readable', cast(count(*) as varchar) from nation"
+)
+ORACLES["price_columns_missing"] = (
+    "select 'prices' as input, count(*) as n_rows, '' as missing from orders union all"
+    " select 'orders', count(*), 'actual_price,average_rating,selling_price' from orders union all"
+    " select 'partly', count(*), 'selling_price' from orders"
+)
+_kept = (
+    "select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey,"
+    " cast(cast(c_acctbal as decimal(18,2)) as double) as c_acctbal, c_mktsegment from customer"
+)
+ORACLES["kept_table"] = _kept
+ORACLES["kept_table_changed"] = f"{_kept} where c_custkey % 3 = 0"
 
 # Price cleaning and sampling -----------------------------------------------------
 
@@ -125,6 +148,18 @@ select 0 as seq, 'stamp' as "column", count(*) as n_rows, 'slashed_time' as layo
   count(*) filter (o_orderkey % 8 <> 0) / count(*)::double > 0.7 as becomes_date
 from orders
 """
+ORACLES["date_profile_dayfirst"] = union(
+    f"select {place} as seq, '{name}' as \"column\", count(*) as n_rows, '{layout}' as layout,"
+    f" count(*) filter ({met}) as n_dates, round(count(*) filter ({met}) / count(*)::double, 4) as date_share,"
+    " true as becomes_date from orders"
+    for place, (name, layout, met) in enumerate(
+        [
+            ("slashed", "day_slashed", "o_orderkey % 10 <> 0"), ("slashed_time", "day_slashed_time", "o_orderkey % 10 <> 1"),
+            ("dotted", "dotted", "o_orderkey % 10 <> 2"), ("named", "day_full_month", "o_orderkey % 10 <> 3"),
+            ("zoned", "iso_offset", "true"),
+        ]
+    )
+)
 ORACLES["null_counts_nan"] = with_input(
     "MEASURES",
     union(
@@ -165,8 +200,11 @@ ORACLES["date_parse"] = (
     + ", ".join(
         f"case when o_orderkey % 8 <> 0 then cast(o_orderdate as date) end as {layout}"
         for layout in ("iso_date", "iso_timestamp", "slashed", "month_name", "compact", "slashed_time", "year_first",
-                       "day_month", "full_month")
+                       "day_month", "full_month", "day_slashed", "day_slashed_time", "dotted", "plain_month",
+                       "day_full_month", "day_month_name")
     )
+    + ", cast(cast(o_orderdate as date) as timestamp) + interval '23 hours 30 minutes 5 seconds'"
+    + " - to_minutes(case o_orderkey % 4 when 0 then 0 when 1 then 120 when 2 then -330 else 60 end) as iso_offset"
     + " from orders"
 )
 
@@ -292,12 +330,21 @@ from typed)"""
 
 ORACLES["impute_median"] = with_input(
     "MIXED",
-    "select o_orderkey, coalesce(balance, (select median(balance) from mixed)) as balance from mixed",
+    "select * replace (coalesce(balance, (select median(balance) from mixed)) as balance) from mixed",
 )
 ORACLES["impute_mode"] = with_input(
     "MIXED",
-    f"select o_orderkey, coalesce(status, {mode('status')}) as status,"
-    f" coalesce(priority, {mode('priority')}) as priority from mixed",
+    f"select * replace (coalesce(status, {mode('status')}) as status,"
+    f" coalesce(priority, {mode('priority')}) as priority) from mixed",
+)
+ORACLES["impute_mode_unique"] = (
+    "with gaps as (select doc_id, case when doc_id % 10 <> 0 then text end as text from documents)"
+    f" select doc_id, md5(coalesce(text, {mode('text', 'gaps')})) as digest from gaps"
+)
+ORACLES["mode_long_text"] = union(
+    f"(select '{c}' as \"column\", md5(cast({c} as varchar)) as digest, count(*) as n from documents where {c} is not null"
+    f" group by {c} order by n desc, cast({c} as varchar) limit 1)"
+    for c in ("text", "doc_id", "lang", "source")
 )
 ORACLES["autoclean_text"] = with_input("MIXED", "select * from typed", typed())
 ORACLES["autoclean_text_strip_all"] = with_input("MIXED", "select * from typed", typed(True))
@@ -436,6 +483,18 @@ ORACLES["correlation_matrix"] = with_input(
     "MEASURES",
     correlations(["quantity", "extendedprice", "discount", "tax", "constant_col"], "measures"),
 )
+ORACLES["correlation_far_values"] = with_input(
+    "FAR_VALUES", correlations(["quantity", "extendedprice", "lifted", "tax"], "far_values")
+)
+_pairs = list(product([f"c{k}" for k in range(40)], repeat=2))
+ORACLES["correlation_wide"] = with_input(
+    "WIDE",
+    "select unnest([{}]) as col_x, unnest([{}]) as col_y, unnest([{}]) as r, unnest([{}]) as n from wide".format(
+        ", ".join(f"'{x}'" for x, _ in _pairs), ", ".join(f"'{y}'" for _, y in _pairs),
+        ", ".join(f"round(corr({x}, {y}), 6)" for x, y in _pairs),
+        ", ".join(f"regr_count({x}, {y})::bigint" for x, y in _pairs),
+    ),
+)
 ORACLES["scatter_points"] = (
     "select l_quantity as x, l_extendedprice as y, l_returnflag as colour from lineitem"
 )
@@ -455,22 +514,33 @@ def first_between(columns: list[str], source: str, limit: int) -> str:
     return f"(select case {tests} else '{columns[0]}' end from {source})"
 
 
-def choices(**columns: str) -> str:
+def choices(source: str, texts: list[str], numbers: list[str], **columns: str) -> str:
     order = ("date", "trend", "bar", "share", "histogram", "scatter_x", "scatter_y")
-    return union(
-        f"select '{chart}' as chart, cast({columns.get(chart, 'null')} as varchar) as column"
+    single = [
+        f"select '{chart}' as chart, 0 as place, cast({columns.get(chart, 'null')} as varchar) as column"
         for chart in order
+    ]
+    lists = {"kpis": numbers[:4], "correlation": numbers}
+    listed = [f"select '{chart}', {k}, '{c}'" for chart, names in lists.items() for k, c in enumerate(names)]
+    counted = union(f"select {k} as k, '{c}' as column, count(distinct {c}) as d from {source}" for k, c in enumerate(texts))
+    few = (
+        "select 'colours', cast(row_number() over (order by k) - 1 as integer), \"column\""
+        f" from ({counted}) t where d > 1 and d < 20"
     )
+    return union([*single, *listed, few])
 
 
 _part_text = ["p_name", "p_brand", "p_type"]
 ORACLES["default_columns"] = choices(
+    "part", _part_text, ["p_partkey", "p_size", "p_retailprice"],
     bar=first_between(_part_text, "part", 20), share=first_between(_part_text, "part", 10),
     histogram="'p_partkey'", scatter_x="'p_partkey'", scatter_y="'p_size'",
 )
+_lineitem_text = ["l_returnflag", "l_linestatus"]
 ORACLES["default_columns_dated"] = choices(
+    "lineitem", _lineitem_text, _lineitem_numeric,
     date="'l_shipdate'", trend="'l_extendedprice'",
-    share=first_between(["l_returnflag", "l_linestatus"], "lineitem", 10),
+    share=first_between(_lineitem_text, "lineitem", 10),
     histogram="'l_orderkey'", scatter_x="'l_orderkey'", scatter_y="'l_partkey'",
 )
 ORACLES["colour_candidates"] = (
@@ -515,11 +585,15 @@ ORACLES["dataset_insights"] = with_input(
 ORACLES["dataset_insights_raw"] = with_input("MIXED", facts("mixed", MIXED_COLUMNS, 2, 6))
 
 
-def long_form(chart: str, series: str, label: str, value: str, source: str) -> str:
+def long_form(
+    chart: str, series: str, label: str, value: str, source: str, n: str = "null", low: str = "null", high: str = "null",
+    colour: str = "null",
+) -> str:
     return (
         f"select '{chart}' as chart, {text(series)} as series, {text(label)} as label,"
-        f" round(cast({value} as double), {2 if chart == 'kpis' else 4}) as value"
-        f" from ({source}) {chart}_rows"
+        f" round(cast({value} as double), {2 if chart == 'kpis' else 4}) as value,"
+        f" cast({n} as bigint) as n, cast({low} as double) as low, cast({high} as double) as high,"
+        f" {text(colour)} as colour from ({source}) {chart}_rows"
     )
 
 
@@ -528,10 +602,13 @@ def common_charts(
 ) -> list[str]:
     return [
         long_form("kpis", '"column"', "display", "total", kpis(numeric, source)),
-        long_form("share", "is_other", "value", "share", shares(share, source, 10)),
-        long_form("histogram", "null", "bin", "n", hist(numeric[0], source, 20)),
-        long_form("correlation", "col_x", "col_y", "r", correlations(numeric, source, 4)),
-        long_form("scatter_grid", "x_bin", "y_bin", "n", grid(x, y, colour, source, 50)),
+        long_form("share", "is_other", "value", "share", shares(share, source, 10), "n"),
+        long_form("histogram", "null", "bin", "n", hist(numeric[0], source, 20), "n", "bin_start", "bin_end"),
+        long_form("correlation", "col_x", "col_y", "r", correlations(numeric, source, 4), "n"),
+        long_form(
+            "scatter_grid", "x_bin", "y_bin", "n", grid(x, y, colour, source, 50), "n",
+            colour="colour" if colour else "null",
+        ),
     ]
 
 
@@ -572,5 +649,5 @@ ORACLES["chart_data_raw"] = with_input(
 )
 ORACLES["chart_data_bar"] = union(
     common_charts("part", ["p_partkey", "p_size", "p_retailprice"], "p_type", None, "p_partkey", "p_size")
-    + [long_form("bar", "is_other", "value", "n", top_n("p_type", "part", 15))]
+    + [long_form("bar", "is_other", "value", "n", top_n("p_type", "part", 15), "n")]
 )

@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.functions.dates import LAYOUTS, parse_date
 from chartloom.functions.numbers import number
 from chartloom.functions.text import drop_marks, trim_text
 from chartloom.operators import charts, frequency, impute, median, profile, sample
-from chartloom.operators.price import clean_prices
+from chartloom.errors import TableReadError
+from chartloom.operators.price import clean_prices, missing_expected_columns
 from chartloom.plans import chart_data as chart_plans
 from chartloom.plans.auto_clean import auto_clean, convert_text
 from chartloom.plans import clean_sample as batch
 from chartloom.plans.clean_sample import clean_and_sample
 from chartloom.plans.insights import insights, quick_fact
+from chartloom.plans.staging import kept
 from chartloom.sources import readers, sinks
+from chartloom.sources.typed_csv import read_csv_with_rejects
 from chartloom.streaming.prices import write_clean_prices
 from workload import files
 from workload.inputs import derived, table
@@ -114,22 +118,111 @@ def partition_rows(spark, sf_dir):
 
 @query
 def scan_dispatch(spark, sf_dir):
+    """Every suffix, each table with all its columns."""
     rows = _customer_text(spark, sf_dir)
     parts = []
     for suffix, write in {
         "parquet": sinks.write_parquet,
         "csv": sinks.write_csv,
+        "json": lambda df, path: df.write.mode("overwrite").json(path) or path,
         "jsonl": lambda df, path: df.write.mode("overwrite").json(path) or path,
     }.items():
         path = write(rows, files.folder(spark, sf_dir, f"dispatch.{suffix.upper()}"))
         parts.append(
-            readers.read_table(spark, path).agg(
+            readers.read_table(spark, path).select(
                 F.lit(suffix).alias("suffix"),
-                F.count(F.lit(1)).alias("n_rows"),
-                F.sum("c_custkey").cast("bigint").alias("key_sum"),
+                *[F.col(c).cast("bigint").alias(c) for c in ("c_custkey", "c_nationkey")],
+                "c_name",
+                "c_mktsegment",
+                F.col("c_acctbal").cast("double").alias("c_acctbal"),
             )
         )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    """Good rows and rows that are no rows of the table, told apart by why."""
+    cells = F.concat_ws(
+        ",",
+        F.col("o_orderkey").cast("string"),
+        "o_orderstatus",
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("more")),
+    )
+    documents = files.line_documents(table(spark, sf_dir, "orders"), "o_orderkey", cells, "key,status,priority")
+    path = files.write_documents(documents, files.folder(spark, sf_dir, "ragged.csv"))
+    good, rejects = read_csv_with_rejects(spark, path)
+    told = good.groupBy(F.lit("good").alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("key").alias("key_sum"), F.count("priority").alias("n_last")
+    )
+    key = F.substring_index("row", ",", 1).cast("bigint")
+    return told.unionByName(
+        rejects.groupBy("reason").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(key).alias("key_sum"), F.sum("n_read").alias("n_last")
+        )
+    )
+
+
+@query
+def scan_guards(spark, sf_dir):
+    """What opening a table that is not there, unknown or broken raises, and cleaning that leaves nothing."""
+    path = sinks.write_csv(table(spark, sf_dir, "nation"), files.folder(spark, sf_dir, "guards.csv"))
+    broken = files.folder(spark, sf_dir, "broken.parquet")
+    spark.read.text(path).write.mode("overwrite").text(broken)
+    empty = files.folder(spark, sf_dir, "no_prices.csv")
+    prices = derived(spark, sf_dir, "PRICES").where("actual_price = 'N/A'")
+    sinks.write_csv(prices, empty)
+    tries = {
+        "missing": lambda: readers.read_table(spark, path + "x.csv"),
+        "unknown": lambda: readers.read_table(spark, path + "x.unknown"),
+        "broken": lambda: readers.read_table(spark, broken),
+        "nothing left": lambda: batch.process_file(spark, empty, files.folder(spark, sf_dir, "none.csv"), SAMPLE),
+    }
+    found = [("readable", str(readers.read_table(spark, path).count()))]
+    for name, attempt in tries.items():
+        try:
+            attempt()
+            found.append((name, "nothing raised"))
+        except (TableReadError, batch.EmptyResultError) as error:
+            found.append((name, type(error).__name__))
+    return spark.createDataFrame(found, "attempt string, outcome string")
+
+
+@query
+def price_columns_missing(spark, sf_dir):
+    """Columns that price cleaning needs and a table lacks."""
+    given = {"prices": derived(spark, sf_dir, "PRICES"), "orders": table(spark, sf_dir, "orders")}
+    given["partly"] = given["prices"].drop("selling_price")
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("input"), "n_rows", F.lit(",".join(missing_expected_columns(df))).alias("missing")
+        )
+        for name, df in given.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _customers_file(spark, sf_dir, name, condition) -> str:
+    return sinks.write_csv(_customer_text(spark, sf_dir).where(condition), files.folder(spark, sf_dir, name))
+
+
+@query
+def kept_table(spark, sf_dir):
+    """A second call scans what the first one stored."""
+    path = _customers_file(spark, sf_dir, "kept.csv", F.lit(True))
+    first = kept(spark, path, lambda: readers.read_table(spark, path), typed=True)
+    second = kept(spark, path, lambda: first.limit(0), typed=True)
+    return second
+
+
+@query
+def kept_table_changed(spark, sf_dir):
+    """A call after the files changed builds anew."""
+    path = _customers_file(spark, sf_dir, "kept_changed.csv", F.col("c_custkey") % 2 == 0)
+    kept(spark, path, lambda: readers.read_table(spark, path))
+    _customers_file(spark, sf_dir, "kept_changed.csv", F.col("c_custkey") % 3 == 0)
+    return kept(spark, path, lambda: readers.read_table(spark, path))
 
 
 @query
@@ -221,6 +314,20 @@ def date_profile_slashed(spark, sf_dir):
     return rounded(profile.date_profile(days))
 
 
+@query
+def date_profile_dayfirst(spark, sf_dir):
+    """Day first, dotted, and moments with offsets: no value of a column contradicts its layout."""
+    shown = {"slashed": "d/M/yyyy", "slashed_time": "dd/MM/yyyy HH:mm", "dotted": "dd.MM.yyyy", "named": "d MMMM yyyy"}
+    days = table(spark, sf_dir, "orders").select(
+        *[
+            F.when(F.col("o_orderkey") % 10 == place, "unknown").otherwise(F.date_format("o_orderdate", pattern)).alias(name)
+            for place, (name, pattern) in enumerate(shown.items())
+        ],
+        _with_offset().alias("zoned"),
+    )
+    return rounded(profile.date_profile(days))
+
+
 @query
 def null_counts_nan(spark, sf_dir):
     measures = derived(spark, sf_dir, "MEASURES").withColumn(
@@ -262,6 +369,13 @@ def to_numeric_coerce(spark, sf_dir):
     )
 
 
+def _with_offset() -> Column:
+    """Late evenings, some of them in other time zones."""
+    zones = F.array(F.lit("Z"), F.lit("+02:00"), F.lit("-0530"), F.lit(" +01"))
+    zone = F.get(zones, (F.col("o_orderkey") % 4).cast("int"))
+    return F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'23:30:05"), zone)
+
+
 @query
 def date_parse(spark, sf_dir):
     formats = {
@@ -274,19 +388,24 @@ def date_parse(spark, sf_dir):
         "year_first": "yyyy/MM/dd",
         "day_month": "d-MMM-yyyy",
         "full_month": "MMMM d, yyyy",
+        "day_slashed": "d/M/yyyy",
+        "day_slashed_time": "dd/MM/yyyy H:mm",
+        "dotted": "dd.MM.yyyy",
+        "plain_month": "MMM d yyyy",
+        "day_full_month": "d MMMM yyyy",
+        "day_month_name": "dd MMM yyyy",
     }
-    assert list(formats) == list(LAYOUTS)
-    return table(spark, sf_dir, "orders").select(
+    assert [*formats, "iso_offset"] == list(LAYOUTS)
+    known = F.col("o_orderkey") % 8 != 0
+    texts = table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        *[
-            parse_date(
-                F.when(F.col("o_orderkey") % 8 == 0, "unknown").otherwise(
-                    F.date_format("o_orderdate", pattern)
-                ),
-                layout,
-            ).cast("date").alias(layout)
-            for layout, pattern in formats.items()
-        ],
+        _with_offset().alias("iso_offset"),
+        *[F.when(known, F.date_format("o_orderdate", p)).otherwise("unknown").alias(name) for name, p in formats.items()],
+    )
+    return texts.select(
+        "o_orderkey",
+        parse_date(F.col("iso_offset"), "iso_offset").alias("iso_offset"),
+        *[parse_date(F.col(layout), layout).cast("date").alias(layout) for layout in formats],
     )
 
 
@@ -338,6 +457,13 @@ def mode_per_column(spark, sf_dir):
     return frequency.modes(derived(spark, sf_dir, "MIXED"))
 
 
+@query
+def mode_long_text(spark, sf_dir):
+    """Long texts that are nearly unique, next to columns with few values."""
+    found = frequency.modes(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), ["text", "doc_id", "lang", "source"])
+    return found.select("column", F.md5("value").alias("digest"), "n")
+
+
 @query
 def median_per_column(spark, sf_dir):
     return rounded(median.median_per_column(table(spark, sf_dir, "lineitem")))
@@ -357,14 +483,20 @@ def median_narrowed(spark, sf_dir):
 
 @query
 def impute_median(spark, sf_dir):
-    return impute.impute_median(derived(spark, sf_dir, "MIXED")).select("o_orderkey", "balance")
+    return impute.impute_median(derived(spark, sf_dir, "MIXED"))
 
 
 @query
 def impute_mode(spark, sf_dir):
-    return impute.impute_mode(derived(spark, sf_dir, "MIXED")).select(
-        "o_orderkey", "status", "priority"
-    )
+    return impute.impute_mode(derived(spark, sf_dir, "MIXED"))
+
+
+@query
+def impute_mode_unique(spark, sf_dir):
+    """Gaps in long texts of which hardly any comes twice."""
+    gap = F.when(F.col("doc_id") % 10 != 0, F.col("text"))
+    filled = impute.impute_mode(table(spark, sf_dir, "documents").select("doc_id", gap.alias("text")))
+    return filled.select("doc_id", F.md5("text").alias("digest"))
 
 
 @query
@@ -479,6 +611,17 @@ def correlation_matrix(spark, sf_dir):
     return rounded(charts.correlation_matrix(derived(spark, sf_dir, "MEASURES")), 6)
 
 
+@query
+def correlation_far_values(spark, sf_dir):
+    """A few values far away in rows that most pairs lack, and one column far from zero."""
+    return rounded(charts.correlation_matrix(derived(spark, sf_dir, "FAR_VALUES")), 6)
+
+
+@query
+def correlation_wide(spark, sf_dir):
+    return rounded(charts.correlation_matrix(derived(spark, sf_dir, "WIDE")), 6)
+
+
 @query
 def scatter_points(spark, sf_dir):
     return charts.scatter_points(
@@ -506,7 +649,8 @@ def scatter_grid(spark, sf_dir):
 
 def _chart_rows(built: dict[str, DataFrame]) -> DataFrame:
     digits = F.when(F.col("chart") == "kpis", F.round("value", 2)).otherwise(F.round("value", 4))
-    return chart_plans.chart_table(built).withColumn("value", digits)
+    ends = {name: F.round(name, 4) for name in ("low", "high")}
+    return chart_plans.chart_table(built).withColumns({"value": digits, **ends})
 
 
 @query
