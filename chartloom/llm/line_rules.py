@@ -37,7 +37,6 @@ MAX_LOST_PERCENT = 33  # of a document's words
 SHORT_LINE_WORDS = 4  # a line up to this long with no sentence end looks like navigation
 MAX_SYMBOL_PERCENT = 5  # of a line's characters
 LINE_END = 12  # characters in which a sentence end and closing marks are looked for first
-MAX_BOILERPLATE_CHARS = 200  # in OP5_SQL alone
 ENDS_SENTENCE = r"[.!?:;…。！？][\"'’”»)\]\s]*$"
 MENU_MARK = r"[|»›>•·]"
 MENU_MARKS = r"(^|\s)[|»›>•·](\s|$)"
@@ -64,24 +63,22 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def repeated_windows_words(words: Column) -> Column:
     """Words that lie in a five-word window found twice or more in the same text.
 
-    Each window's hash has its lowest bits replaced by the window's place, as many as places
-    need: sorted as plain numbers, repeated windows are neighbours that agree in the rest
-    (55 bits for 500 words). Each such window covers the words up to the next one, at most five.
+    Hashes are sorted together with their places, so repeated windows are neighbours with equal
+    hashes of 64 bits at any length. Each such window covers the words up to the next one, at most five.
     """
     count = F.size(words) - (WINDOW - 1)
-    places = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(count.cast("long"))))
 
     def window_hash(i: Column) -> Column:
         return F.xxhash64(*[F.get(words, i + step) for step in range(WINDOW)])
 
-    def repeats(keys: Column, unit: Column) -> Column:
+    def repeats(keys: Column) -> Column:
         def agrees(key: Column, other: Column) -> Column:
-            return F.coalesce(key.bitwiseAND(-unit) == other.bitwiseAND(-unit), F.lit(False))
+            return F.coalesce(key["hash"] == other["hash"], F.lit(False))
 
         twice = F.filter(
             keys, lambda key, i: agrees(key, F.get(keys, i + 1)) | ((i > 0) & agrees(key, F.get(keys, i - 1)))
         )
-        return F.sort_array(F.transform(twice, lambda key: key.bitwiseAND(unit - 1)))
+        return F.sort_array(F.transform(twice, lambda key: key["place"]))
 
     def covered(begins: Column) -> Column:
         return F.aggregate(
@@ -94,12 +91,9 @@ def repeated_windows_words(words: Column) -> Column:
         )
 
     def of(hashes: Column) -> Column:
-        def sorted_keys(unit: Column) -> Column:
-            keys = F.sort_array(F.transform(hashes, lambda h, i: h.bitwiseAND(-unit).bitwiseOR(i.cast("long"))))
-            return bound(keys, lambda k: covered(repeats(k, unit)))
-
+        keys = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("hash"), i.cast("long").alias("place"))))
         once = F.size(F.array_distinct(hashes)) == F.size(hashes)
-        return F.when(once, F.lit(0).cast("long")).otherwise(bound(places, sorted_keys))
+        return F.when(once, F.lit(0).cast("long")).otherwise(bound(keys, lambda k: covered(repeats(k))))
 
     windows = F.transform(F.sequence(F.lit(0), count - 1), window_hash)
     return F.when(F.size(words) <= WINDOW, F.lit(0).cast("long")).otherwise(bound(windows, of))
@@ -190,11 +184,11 @@ covered as (
 judged as (
     select *, list_filter(ls, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) wordy,
         list_transform(ls, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]') and (
-            (not regexp_matches(right(l, 12), '[.!?:;\x{{2026}}\x{{3002}}\x{{FF01}}\x{{FF1F}}]["''\x{{2019}}\x{{201D}}\x{{00BB}})\]\s]*$')
+            (not regexp_matches(l, '[.!?:;\x{{2026}}\x{{3002}}\x{{FF01}}\x{{FF1F}}]["''\x{{2019}}\x{{201D}}\x{{00BB}})\]\s]*$')
                 and len(regexp_extract_all(trim(l), '[^\x20\x09-\x0D]+')) <= {SHORT_LINE_WORDS})
             or (length(l) - length(regexp_replace(l, '[#*$%&|<>]', '', 'g'))) * 100 > length(l) * {MAX_SYMBOL_PERCENT}
             or regexp_matches(l, '(^|\s)[|\x{{00BB}}\x{{203A}}>\x{{2022}}\x{{00B7}}](\s|$)')
-            or (length(l) <= {MAX_BOILERPLATE_CHARS} and regexp_matches(l, '{_BOILERPLATE_SQL}')))) bad
+            or regexp_matches(l, '{_BOILERPLATE_SQL}'))) bad
     from worded),
 counted as (
     select j.doc_id, len(ws)::bigint n_words, length(array_to_string(ws, ''))::bigint word_chars,

@@ -20,8 +20,8 @@ least id, and only classes are compared.
 
 Counts of a hash are added up in each task before the shuffle; joins on hashes are split by
 adaptive execution where one is frequent. A component beyond a block costs the square of its
-blocks in comparisons, spread over as many tasks; a task's memory and what it returns stay
-in proportion to a block.
+blocks in comparisons; each pair of blocks is dealt out by itself, so they spread over all tasks, and a
+task's memory and what it returns stay in proportion to a block.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; fewer
 words than a shingle has are one; rows of one id are one document that links through any of
@@ -37,8 +37,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.llm.common import bounded_broadcast, every, stage, table
 from chartloom.llm.components import connected_components
@@ -251,11 +252,12 @@ def class_links(
         lambda batches: _member_rows(batches, width), "doc long, members array<long>"
     ).join(candidates, "doc")
     sets = stage(sets, "sets")
-    parts = (
+    parts = stage(
         sets.groupBy("part")
         .agg(F.sum(F.size("members")).alias("total"), F.count(F.lit(1)).alias("docs"))
         .where("docs > 1")
-        .select("part", F.ceil(F.col("total") / BLOCK_HASHES).cast("int").alias("blocks"))
+        .select("part", F.ceil(F.col("total") / BLOCK_HASHES).cast("int").alias("blocks")),
+        "parts",
     )
     placed = sets.join(parts, "part").withColumn("block", F.pmod(F.hash("doc"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -267,9 +269,16 @@ def class_links(
         "block",
         "members",
     )
-    return pairs.groupBy("part", "low_block", "high_block").applyInPandas(
-        lambda rows: _block_links(rows, percent), "a long, b long"
-    )
+    return by_block_pair(pairs).applyInPandas(lambda rows: _block_links(rows, percent), "a long, b long")
+
+
+def by_block_pair(pairs: DataFrame) -> GroupedData:
+    """Rows grouped by pair of blocks, each pair dealt by itself.
+
+    The key is one value made of all three numbers: rows that come dealt by component alone do not satisfy it, so
+    the pairs of one component are shuffled to as many tasks as there are.
+    """
+    return pairs.groupBy(F.concat_ws(":", "part", "low_block", "high_block").alias("pair"))
 
 
 def link_components(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -300,24 +309,30 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_component(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component: the one with the least id, the first by content."""
-    found = link_components(docs.select("doc_id", "text"), width, percent)
-    gone = stage(
-        found.where("component_id < doc_id").select(F.col("doc_id").alias("__doc")).distinct(), "later-copies"
-    )
-    kept = docs.join(bounded_broadcast(gone), F.col("doc_id") == F.col("__doc"), "left_anti")
-    # Rows that repeat an id are copies of one document.
-    repeated = stage(
-        docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("__doc")).count().where("count > 1").select("__doc"),
-        "repeated-ids",
-    )
-    if repeated.isEmpty():
-        return kept
-    repeated = bounded_broadcast(repeated)
-    single = kept.join(repeated, F.col("doc_id") == F.col("__doc"), "left_anti")
-    several = kept.join(repeated, F.col("doc_id") == F.col("__doc"), "left_semi")
-    first = several.groupBy("doc_id").agg(F.min(F.struct(*every(docs.columns))).alias("row")).select("row.*")
-    return single.unionByName(first)
+    """``docs`` with one row of each component: the one with the least id, the first by content.
+
+    Rows without id stay. Where ids repeat or are no whole numbers, each different text of an id is
+    judged by itself: a text goes only if it, not another row of its id, is linked with one that stays.
+    """
+    given = docs.where("doc_id is not null")
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        repeated = given.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if repeated.isEmpty():
+            found = link_components(docs.select("doc_id", "text"), width, percent)
+            gone = stage(found.where("component_id < doc_id").select(F.col("doc_id").alias("__doc")), "later-copies")
+            return docs.join(bounded_broadcast(gone), F.col("doc_id") == F.col("__doc"), "left_anti")
+    # Equal rows are counted as one; numbers in their order name the texts.
+    row = F.struct(*every(docs.columns))
+    single = given.select(F.col("doc_id").alias("__id"), "text", F.md5("text").alias("__digest"), row.alias("__row"))
+    single = single.groupBy("__id", "__digest").agg(F.min("text").alias("text"), F.min("__row").alias("__row"))
+    numbered = stage(single.withColumn("__number", F.monotonically_increasing_id()), "numbered-rows")
+    found = link_components(numbered.select(F.col("__number").alias("doc_id"), "text"), width, percent)
+    parts = stage(found.select(F.col("doc_id").alias("__number"), "component_id"), "row-components")
+    first = F.min(F.struct("__id", "__digest", "__number")).alias("first")
+    firsts = numbered.join(parts, "__number").groupBy("component_id").agg(first)
+    kept = stage(firsts.select(F.col("first.__number").alias("__number")), "first-rows")
+    rows = numbered.join(kept, "__number", "left_semi").select("__row.*")
+    return rows.unionByName(docs.where("doc_id is null"))
 
 
 #: All pairs of different sets that share a shingle, and their closure.

@@ -128,7 +128,7 @@ def held_out(key: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled training rows, taken by a hash of the id."""
+    """(text, toxic) of at most ``rows`` labelled training rows, taken by a hash of the id, then of the text."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = (
         usable.groupBy("doc_id")
@@ -137,7 +137,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
         .limit(rows)
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(stage(chosen, "labelled")), "doc_id")  # at most ``rows``
-    return stage(texts.select("text", "toxic"), "labelled-texts")
+    texts = stage(texts.select("text", "toxic"), "labelled-texts")
+    if texts.limit(rows + 1).count() <= rows:
+        return texts
+    # Ids that repeat bring more rows: those of least hash stay, and of the last hash as many as fit.
+    hashed = texts.withColumn("hash", F.xxhash64("text", "toxic"))
+    last = hashed.select("hash").orderBy("hash").limit(rows).agg(F.max("hash")).first()[0]
+    below = hashed.where(F.col("hash") < last)
+    ties = hashed.where(F.col("hash") == last).limit(rows - below.count())
+    return stage(below.unionByName(ties).drop("hash"), "labelled-sample")
 
 
 def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

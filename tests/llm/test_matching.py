@@ -12,7 +12,7 @@ import corpus_pipeline
 from chartloom.llm import decontamination as dc
 from chartloom.llm.components import connected_components
 from chartloom.llm.line_runs import dedup_lines
-from chartloom.llm.ngram_join import link_components, needed, one_of_each_component, search_links, shingles, threshold
+from chartloom.llm.ngram_join import by_block_pair, link_components, needed, one_of_each_component, search_links, shingles, threshold
 
 ITEMS = "item_id long, text string, words int"
 
@@ -193,8 +193,53 @@ def test_pipeline_stages(spark, small):
         assert ids and (before is None or ids <= before)
         assert docs.columns[: len(columns)] == columns
         before = ids
-    assert docs.select("doc_id", "text").exceptAll(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").unionAll(
-        docs.select("doc_id", "text"))).isEmpty()
+    given = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    assert docs.select("doc_id", "text").distinct().exceptAll(given).isEmpty()
+
+
+def test_pipeline_with_clashing_names(spark, small, tables):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    more = docs.select("*", *[F.concat(F.lit("own "), F.col("doc_id").cast("string")).alias(c) for c in ("Shard", "copy", "rate", "place", "__doc1")])
+    rest = {name: spark.read.parquet(f"{small}/{name}.parquet") for name in ("labels", "benchmark")}
+    found = corpus_pipeline.run(spark, tables(documents=more, **rest))
+    assert found.columns == [*docs.columns, "copy", "rate", "place", "__doc1", "shard", "slot"]
+    rows = found.collect()
+    assert rows and all(r["copy"] == r["rate"] == r["place"] == f"own {r['doc_id']}" for r in rows)
+
+
+def test_texts_of_one_id_are_judged_apart(spark):
+    same, clean = "a b c d e f g h i j k l", "q r s t u v w x y z 1 2 3"
+    docs = documents(spark, [(1, same), (2, same), (2, clean), (2, clean), (3, clean + " 4"), (None, same)])
+    kept = [(r["doc_id"], r["text"]) for r in one_of_each_component(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, same), (2, clean), (None, same)], key=str)  # 3 is near 2's other text
+    named = docs.withColumn("doc_id", F.concat(F.lit("id"), F.col("doc_id").cast("string")))
+    assert sorted(r["doc_id"] for r in one_of_each_component(named).where("doc_id is not null").collect()) == ["id1", "id2"]
+
+
+def test_block_pairs_of_one_component_use_many_tasks(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        sets = spark.range(300).select(F.lit(1).cast("long").alias("part"), F.col("id").alias("doc"), (F.col("id") % 30).cast("int").alias("block"))
+        placed = sets.join(sets.select("part").distinct(), "part")
+        pairs = placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("other")).select(
+            "part", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block"), "doc"
+        )
+
+        def where(rows):
+            import pandas as pd
+            from pyspark import TaskContext
+
+            return pd.DataFrame({"task": [TaskContext.get().partitionId()], "pairs": [rows[["low_block", "high_block"]].drop_duplicates().shape[0]]})
+
+        found = by_block_pair(pairs).applyInPandas(where, "task int, pairs int").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 465 and all(r["pairs"] == 1 for r in found) and len({r["task"] for r in found}) == 16
 
 
 def test_pipeline_of_odd_and_empty_tables(spark, odd, none, tables):

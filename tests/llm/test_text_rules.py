@@ -192,3 +192,21 @@ def test_layout_names_do_not_cost_the_article():
     side = "<div class='box ad'><p>Buy this, and that, now.</p></div>"
     assert main_text(f"<div class='search'><article>{words}{side}</article></div>") == said
     assert main_text(f"<div id=main>{words}<p>Third<span class=ad> Buy, buy</span>, at last.</p>{side}</div>") == said + " Third, at last."
+
+
+def test_repeated_words_of_a_very_long_text(spark):
+    from chartloom.llm.line_rules import clean_lines
+
+    words = [f"w{i}" for i in range(300_000)]
+    words[150_000:150_020] = ["again"] * 20
+    found = clean_lines(documents(spark, [(1, " ".join(words))])).first()
+    assert found["n_repeat_words"] == 20
+
+
+def test_sample_is_bounded_by_rows(spark):
+    from chartloom.llm.toxicity import training_sample
+
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 40)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, [(2, "the same text")] * 300 + [(i, f"text {i}") for i in range(1, 40)])
+    for rows in (10, 100):
+        assert training_sample(docs, labels, rows).count() <= rows
