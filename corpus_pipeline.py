@@ -12,8 +12,22 @@ from chartloom.llm.sharding import shard
 from chartloom.llm.toxicity import without_toxic
 
 
+# Columns that the mixing and sharding stages look at
+NEEDED = ("doc_id", "text", "source")
+
+# Rows of a batch of texts for Python workers, which keep a few batches each
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in small batches, unless the session has its own setting."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not take for toxic."""
+    small_batches(spark)
     return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -23,6 +37,7 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that n-gram links connect: the one with the least id."""
+    small_batches(spark)
     return one_of_each_component(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
@@ -32,13 +47,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target weight asks for."""
-    return mix_tempered(docs).select(*every(docs.columns))
+    """Documents as often as their source's target weight asks for; columns named like the operator's own stay."""
+    plain = docs.toDF(*[c if c in NEEDED else f"column {i}" for i, c in enumerate(docs.columns)])
+    return mix_tempered(plain).select(*every(plain.columns)).toDF(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with their shard and their place in it."""
-    return shard(docs).select(*every(docs.columns), "shard", "slot")
+    """All rows with their shard and their place in it, which replace columns of these names."""
+    names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    plain = docs.select(*every(names)).toDF(*[c if c in NEEDED else f"column {i}" for i, c in enumerate(names)])
+    return shard(plain).select(*every(plain.columns), "shard", "slot").toDF(*names, "shard", "slot")
 
 
 STAGES = [
