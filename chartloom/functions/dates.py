@@ -62,15 +62,16 @@ def _parsed(text: Column, layout: str) -> Column:
     if layout == "compact":
         parts = {"y": F.substring(text, 1, 4), "m": F.substring(text, 5, 2), "d": F.substring(text, 7, 2)}
     else:
-        day = F.split_part(text, F.lit(" "), F.lit(1)) if "t" in order else text
-        parts = {kind: F.split_part(day, F.lit(mark), F.lit(place)) for place, kind in enumerate(order, 1)}
+        day = F.substring_index(text, " ", 1) if "t" in order else text
+        middle = F.substring_index(F.substring_index(day, mark, 2), mark, -1)
+        parts = dict(zip(order, (F.substring_index(day, mark, 1), middle, F.substring_index(day, mark, -1))))
     if "M" in parts:
         place = F.call_function("instr", F.lit(MONTHS), F.substring(parts["M"], 1, 3))
         parts["m"] = F.floor((place + 2) / 3).cast("string")
         parts["d"] = F.replace(parts["d"], F.lit(","), F.lit(""))
     iso = F.concat_ws("-", parts["y"], parts["m"], parts["d"])
     if "t" in order:
-        iso = F.concat_ws(" ", iso, F.split_part(text, F.lit(" "), F.lit(2)))
+        iso = F.concat_ws(" ", iso, F.substring_index(text, " ", -1))
     return iso.try_cast("timestamp_ntz")
 
 
