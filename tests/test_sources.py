@@ -6,13 +6,16 @@ import json
 
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrameReader
 
 from chartloom import errors
 from chartloom.operators.price import clean_prices, missing_expected_columns
 from chartloom.plans.clean_sample import EmptyResultError, process_file
-from chartloom.plans.staging import reused, staged
+from chartloom.plans.staging import kept, reused, staged
 from chartloom.sources.json_documents import read_column_documents
 from chartloom.sources.readers import read_table
+from chartloom.sources.sinks import write_csv_file
+from chartloom.sources.typed_csv import files_by_breaks, read_csv_with_rejects
 from chartloom.streaming.prices import write_clean_prices
 
 
@@ -95,7 +98,10 @@ PRICE_CSV = (
 def test_process_file_writes_one_csv(spark, tmp_path):
     source = put(tmp_path, "prices.csv", PRICE_CSV)
     target = process_file(spark, source, str(tmp_path / "out.csv"), n=10, seed=1)
-    assert len(list((tmp_path / "out.csv").glob("part-*"))) == 1
+    assert (tmp_path / "out.csv").is_file() and [p.name for p in tmp_path.iterdir() if "parts" in p.name] == []
+    again = process_file(spark, source, str(tmp_path / "out.csv"), n=1, seed=1)
+    assert len((tmp_path / "out.csv").read_text().splitlines()) == 2
+    target = process_file(spark, source, again, n=10, seed=1)
     rows = sorted(tuple(r) for r in read_table(spark, target).collect())
     assert rows == [(5.0, 4.0, 3.0, "c"), (1000.0, 900.0, 4.5, "a")]
 
@@ -180,3 +186,68 @@ def test_batch_entry_point(spark, tmp_path):
     source = put(tmp_path, "p.csv", "id,actual_price\n" + "".join(f"{i},₹{i}\n" for i in range(50)))
     target = main([source, str(tmp_path / "out.csv"), "--rows", "10", "--seed", "3", "--key", "id", "--unique-key"])
     assert read_table(spark, target, fmt="csv").count() == 10
+
+
+def test_a_folder_is_not_overwritten_by_a_file(spark, tmp_path):
+    (tmp_path / "there.csv").mkdir()
+    with pytest.raises(errors.TableWriteError):
+        write_csv_file(spark.range(3), str(tmp_path / "there.csv"))
+    assert [p.name for p in tmp_path.iterdir()] == ["there.csv"]
+
+
+def test_only_files_with_line_breaks_in_cells_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    put(folder, "plain one.csv", "a,b\n" + "".join(f'{i},"x ""y"" z"\n' for i in range(500_000)))
+    put(folder, "broken.csv", 'a,b\n1000001,"two\nlines"\n1000002,q\n')
+    split = files_by_breaks(spark, str(folder))
+    assert [p.rsplit("/", 1)[1] for p in split[True] + split[False]] == ["broken.csv", "plain one.csv"]
+    rows = read_table(spark, str(folder), "csv")
+    assert rows.count() == 500_002 and rows.where("b = 'two\\nlines'").count() == 1
+    assert read_table(spark, str(folder / "plain one.csv")).rdd.getNumPartitions() > 1
+    assert read_table(spark, str(folder / "broken.csv"), typed=False).count() == 2
+
+
+def test_types_of_a_very_wide_table(spark, tmp_path):
+    names = [f"c.{i}" for i in range(3_000)]
+    cells = [("7", "1.5", "true", "t", "")[i % 5] for i in range(3_000)]
+    path = put(tmp_path, "wide.csv", ",".join(names) + "\n" + (",".join(cells) + "\n") * 5)
+    kinds = [kind for _, kind in read_table(spark, path).dtypes]
+    assert kinds == [("bigint", "double", "boolean", "string", "double")[i % 5] for i in range(3_000)]
+
+
+def test_rejected_rows_are_kept_apart(spark, tmp_path):
+    path = put(tmp_path, "r.csv", 'a,b,c\n1,x,y\n2,x\n3,"x,x",y\n4,x,y,z\n5,,\n')
+    good, rejects = read_csv_with_rejects(spark, path)
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "x", "y"), (3, "x,x", "y"), (5, None, None)]
+    told = sorted((r["row"], r["reason"], r["file"].rsplit("/", 1)[1]) for r in rejects.collect())
+    assert told == [("2,x", "too few cells", "r.csv"), ("4,x,y,z", "too many cells", "r.csv")]
+    with pytest.raises(errors.UnreadableTableError):
+        read_table(spark, path).collect()
+
+
+def test_json_lines_are_never_read_whole(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "lines.json"
+    folder.mkdir()
+    for k in range(3):
+        put(folder, f"{k}.txt", "\n".join(json.dumps({"a": i, "b": {"c": i}}) for i in range(1 + 20 * k)))
+    whole = []
+    text = DataFrameReader.text
+    monkeypatch.setattr(DataFrameReader, "text", lambda self, paths, wholetext=False, **o: whole.append(wholetext) or text(self, paths, wholetext, **o))
+    assert read_table(spark, str(folder)).count() == 63
+    assert not any(whole)
+
+
+def test_kept_results_follow_their_files(spark, tmp_path):
+    path, made = put(tmp_path, "k.csv", "a\n1\n"), []
+
+    def build():
+        made.append(1)
+        return read_table(spark, path)
+
+    assert [r["a"] for r in kept(spark, path, build, x=1).collect()] == [1]
+    assert [r["a"] for r in kept(spark, path, build, x=1).collect()] == [1] and len(made) == 1
+    kept(spark, path, build, x=2)
+    assert len(made) == 2
+    put(tmp_path, "k.csv", "a\n1\n22\n")
+    assert sorted(r["a"] for r in kept(spark, path, build, x=1).collect()) == [1, 22] and len(made) == 3

@@ -5,10 +5,16 @@ from __future__ import annotations
 import random
 import statistics
 
+import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from chartloom.operators import frequency, impute, median, profile
+from chartloom.operators.charts import correlation_matrix
+from chartloom.operators.frequency import modes
 from chartloom.plans.auto_clean import auto_clean, convert_text
+from chartloom.plans.chart_data import chart_data
 from chartloom.plans.insights import insights, quick_fact
 
 
@@ -143,3 +149,59 @@ def test_awkward_column_names(spark):
     rows = spark.createDataFrame([("1", None), ("2", 3.0)], "`a.b c` string, `x``y` double")
     cleaned, _ = auto_clean(rows)
     assert sorted(tuple(r) for r in cleaned.collect()) == [(1.0, 3.0), (2.0, 3.0)]
+
+
+def test_correlation_with_far_values_and_gaps(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=1_001)
+    frame = pd.DataFrame({"x": x, "y": x + rng.normal(size=1_001) / 10, "z": 1e9 + x, "k": 5.0, "w": rng.normal(size=1_001)})
+    frame.loc[0, ["x", "y"]] = 1e12, None
+    frame.loc[3:400, "w"] = None
+    frame.loc[3:700, "z"] = frame.loc[3:700, "z"] + 1e13 * frame["w"][3:700].isna()
+    rows = spark.createDataFrame([tuple(None if v != v else float(v) for v in r) for r in frame.to_numpy()], "x double, y double, z double, k double, w double")
+    found = {(r["col_x"], r["col_y"]): r["r"] for r in correlation_matrix(rows.repartition(7)).collect()}
+    for a in frame:
+        for b in frame:
+            both = frame[[a, b]].dropna().to_numpy(dtype=np.longdouble)
+            off = both - both.mean(axis=0)
+            spread = (off * off).sum(axis=0)
+            wanted = float((off[:, 0] * off[:, 1]).sum() / np.sqrt(spread[0] * spread[1])) if (spread > 1e-9).all() else None
+            assert found[a, b] == (wanted if wanted is None else pytest.approx(wanted, abs=1e-6)), (a, b)
+    empty = correlation_matrix(rows.limit(0)).collect()
+    assert len(empty) == 25 and all(r["r"] is None and r["n"] == 0 for r in empty)
+
+
+def test_modes_beyond_what_a_summary_holds(spark):
+    """Unique long texts, long texts that tie, one value among many, and few values."""
+    n = 6_000
+    rows = spark.range(n).select(
+        F.concat(F.repeat(F.lit("x"), 100), F.lpad(F.col("id").cast("string"), 6, "0")).alias("unique"),
+        F.concat(F.repeat(F.lit("x"), 100), (F.col("id") % (n // 2)).cast("string")).alias("pairs"),
+        F.when(F.col("id") % 50 == 0, "often").otherwise(F.col("id").cast("string")).alias("one"),
+        (F.col("id") % 3).cast("string").alias("few"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    found = {r["column"]: (r["value"], r["n"]) for r in modes(rows.repartition(5)).collect()}
+    assert found == {
+        "unique": ("x" * 100 + "000000", 1), "pairs": ("x" * 100 + "0", 2), "one": ("often", n // 50), "few": ("0", n // 3)
+    }
+
+
+@pytest.mark.parametrize("clean", [True, False])
+def test_charts_scan_the_raw_table_twice(spark, clean):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(400).selectExpr(
+        "id", "case when id % 7 = 0 then null else concat(' ', id % 3) end as few", "concat('$', id * 1.5) as amount",
+        "case when id % 9 > 0 then cast(date_add(date'2020-01-01', cast(id as int)) as string) end as day",
+        "case when id % 5 > 0 then cast(id as double) end as gaps",
+    )
+    watched = rows.mapInPandas(counted, rows.schema)
+    for chart in chart_data(watched, clean=clean).values():
+        chart.collect()
+    assert seen.value <= 3 * 400
