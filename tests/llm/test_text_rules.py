@@ -104,32 +104,63 @@ def test_odd_rows_by_toxicity(spark, odd, none, clashing, labelled, tables):
     assert op4_toxicity(spark, tables(documents=none, labels=no_labels)).collect() == []
 
 
-def test_losses_against_plain_counts(spark):
-    rows = [(1, "a b a b c"), (2, "a b b"), (3, "c c A"), (4, None), (5, " ")]
-    docs = documents(spark, rows)
-    found = {r["doc_id"]: r for r in lm_scoring.cross_entropy_difference(docs, docs.where("doc_id = 2").select("doc_id")).collect()}
-    texts = {i: (t or "").lower().split() for i, t in rows}
-
-    def counts(ids):
+def plain_models(texts, targets):
+    """For a text left out: each model's probability of a word by itself, and after another one."""
+    vocabulary = {w for t in texts.values() for w in t}
+    mass = sum(len(texts[i]) for i in targets) or sum(map(len, texts.values()))
+
+    def model(members, out):
+        whole = sum(len(texts[i]) for i in members)
+        scale = mass / whole if whole else 1.0
         words, before, pairs = Counter(), Counter(), Counter()
-        for i in ids:
-            for x, y in zip([None, *texts[i]], texts[i]):
-                words[y] += 1
-                before[x] += 1
-                pairs[x, y] += 1
-        return words, before, pairs
-
-    both = {"background": counts(texts), "target": counts([2])}
-    mass = sum(both["target"][0].values())
-    for i, words in texts.items():
-        for name, (single, before, pairs) in both.items():
-            total, loss = sum(single.values()), 0.0
-            for x, y in zip([None, *words], words):
-                p1 = (single[y] * mass / total + 0.1) / (mass + 0.1 * 4)
-                loss -= math.log(0.6 * pairs[x, y] / max(before[x], 1) + 0.4 * p1)
-            want = loss / len(words) if words else None
-            assert found[i][f"{name}_loss"] == (pytest.approx(want) if words else None)
-    assert found[2]["score"] < found[3]["score"] and found[4]["n_tokens"] == 0
+        for i in members:
+            if i != out:
+                words.update(texts[i])
+                before.update([None, *texts[i]][: len(texts[i])])
+                pairs.update(zip([None, *texts[i]], texts[i]))
+        places, total = len(vocabulary) + 1, sum(words.values())
+        alone = lambda y: (scale * words[y] + 0.1) / (scale * total + 0.1 * places)
+        after = lambda x, y: (scale * pairs[x, y] + 10 / places) / (scale * before[x] + 10)
+        return alone, after
+
+    return vocabulary, lambda out: (model(targets, out), model(list(texts), out))
+
+
+def plain_losses(texts, targets, asked=None):
+    _, of = plain_models(texts, targets)
+    return {
+        i: tuple(
+            -sum(math.log(alone(y)) + math.log(after(x, y)) for x, y in zip([None, *t], t)) / 2 / len(t) if t else None
+            for alone, after in of(i)
+        )
+        for i, t in ((i, texts[i]) for i in asked or texts)
+    }
+
+
+ROWS = [(1, "a b a b c"), (2, "a b b"), (3, "c c A"), (4, None), (5, " "), (6, "a b a b c"), (7, "z y")]
+
+
+@pytest.mark.parametrize("targets", [[2], [1, 2, 6], []])
+def test_losses_against_plain_counts(spark, targets):
+    docs = documents(spark, ROWS)
+    rows = lm_scoring.cross_entropy_difference(docs, docs.where(F.col("doc_id").isin(targets)).select("doc_id")).collect()
+    texts = {i: (t or "").lower().split() for i, t in ROWS}
+    wanted = plain_losses(texts, targets)
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        want = wanted[r["doc_id"]]
+        assert (r["target_loss"], r["background_loss"]) == tuple(w if w is None else pytest.approx(w) for w in want)
+        assert (r["score"] is None) == (r["n_tokens"] == 0)
+
+
+def test_model_probabilities_sum_to_one():
+    texts = {i: (t or "").lower().split() for i, t in ROWS}
+    vocabulary, of = plain_models(texts, [1, 2])
+    for alone, after in of(1):
+        words = [*vocabulary, "never seen"]
+        assert sum(map(alone, words)) == pytest.approx(1)
+        assert all(sum(after(x, y) for y in words) == pytest.approx(1) for x in [None, *words])
+        assert len({after("never seen", y) for y in words}) == 1
 
 
 def test_odd_rows_by_model(spark, odd, none, clashing):
@@ -140,28 +171,20 @@ def test_odd_rows_by_model(spark, odd, none, clashing):
     assert lm_scoring.cross_entropy_difference(odd, ids.limit(0)).where("score is not null").count() == 6
 
 
-@pytest.mark.parametrize("carried", [0, 50, 1 << 19])
-def test_every_word_and_pair_has_its_own_count(spark, monkeypatch, carried):
-    monkeypatch.setattr("chartloom.llm.lm_scoring.CARRIED_PAIRS", carried)
-    texts = {i: [f"w{i * 100 + k}" for k in range(100)] + ["the", "end"] * 3 for i in range(200)}
+@pytest.mark.parametrize(("carried", "bucket"), [(0, 1_000), (50, 2_000), (1 << 21, 500), (1 << 21, 4_000_000)])
+def test_every_word_and_pair_has_its_own_count(spark, monkeypatch, carried, bucket):
+    monkeypatch.setattr(lm_scoring, "CARRIED_WORDS", carried)
+    monkeypatch.setattr(lm_scoring, "BUCKET_PAIRS", bucket)
+    monkeypatch.setattr(lm_scoring, "CHUNK_WORDS", bucket)
+    texts = {i: [f"w{i * 60 + k}" for k in range(100)] + ["the", "end"] * 3 for i in range(200)}
     docs = documents(spark, [(i, " ".join(words)) for i, words in texts.items()])
     rows = lm_scoring.cross_entropy_difference(docs, docs.where("doc_id < 20").select("doc_id")).collect()
     found = {r["doc_id"]: (r["target_loss"], r["background_loss"]) for r in rows}
     assert len(rows) == len(texts)
-
-    def losses(members):
-        words, before, pairs = Counter(), Counter(), Counter()
-        for i in members:
-            words.update(texts[i])
-            before.update([None, *texts[i][:-1]])
-            pairs.update(zip([None, *texts[i]], texts[i]))
-        total, scale = sum(words.values()), 20 / len(members)
-        single = lambda y: (words[y] * scale + 0.1) / (total * scale + 0.1 * 20_003)
-        each = lambda x, y: -math.log(0.6 * pairs[x, y] / max(before[x], 1) + 0.4 * single(y))
-        return {i: np.mean([each(x, y) for x, y in zip([None, *t], t)]) for i, t in texts.items()}
-
-    target, background = losses(range(20)), losses(range(200))
-    assert all(found[i] == (pytest.approx(target[i]), pytest.approx(background[i])) for i in texts)
+    for i, want in plain_losses(texts, range(20), range(0, 200, 23)).items():
+        assert found[i] == tuple(map(pytest.approx, want))
+    again = lm_scoring.cross_entropy_difference(docs.repartition(5), docs.where("doc_id < 20").select("doc_id"))
+    assert {r["doc_id"]: (r["target_loss"], r["background_loss"]) for r in again.collect()} == found
 
 
 def test_line_rules_read_whole_lines(spark):
