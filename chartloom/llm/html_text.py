@@ -5,13 +5,15 @@ For every path the blocks' text length and punctuation are added up and divided
 number of blocks; the two ratios are fused, laid out in page order, smoothed over
 neighbouring blocks, and averaged by path again. Paths above a share of the page's best
 path are content. Text inside elements that never hold the article (menus, forms, scripts
-and the like, by tag) is left out before, and paths that are mostly links after. So is text
+and the like, by tag) is left out before, and paths that are mostly links after, unless they
+lie inside an article or main element with unlinked text: its lists of links are its own. So is text
 inside elements with a class, id or role such as "sidebar" or "comments" (the whole name),
 but not if the element holds an article or main element, or most of the unlinked text of a
 page without text in such elements: there the ratios decide.
 
 A page is worked on alone, in Arrow batches, in one scan without a shuffle: no key or host
-gathers pages. Work and memory follow the length of the page.
+gathers pages. Work and memory follow the length of the page, however deep it is nested:
+a path is a number, known by the number of the path around it and its last tag.
 
 Defined cases: null or empty html has the text "" with 0 characters; so has a page without
 content; broken markup is read as far as it goes (an unclosed tag ends with its parent, a
@@ -24,6 +26,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -40,6 +44,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp"
     " small span strike strong sub sup time tt u var".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ARTICLE = frozenset("article main".split())
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -65,43 +71,73 @@ MAX_LINK_SHARE = 0.5  # of a path's characters
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^\"'>]+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"|<(?P<closing>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>(?>[^\"'>]+|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<closing2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<attributes2>[^>]*)>",
     re.S,
 )
+DECLARED = re.compile(r"<[!?]")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HEADING = re.compile(r"(?:^|/)h[1-6]$")
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 
 
+class _Open(NamedTuple):
+    """An open element."""
+
+    tag: str
+    path: int  # of block tags down to it
+    out: bool  # never holds article text
+    link: bool  # in a link
+    named: int  # nearest element around with a name of NEVER_NAMED, or -1
+    article: bool  # in an article or main element
+
+
 class _Blocks:
     """Collects text blocks with their paths while markup opens and closes."""
 
     def __init__(self) -> None:
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, left out, in a link, named element
-        self.paths: list[str] = []
+        self.open: list[_Open] = []
+        self.ended_early: set[int] = set()  # places of inline elements that ended before those inside them
+        self.places: dict[str, list[int]] = defaultdict(list)  # of the open elements of a tag
+        # Paths: number by path around and last tag; whether it ends in a heading; whether in an article.
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.heading: list[bool] = []
+        self.in_article: list[bool] = []
+        self.paths: list[int] = []
         self.texts: list[str] = []
         self.links: list[int] = []
+        self.has_article = False  # with text of its own
         self.parts: list[tuple[str, bool, int]] = []  # text, in a link, named element
-        self.ended: list[tuple[str, list[tuple[str, bool, int]]]] = []  # path, parts
+        self.ended: list[tuple[int, list[tuple[str, bool, int]]]] = []  # path, parts
         # Elements with a name of NEVER_NAMED, numbered as they open: the one around each (or -1), ...
         self.around: list[int] = []
         self.holds: list[bool] = []  # an article or main element
         self.unlinked: list[int] = []  # characters outside links, of its own
         self.all_unlinked = 0
+        self.root = self.path(-1, "", False)
+
+    def path(self, around: int, tag: str, article: bool) -> int:
+        number = self.numbers.setdefault((around, tag), len(self.heading))
+        if number == len(self.heading):
+            self.heading.append(tag in HEADINGS)
+            self.in_article.append(article)
+        return number
+
+    def top(self) -> _Open:
+        return self.open[-1] if self.open else _Open("", self.root, False, False, -1, False)
 
     def text(self, raw: str) -> None:
-        if raw and not (self.open and self.open[-1][1]):
+        top = self.top()
+        if raw and not top.out:
             said = entities.unescape(raw)
-            link, named = (self.open[-1][2], self.open[-1][3]) if self.open else (False, -1)
-            self.parts.append((said, link, named))
-            if not link:
+            self.parts.append((said, top.link, top.named))
+            if not top.link:
                 self.all_unlinked += len(said.strip())
-                if named >= 0:
-                    self.unlinked[named] += len(said.strip())
+                if top.named >= 0:
+                    self.unlinked[top.named] += len(said.strip())
 
     def end_block(self) -> None:
         if self.parts:
-            self.ended.append(("/".join(tag for tag, *_ in self.open if tag not in INLINE), self.parts))
+            self.ended.append((self.top().path, self.parts))
             self.parts = []
 
     def settle(self) -> None:
@@ -109,13 +145,14 @@ class _Blocks:
         for i in range(len(self.around) - 1, -1, -1):
             if self.around[i] >= 0:
                 self.unlinked[self.around[i]] += self.unlinked[i]
-        marked = any(
-            not {"article", "main"}.isdisjoint(path.split("/")) and any(said.strip() and not link for said, link, _ in parts)
+        self.has_article = any(
+            self.in_article[path] and any(said.strip() and not link for said, link, _ in parts)
             for path, parts in self.ended
         )
         out: list[bool] = []
         for around, holds, unlinked in zip(self.around, self.holds, self.unlinked):
-            out.append(around >= 0 and out[around] or not (holds or not marked and 2 * unlinked > self.all_unlinked))
+            much = not self.has_article and 2 * unlinked > self.all_unlinked
+            out.append(around >= 0 and out[around] or not (holds or much))
         for path, parts in self.ended:
             kept = [(said, link) for said, link, named in parts if named < 0 or not out[named]]
             text = " ".join("".join(said for said, _ in kept).split())
@@ -127,15 +164,16 @@ class _Blocks:
     def start(self, tag: str, attributes: str) -> None:
         if tag not in INLINE:
             self.end_block()
-        if tag in CLOSES_P and any(t == "p" for t, *_ in self.open[-8:]):
+        if tag in CLOSES_P and any(e.tag == "p" for e in self.open[-8:]):
             self.close("p")
-        elif tag in CLOSES_ITSELF and any(t == tag for t, *_ in self.open[-3:]):
+        elif tag in CLOSES_ITSELF and any(e.tag == tag for e in self.open[-3:]):
             self.close(tag)
         if tag in VOID:
             return
-        out, link, named = self.open[-1][1:] if self.open else (False, False, -1)
-        out = out or tag in NEVER or tag == "header" and not any(t in ("article", "main") for t, *_ in self.open)
-        if not out and tag in ("article", "main"):
+        top = self.top()
+        named, article = top.named, top.article or tag in ARTICLE
+        out = top.out or tag in NEVER or tag == "header" and not top.article
+        if not out and tag in ARTICLE:
             around = named
             while around >= 0 and not self.holds[around]:
                 self.holds[around] = True
@@ -147,33 +185,40 @@ class _Blocks:
                 self.holds.append(False)
                 self.unlinked.append(0)
                 named = len(self.around) - 1
-        self.open.append((tag, out, link or tag == "a", named))
+        path = top.path if tag in INLINE else self.path(top.path, tag, article)
+        self.places[tag].append(len(self.open))
+        self.open.append(_Open(tag, path, out, top.link or tag == "a", named, article))
+
+    def drop_from(self, place: int) -> None:
+        while len(self.open) > place:
+            last = self.open.pop()
+            if len(self.open) in self.ended_early:
+                self.ended_early.discard(len(self.open))
+            else:
+                self.places[last.tag].pop()
 
     def close(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                if tag not in INLINE:
-                    self.end_block()
-                    del self.open[i:]
-                else:
-                    del self.open[i]
-                return
+        if not self.places[tag]:
+            return
+        place = self.places[tag][-1]
+        if tag not in INLINE:
+            self.end_block()
+            self.drop_from(place)
+        else:
+            self.places[tag].pop()
+            self.ended_early.add(place)
+        while self.open and len(self.open) - 1 in self.ended_early:
+            self.drop_from(len(self.open) - 1)
 
 
 def blocks(page: str) -> _Blocks:
-    found, at = _Blocks(), 0
-    while True:
-        markup = MARKUP.search(page, at)
-        if markup is None:
-            found.text(page[at:])
-            found.end_block()
-            found.settle()
-            return found
+    found, at, last_end = _Blocks(), 0, page.rfind(">")
+    while at <= last_end and (markup := MARKUP.search(page, at)):
         found.text(page[at : markup.start()])
         at = markup.end()
-        closing, tag, attributes = markup.group(1), markup.group(2), markup.group(3)
+        closing, tag, attributes = markup.group("closing", "tag", "attributes")
         if tag is None:
-            closing, tag, attributes = markup.group(4), markup.group(5), markup.group(6)
+            closing, tag, attributes = markup.group("closing2", "tag2", "attributes2")
         if tag is None:
             continue
         tag = tag.lower()
@@ -185,6 +230,12 @@ def blocks(page: str) -> _Blocks:
             end = re.compile(rf"</{tag}\b[^>]*>|\Z", re.I).search(page, at)
             at = end.end()
             found.close(tag)
+    # Without another ">" a "<" is text, but for declarations and comments, which run to the end.
+    declared = DECLARED.search(page, at)
+    found.text(page[at : declared.start()] if declared else page[at:])
+    found.end_block()
+    found.settle()
+    return found
 
 
 def main_text(page: str | None) -> str:
@@ -201,10 +252,11 @@ def main_text(page: str | None) -> str:
     reach, ends = len(KERNEL) // 2, np.ones(len(place))
     laid = (np.convolve(fused[place], KERNEL) / np.convolve(ends, KERNEL))[reach : reach + len(place)]
     for i in range(len(place) - 2, -1, -1):  # a heading is as good as what it heads
-        if HEADING.search(found.paths[i]):
+        if found.heading[found.paths[i]]:
             laid[i] = max(laid[i], laid[i + 1])
     score = np.bincount(place, laid) / n
     is_text = np.bincount(place, found.links) <= MAX_LINK_SHARE * np.bincount(place, length)
+    is_text |= found.has_article & np.array([found.in_article[path] for path in paths])
     if not is_text.any():
         return ""
     content = is_text & (score >= SHARE_OF_BEST * score[is_text].max())

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -233,3 +235,61 @@ def test_sample_is_bounded_by_rows(spark):
     docs = documents(spark, [(2, "the same text")] * 300 + [(i, f"text {i}") for i in range(1, 40)])
     for rows in (10, 100):
         assert training_sample(docs, labels, rows).count() <= rows
+
+
+def test_links_of_an_article_are_its_own():
+    words = "<p>First text, with words.</p><p>Second text, with more words.</p>"
+    links = "<ul><li><a href=x>See this source, and that</a></li></ul>"
+    assert main_text(f"<article>{words}{links}</article>{links}") == (
+        "First text, with words. Second text, with more words. See this source, and that"
+    )
+    assert main_text(f"<div>{words}{links}</div>") == "First text, with words. Second text, with more words."
+
+
+@pytest.mark.parametrize(
+    ("page", "n_chars"),
+    [
+        ("<div>x, y. " * 100_000, 599_999),
+        ("<b><div>x. " * 30_000 + "</b>" * 30_000, 89_999),
+        ("<div>" * 50_000 + "</i>x" * 50_000, 50_000),
+        ("<p>x<i>" * 50_000, 99_999),
+        ("<a " * 100_000, 299_999),
+        ("<!-- " * 50_000, 0),
+    ],
+)
+def test_broken_pages_take_time_by_their_length(page, n_chars):
+    begin = time.process_time()
+    assert len(main_text(page)) == n_chars and time.process_time() - begin < 5
+
+
+def test_path_ratios_by_the_definition():
+    rng = random.Random(5)
+    for _ in range(40):
+        blocks = []  # (path, text)
+        page = ""
+        for outer in range(rng.randint(1, 4)):
+            shell = rng.choice(["div", "section"])
+            page += f"<{shell}>"
+            for _ in range(rng.randint(1, 5)):
+                tag = rng.choice(["p", "h2", "pre", "blockquote"])
+                text = " ".join(rng.choice(["word", "two,", "end.", "x"]) for _ in range(rng.choice([1, 2, 5, 60])))
+                page += f"<{tag}>{text}</{tag}>"
+                blocks.append((f"{shell}/{tag}", text))
+            page += f"</{shell}>"
+
+        def mean(path, values):
+            own = [v for (p, _), v in zip(blocks, values) if p == path]
+            return sum(own) / len(own)
+
+        length = [len(t) for _, t in blocks]
+        marks = [sum(t.count(m) for m in ",.") for _, t in blocks]
+        fused = [mean(p, length) * (1 + mean(p, marks)) for p, _ in blocks]
+        laid = []
+        for i in range(len(blocks)):
+            near = [(w, fused[i + d]) for d, w in zip(range(-2, 3), (1, 2, 4, 2, 1)) if 0 <= i + d < len(blocks)]
+            laid.append(sum(w * f for w, f in near) / sum(w for w, _ in near))
+        for i in range(len(blocks) - 2, -1, -1):
+            if blocks[i][0].endswith("h2"):
+                laid[i] = max(laid[i], laid[i + 1])
+        score = [mean(p, laid) for p, _ in blocks]
+        assert main_text(page) == " ".join(t for (_, t), s in zip(blocks, score) if s >= 0.08 * max(score))
