@@ -151,15 +151,17 @@ listed as (select src, pieces, list(least(cdf, 1.0) order by k) cdf from steps g
 digested as (
     select *, coalesce(source, chr(1)) src, md5(coalesce(text, '')) digest,
            coalesce(doc_id::varchar, chr(0)) doc_key from documents),
+cut_rows as (
+    select d.*, l.cdf, unnest(range(1, l.pieces + 1)) piece from digested d join listed l on d.src = l.src),
 drawn as (
-    select d.*, l.pieces, l.cdf, p.piece,
-           ('0x' || substr(md5('{SEED}:' || doc_key || ':' || digest || ':' || p.piece), 1, 13))::bigint / {16**13}.0::double u
-    from digested d join listed l on d.src = l.src, range(1, 1000) p(piece) where p.piece <= l.pieces),
+    select *, ('0x' || substr(md5('{SEED}:' || doc_key || ':' || digest || ':' || piece), 1, 13))::bigint / {16**13}.0::double u
+    from cut_rows),
 counted as (
     select doc_id, text, lang, source, n_chars, digest, doc_key,
            sum(len(list_filter(cdf, lambda c: c <= u)))::int copies
-    from drawn group by all having copies > 0)
-select c.doc_id, c.text, c.lang, c.source, c.n_chars, c.copies, g.n::int as copy,
-       ('0x' || substr(md5('{SEED}:order:' || doc_key || ':' || digest || ':' || g.n), 1, 15))::bigint as shuffle_key
-from counted c, range(1, 10000) g(n) where g.n <= c.copies
+    from drawn group by all having copies > 0),
+copied as (select *, unnest(range(1, copies + 1)) n from counted)
+select doc_id, text, lang, source, n_chars, copies, n::int as copy,
+       ('0x' || substr(md5('{SEED}:order:' || doc_key || ':' || digest || ':' || n), 1, 15))::bigint as shuffle_key
+from copied
 """
