@@ -30,9 +30,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return staged(df, f"{name}-{uuid.uuid4().hex}")
 
 
-def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow table for broadcast if a count proves it small; else leave it to shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, text_bytes: int | None = None) -> DataFrame:
+    """Mark a narrow table for broadcast if a count proves it small; else leave it to shuffle.
+
+    Tables with texts, lists or structs give a bound of their bytes, too.
+    """
+    if text_bytes is None:
+        return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    plain = F.octet_length(F.to_json(F.struct(*every(df.columns))))
+    found, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(plain), F.lit(0))).first()
+    return F.broadcast(df) if found <= rows and size <= text_bytes else df
 
 
 def ascii_lower(text: Column) -> Column:

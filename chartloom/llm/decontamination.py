@@ -15,7 +15,7 @@ A word that fills documents gets long lists only if a window has no rarer ones;
 kept by (term, document), so no task holds a term's whole list.
 
 Defined cases: null or wordless texts have no words, hits or items; equal rows get equal
-results, one each; a null doc_id is an id like any other; a null item_id is an item with
+results, one each; without a near match the least span is 0; a null doc_id is an id like any other; a null item_id is an item with
 an empty name; equal items count once; an empty benchmark hits nothing; extra columns of
 either table are ignored.
 """
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import LOWER, UPPER, ascii_lower, bounded_broadcast, stage, table
+from chartloom.llm.common import BROADCAST_ROWS, LOWER, UPPER, ascii_lower, bounded_broadcast, stage, table
 
 # Fixed values
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -34,6 +34,7 @@ HIT_SHARE = 20  # contaminated: at least one word in so many is hit
 
 RAREST = 3  # lists that a window intersects
 SLACK = 7  # words that a near match may be longer than its window
+BROADCAST_BYTES = 64 << 20  # of tables with terms, phrases or lists
 LENGTH_TERM = "\u0001"  # no word; its one position in a document is the number of words
 
 
@@ -53,7 +54,7 @@ def keyed_words(docs: DataFrame, key: str, text: str) -> DataFrame:
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, n): occurrences of the given terms; each task adds up its own first."""
     spoken = docs.select(F.explode("words").alias("term"))
-    return spoken.join(bounded_broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return spoken.join(bounded_broadcast(terms, BROADCAST_ROWS, BROADCAST_BYTES), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """
     wanted = terms.unionByName(terms.sparkSession.createDataFrame([(LENGTH_TERM,)], "term string"))
     ended = docs.select("doc", F.posexplode(F.concat("words", F.array(F.lit(LENGTH_TERM)))).alias("position", "term"))
-    postings = ended.join(bounded_broadcast(wanted), "term", "left_semi")
+    postings = ended.join(bounded_broadcast(wanted, BROADCAST_ROWS, BROADCAST_BYTES), "term", "left_semi")
     return postings.groupBy("term", "doc").agg(F.sort_array(F.collect_list("position")).alias("positions"))
 
 
@@ -99,7 +100,7 @@ def item_windows(items: DataFrame, counts: DataFrame, size: int = WINDOW_WORDS)
 def candidate_windows(index: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc, item, start, at): places where all anchors of a window stand as in the window."""
     anchors = windows.select("item", F.explode("anchors").alias("a")).select("item", "a.term", "a.offset").distinct()
-    adjusted = index.join(bounded_broadcast(anchors, 200_000), "term").select(
+    adjusted = index.join(bounded_broadcast(anchors, 200_000, BROADCAST_BYTES), "term").select(
         "doc", "item", "offset", F.explode(F.array_distinct("positions")).alias("position")
     )
     lists = adjusted.groupBy("doc", "item", (F.col("position") - F.col("offset")).alias("shift")).agg(
@@ -110,7 +111,7 @@ def candidate_windows(index: DataFrame, windows: DataFrame) -> DataFrame:
     )
     return (
         lists.withColumn("rarest", F.explode("offsets"))
-        .join(bounded_broadcast(asked, 200_000), ["item", "rarest"])
+        .join(bounded_broadcast(asked, 200_000, BROADCAST_BYTES), ["item", "rarest"])
         .where(F.size(F.array_except("needed", "offsets")) == 0)
         .select("doc", "item", "start", (F.col("shift") + F.col("start")).alias("at"))
         .where("at >= 0")
@@ -125,14 +126,16 @@ def exact_hits(candidates: DataFrame, docs: DataFrame, windows: DataFrame) -> Da
     by_doc = stage(
         asked.groupBy("doc").agg(F.collect_list(F.struct("item", "start", "at", "length")).alias("asked")), "asked"
     )
-    texts = docs.join(bounded_broadcast(by_doc.select("doc"), 500_000), "doc", "left_semi")
+    texts = docs.join(bounded_broadcast(by_doc.select("doc"), 500_000, BROADCAST_BYTES), "doc", "left_semi")
 
     def seen(ask: Column) -> Column:
         spoken = F.slice(F.col("words"), ask["at"] + 1, ask["length"])
         return F.struct(ask["item"].alias("item"), ask["start"].alias("start"), ask["at"].alias("low"), spoken.alias("phrase"))
 
     found = texts.join(by_doc, "doc").select("doc", F.explode(F.transform("asked", seen)).alias("w")).select("doc", "w.*")
-    truth = bounded_broadcast(windows.select("item", "item_id", "start", "length", "phrase"), 200_000)
+    truth = bounded_broadcast(
+        windows.select("item", "item_id", "start", "length", "phrase"), 200_000, BROADCAST_BYTES
+    )
     return found.join(truth, ["item", "start", "phrase"]).select(
         "doc", "item", "item_id", "start", "low", (F.col("low") + F.col("length")).alias("high")
     )
@@ -143,28 +146,47 @@ def near_matches(index: DataFrame, windows: DataFrame, slack: int = SLACK) -> Da
 
     ``span`` is the fewest words that hold all of them, in any order, at most the window's
     length plus ``slack``, over all windows of the item; windows with the same terms are one.
-    A sliding pass keeps the last place of each term.
+    Lists are brought together by document and terms; where all terms are there, a pass over
+    their places, in order, keeps the last place of each term.
     """
-    terms = windows.select(
+    sets = windows.select(
         "item", "item_id", "length", F.array_sort(F.array_distinct("anchors.term")).alias("terms")
     ).distinct()
-    asked = terms.select("*", F.posexplode("terms").alias("slot", "term"))
-    met = index.join(bounded_broadcast(asked, 200_000), "term").select(
-        "doc", "item", "item_id", "length", "terms", F.size("terms").alias("n_terms"), "slot", F.explode("positions").alias("position")
+    asked = sets.select(F.explode("terms").alias("term"), "terms").distinct()
+    met = (
+        index.join(bounded_broadcast(asked, 200_000, BROADCAST_BYTES), "term")
+        .groupBy("doc", "terms")
+        .agg(F.collect_list(F.struct("term", "positions")).alias("lists"))
+        .where(F.size("lists") == F.size("terms"))
     )
-    so_far = Window.partitionBy("doc", "item", "terms").orderBy("position", "slot").rowsBetween(Window.unboundedPreceding, 0)
-    for slot in range(RAREST):
-        last = F.max(F.when(F.col("slot") == slot, F.col("position"))).over(so_far)
+
+    def placed(one: Column) -> Column:
+        slot = F.array_position(F.col("terms"), one["term"]).cast("int") - 1
+        return F.transform(
+            F.array_distinct(one["positions"]), lambda p: F.struct(p.alias("position"), slot.alias("slot"))
+        )
+
+    def step(state: Column, place: Column) -> Column:
+        lasts = [
+            F.when(place["slot"] == slot, place["position"]).otherwise(state[f"last{slot}"]).alias(f"last{slot}")
+            for slot in range(RAREST)
+        ]
         # A window of fewer terms has no last place in the later slots.
-        met = met.withColumn(f"last{slot}", F.when(F.lit(slot) < F.col("n_terms"), last).otherwise(F.col("position")))
-    lasts = [F.col(f"last{slot}") for slot in range(RAREST)]
-    complete = lasts[0].isNotNull()
-    for last in lasts[1:]:
-        complete = complete & last.isNotNull()
-    span = F.col("position") - F.least(*lasts) + 1
+        in_use = [F.when(F.lit(slot) >= F.size("terms"), place["position"]).otherwise(last) for slot, last in enumerate(lasts)]
+        complete = F.least(*[F.coalesce(last, F.lit(-1)) for last in in_use]) >= 0
+        span = F.when(complete, place["position"] - F.least(*in_use) + 1)
+        return F.struct(*lasts, F.least(state["span"], span).alias("span"))
+
+    nothing = F.struct(*[F.lit(None).cast("int").alias(c) for c in [*(f"last{i}" for i in range(RAREST)), "span"]])
+    spans = met.select(
+        "doc",
+        "terms",
+        F.aggregate(
+            F.array_sort(F.flatten(F.transform("lists", placed))), nothing, step, lambda state: state["span"]
+        ).alias("span"),
+    )
     return (
-        met.where(complete)
-        .withColumn("span", span)
+        spans.join(bounded_broadcast(sets, 200_000, BROADCAST_BYTES), "terms")
         .where(F.col("span") <= F.col("length") + slack)
         .groupBy("doc", "item", "item_id")
         .agg(F.min("span").alias("span"))
@@ -190,7 +212,8 @@ def prepare(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS) ->
 def contamination(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc, n_rows, n_words, n_hit, items): for each different row, its hits and the items hit."""
+    """(doc, n_rows, n_words, n_hit, items, n_near_items, least_span): for each different row, its hits, the items
+    hit, the number of items (by id) with near matches, and the fewest words that hold one (0: none)."""
     texts = keyed_words(docs, key, text)
     index, windows = prepare(texts, benchmark)
     hits = exact_hits(candidate_windows(index, windows), texts, windows)
@@ -206,12 +229,19 @@ def contamination(
     lengths = index.where(F.col("term") == LENGTH_TERM).select(
         "doc", F.size("positions").alias("n_rows"), F.col("positions")[0].cast("long").alias("n_words")
     )
-    return lengths.join(counted, "doc", "left").select(
+    near = (
+        near_matches(index, windows)
+        .groupBy("doc")
+        .agg(F.count_distinct("item_id").alias("n_near_items"), F.min("span").cast("long").alias("least_span"))
+    )
+    return lengths.join(counted, "doc", "left").join(near, "doc", "left").select(
         "doc",
         "n_rows",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"),
+        F.coalesce("least_span", F.lit(0)).alias("least_span"),
     )
 
 
@@ -229,6 +259,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         is_contaminated().alias("contaminated"),
+        "n_near_items",
+        "least_span",
         F.explode(F.sequence(F.lit(1), F.col("n_rows"))).alias("row"),
     ).drop("row")
 
@@ -239,11 +271,12 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_
     marked = docs.withColumn(
         "__doc", F.struct(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("digest"))
     )
-    bad = bounded_broadcast(bad.withColumnRenamed("doc", "__doc"))
+    bad = bounded_broadcast(bad.withColumnRenamed("doc", "__doc"), BROADCAST_ROWS, BROADCAST_BYTES)
     return marked.join(bad, "__doc", "left_anti").drop("__doc")
 
 
-#: Every window of every document against every window of every item, by their words.
+#: Every window of every document against every window of every item, by their words; near matches by the places of
+#: each window's rarest terms in every document.
 OP8_SQL = rf"""
 with docs as (
     select row_number() over () r, doc_id,
@@ -266,9 +299,36 @@ hits as (
 covered as (select r, count(distinct i) n from (select r, unnest(range(s, s + w)) i from hits) group by r),
 named as (
     select r, count(*) n, sha256(string_agg(item_id, ',' order by item_id)) h
-    from (select distinct r, item_id from hits) group by r)
+    from (select distinct r, item_id from hits) group by r),
+placed as (select r, unnest(ws) term, unnest(range(0, len(ws))) p from docs),
+counted as (select term, count(*) n from placed group by term),
+places as (
+    select item, item_id, unnest(ws) term, unnest(range(0, len(ws))) place, len(ws) total
+    from (select row_number() over () item, item_id, ws from (select distinct item_id, ws from items))),
+frames as (
+    select item_id, place, total, least(total, {WINDOW_WORDS}) length,
+        list({{'n': coalesce(n, 0), 'term': term, 'place': place}}) over (
+            partition by item order by place rows between current row and {WINDOW_WORDS - 1} following) frame
+    from places left join counted using (term)),
+sets as (
+    select distinct item_id, length, list_sort(list_distinct(list_transform(rarest, lambda a: a.term))) terms
+    from (select *, list_sort(frame)[1:{RAREST}] rarest from frames where place <= total - length)
+    where rarest[1].n > 0),
+met as (
+    select r, item_id, length, terms, p, list_position(terms, term) slot
+    from (select *, unnest(terms) term from sets) join placed using (term)),
+lasts as (
+    select *, max(case when slot = 1 then p end) over so_far a,
+        case when len(terms) < 2 then p else max(case when slot = 2 then p end) over so_far end b,
+        case when len(terms) < 3 then p else max(case when slot = 3 then p end) over so_far end c
+    from met window so_far as (partition by r, item_id, length, terms order by p, slot rows unbounded preceding)),
+near as (
+    select r, count(distinct item_id) n, min(p - least(a, b, c) + 1) span
+    from lasts
+    where a is not null and b is not null and c is not null and p - least(a, b, c) + 1 <= length + {SLACK} group by r)
 select doc_id, len(ws)::bigint as n_words, coalesce(c.n, 0)::bigint as n_hit, coalesce(i.n, 0)::bigint as n_items,
     coalesce(i.h, sha256('')) as items_sha256,
-    coalesce(c.n, 0) > 0 and 20 * coalesce(c.n, 0) >= len(ws) as contaminated
-from docs d left join covered c using (r) left join named i using (r)
+    coalesce(c.n, 0) > 0 and 20 * coalesce(c.n, 0) >= len(ws) as contaminated,
+    coalesce(m.n, 0)::bigint as n_near_items, coalesce(m.span, 0)::bigint as least_span
+from docs d left join covered c using (r) left join named i using (r) left join near m using (r)
 """

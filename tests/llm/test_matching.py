@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from llm_frames import LONG, documents
@@ -285,3 +286,34 @@ def test_near_matches_of_every_window(spark):
     index, windows = dc.prepare(dc.keyed_words(docs, "doc_id", "text"), bench(spark, [(9, " ".join(item))]))
     near = {r["doc"]["id"]: r["span"] for r in dc.near_matches(index, windows).collect()}
     assert set(near) == {1, 2} and all(span <= 20 for span in near.values())
+
+
+def test_near_matches_against_every_stretch(spark):
+    rng = random.Random(3)
+    word = lambda: f"v{min(int(rng.expovariate(0.12)), 40)}"
+    texts = {i: [word() for _ in range(rng.choice([0, 3, 20, 80]))] for i in range(40)}
+    items = {i: [word() for _ in range(rng.choice([1, 2, 5, 13, 20]))] for i in range(12)}
+    counts = Counter(w for t in texts.values() for w in t)
+    sets = set()  # item, length, rarest terms
+    for i, t in items.items():
+        size = min(len(t), dc.WINDOW_WORDS)
+        for start in range(len(t) - size + 1):
+            rarest = sorted((counts[t[k]], t[k], k) for k in range(start, start + size))[: dc.RAREST]
+            if rarest[0][0]:
+                sets.add((i, size, frozenset(w for _, w, _ in rarest)))
+    wanted = {}
+    for d, t in texts.items():
+        for item, size, terms in sets:
+            for length in range(1, size + dc.SLACK + 1):
+                if any(terms <= set(t[k : k + length]) for k in range(len(t) - length + 1)):
+                    wanted[d, str(item)] = min(length, wanted.get((d, str(item)), length))
+                    break
+    docs = documents(spark, [(i, " ".join(t)) for i, t in texts.items()])
+    benchmark = bench(spark, [(i, " ".join(t)) for i, t in items.items()])
+    index, windows = dc.prepare(dc.keyed_words(docs, "doc_id", "text"), benchmark)
+    found = {(r["doc"]["id"], r["item_id"]): r["span"] for r in dc.near_matches(index, windows).collect()}
+    assert found == wanted and len(wanted) > 20
+    rows = {r["doc"]["id"]: r for r in dc.contamination(docs, benchmark).collect()}
+    for d in texts:
+        own = [span for (doc, _), span in wanted.items() if doc == d]
+        assert (rows[d]["n_near_items"], rows[d]["least_span"]) == (len(own), min(own, default=0))
