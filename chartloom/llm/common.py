@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.plans.staging import staged
+from chartloom.plans.staging import file_system, shared_folder, staged
 
 # Fixed values
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -30,6 +31,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return staged(df, f"{name}-{uuid.uuid4().hex}")
 
 
+def stage_for_now(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A copy in the shared folder, and a call that deletes it once nothing reads it any more."""
+    spark, name = df.sparkSession, f"{name}-{uuid.uuid4().hex}"
+
+    def discard() -> None:
+        path = f"{shared_folder(spark)}/{name}"
+        files, to_path = file_system(spark, path)
+        files.delete(to_path(path), True)
+
+    return staged(df, name), discard
+
+
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, text_bytes: int | None = None) -> DataFrame:
     """Mark a narrow table for broadcast if a count proves it small; else leave it to shuffle.
 

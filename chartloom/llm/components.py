@@ -3,8 +3,9 @@
 Large-star and small-star steps in turn: every node hands its neighbours on to the smallest
 one it knows. Each step is one ``min`` by node, added up in every task first, and one join on
 that node, which adaptive execution splits where a node has very many neighbours; no node's
-neighbours are collected. Rounds end when the edges stay the same, after about the square
-of the logarithm of the longest path.
+neighbours are collected. Rounds end when every edge leads to the least node of its component,
+which one exact count by node shows, after about the square of the logarithm of the longest
+path. A round's edges are deleted once the next ones are written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import stage
+from chartloom.llm.common import stage_for_now
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -32,20 +33,28 @@ def _star(neighbours: DataFrame, larger: bool) -> DataFrame:
     return linked.where("a > b").distinct()
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every node with a smaller neighbour has only that one, which has no smaller one itself."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+    )).alias("end")).select("end.*")
+    by_node = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return by_node.where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge; a component is named by its least node.
 
     ``edges`` has (a, b) of an orderable type; loops and nulls are left out.
     """
     current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    current, seen = stage(current, "edges"), None
-    while True:
-        mark = current.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
-        if mark == seen:
-            break
-        seen = mark
+    current, discard = stage_for_now(current, "edges")
+    while not _is_done(current):
         large = _star(_both_ways(current), larger=True)
-        current = stage(_star(large, larger=False), "edges")
+        following, discard_next = stage_for_now(_star(large, larger=False), "edges")
+        discard()
+        current, discard = following, discard_next
     leaves = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     centres = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return leaves.unionByName(centres)
