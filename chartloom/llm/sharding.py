@@ -9,13 +9,16 @@ The law is ``key``: a row's shard depends on its key and the number of shards al
 consistent hash), so one more shard takes rows into itself and moves no others.
 
 Defined cases: a null key is a key like any other; null text has no bytes; equal rows stay
-separate rows; an empty table gives an empty result; extra columns travel along. A key or
-a row that repeats so often that one bucket could not hold it is spread over the buckets of
-its shard: copies are counted first, with partial sums in each task, and numbered on.
+separate rows; an empty table gives an empty result; extra columns travel along. A shard has as
+many buckets as its own bytes ask for, so one that a hot key fills has more of them. Rows of a
+key that takes a quarter of a bucket are spread over the buckets of its shard, and so are equal
+ones: copies are counted first, with partial sums in each task, and numbered on.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -60,17 +63,17 @@ def utf8_size(column: str) -> Column:
     return F.coalesce(F.octet_length(F.col(column)), F.lit(0)).cast("long") + 8
 
 
-def _numbered(docs: DataFrame, key: str, limit: int) -> DataFrame:
+def _numbered(docs: DataFrame, key: str, text: str, limit: int) -> DataFrame:
     """Rows with a ``copy`` number that tells rows of a crowded key apart.
 
-    A key with at most ``limit`` rows fits a bucket and needs none. The few others (at most
-    rows / limit) have their equal rows counted and the copies numbered; their rows differ
+    A key with at most ``limit`` bytes fits a bucket and needs none. The few others (at most
+    all bytes / limit) have their equal rows counted and the copies numbered; their rows differ
     by content or by number, and so does the hash that places them.
     """
     names = docs.columns
     text_key = F.coalesce(F.col(key).cast("string"), F.lit("\u0000null"))
-    counted = docs.select(text_key.alias("__key")).groupBy("__key").count()
-    crowded = stage(counted.where(F.col("count") > limit).select("__key"), "crowded-keys")
+    counted = docs.select(text_key.alias("__key"), utf8_size(text).alias("__n")).groupBy("__key").agg(F.sum("__n").alias("__n"))
+    crowded = stage(counted.where(F.col("__n") > limit).select("__key"), "crowded-keys")
     if crowded.isEmpty():
         return docs.withColumn("__copy", F.lit(0).cast("long"))
     crowded = bounded_broadcast(crowded)
@@ -111,22 +114,23 @@ def shard(
 
     The shuffled buckets are written to the shared folder, bucket by bucket; the result
     scans them and adds the slot. Columns of the input named like these four, in any
-    case, are left out of the result. The number of buckets follows from the bytes.
+    case, are left out of the result. A shard's number of buckets follows from its own bytes.
     """
     taken = {"shard", "slot", "bucket", "place", "__order", "__copy", "__key", "__n"}
     docs = docs.select(*every([c for c in docs.columns if c.lower() not in taken]))
-    total, rows = docs.agg(
-        F.coalesce(F.sum(utf8_size(text)), F.lit(0)), F.count(F.lit(1))
-    ).first()
-    per_shard = max(1, -(-total // (shards * bucket_bytes)))
-    buckets = int(shards * per_shard)
-    limit = max(1, rows // buckets)
-    numbered = _numbered(docs, key, limit)
+    home = jump_shard(key_hash(key, seed), shards)
+    # One small row for each shard: its bytes tell how many buckets it has, and where they begin.
+    sizes = docs.select(home.alias("shard"), utf8_size(text).alias("size")).groupBy("shard").agg(F.sum("size"))
+    per_shard = [1] * shards
+    for number, size in sizes.collect():
+        per_shard[number] = max(1, -(-size // bucket_bytes))
+    offsets = [0, *itertools.accumulate(per_shard[:-1])]
+    numbered = _numbered(docs, key, text, max(1, bucket_bytes // 4))
     identity = F.xxhash64(F.lit(seed), *every(docs.columns), F.col("__copy"))
-    spread = F.pmod(F.xxhash64(identity, F.lit("bucket")), F.lit(per_shard))
+    spread = F.pmod(F.xxhash64(identity, F.lit("bucket")), F.get(F.lit(per_shard), F.col("shard")))
     placed = (
-        numbered.withColumn("shard", jump_shard(key_hash(key, seed), shards))
-        .withColumn("bucket", (F.col("shard") * F.lit(per_shard) + spread).cast("long"))
+        numbered.withColumn("shard", home)
+        .withColumn("bucket", (F.get(F.lit(offsets), F.col("shard")) + spread).cast("long"))
         .withColumn("__order", identity)
         .drop("__copy")
     )

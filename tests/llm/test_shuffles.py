@@ -49,6 +49,19 @@ def test_hot_key_is_spread_over_buckets_and_repeats_stay(spark):
     assert digest(found) == digest(shard(documents(spark, rows).repartition(7), shards=2, bucket_bytes=4_000))
 
 
+def test_buckets_stay_near_their_size_whatever_the_keys(spark):
+    """A hot key of different rows, one of equal rows and one with few but long rows, beside many small keys."""
+    rows = [(7, f"hot {i:05d} " + "x" * 72) for i in range(6_000)] + [(8, "same " * 18)] * 3_000
+    rows += [(9, f"{i} " + "long " * 1_000) for i in range(40)] + [(i, f"cold {i}") for i in range(100, 700)]
+    found = shard(documents(spark, rows), bucket_bytes=20_000)
+    size = F.sum(F.octet_length("text") + 8)
+    buckets = found.groupBy("shard", "bucket").agg(size.alias("n")).collect()
+    assert max(r["n"] for r in buckets) < 2.5 * 20_000
+    assert found.groupBy("shard", "slot").count().where("count > 1").isEmpty()
+    assert found.groupBy("shard").agg((F.max("slot") + 1 - F.count("slot")).alias("gap")).where("gap <> 0").isEmpty()
+    assert digest(found.select("doc_id", "text")) == digest(documents(spark, rows).select("doc_id", "text"))
+
+
 def test_odd_rows_in_shards(spark, odd, none, clashing):
     found = shard(odd, shards=3)
     assert digest(found.select("doc_id", "text")) == digest(odd.select("doc_id", "text"))
