@@ -10,6 +10,7 @@ from llm_frames import LONG, documents
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from chartloom.llm import components
 from chartloom.llm import decontamination as dc
 from chartloom.llm.components import connected_components
 from chartloom.llm.line_runs import dedup_lines
@@ -41,6 +42,27 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_around_crowded_nodes(spark, monkeypatch):
+    monkeypatch.setattr(components, "MANY_NEIGHBOURS", 20)
+    rng = random.Random(5)
+    pairs = [(500, i) for i in range(501, 900)] + [(3, i) for i in range(1_000, 1_100)] + [(899, 950), (950, 1_050), (1_099, 2)]
+    pairs += [(rng.randrange(2_000, 2_300), rng.randrange(2_000, 2_300)) for _ in range(150)] + [(i, i + 1) for i in range(3_000, 3_040)]
+    pairs += [(i, 2_500) for i in range(2_501, 2_540)] + pairs[:50]
+    rng.shuffle(pairs)
+    found = connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert {r["node"]: r["component"] for r in found} == closure(pairs, {n for a, b in pairs if a != b for n in (a, b)})
+    assert len(found) == len({r["node"] for r in found})
+
+
+def test_edges_of_a_crowded_node_stay_apart(spark):
+    """Of a node with most edges, no task of the join by hash gets any."""
+    edges = spark.range(5_000).select(F.col("id").alias("b"), F.when(F.col("id") % 10 < 8, 10_000).otherwise(F.col("id") + 20_000).alias("a"))
+    plan = components._star(edges, False, 1_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("strategy=broadcast") >= 2
+    found = {(r["a"], r["b"]) for r in components._star(edges, False, 1_000).collect()}
+    assert found == {(r["a"], r["b"]) for r in components._star(edges, False, 1_000_000).collect()}
+
+
 def near_copies(seed, n_groups=6, copies=9):
     """Groups of texts that differ in a few words, and texts with a common passage."""
     rng = random.Random(seed)
