@@ -5,21 +5,21 @@ link when 100 * intersection >= percent * union: four words and 85 percent in op
 values where a caller gives them. Documents with equal sets are one class, named by the
 least id, and only classes are compared.
 
-1. Every class lists its lowest hashes: five percent more than linked sets may lack (a fifth
-   at 85 percent), at least 64. Linked sets of sizes n and m
-   agree in most of these (``_needed``), so a class whose listed hashes occur in too few other
-   classes has no link and leaves. Ordinary texts leave here, also those that share a
-   common line or passage.
-2. The rarest of the rest, so many that linked classes must share one, tie classes to the
-   least class with the same hash. Components of these ties hold every link.
+1. The range of hashes is cut into parts, 1.25 for each member by which linked sets of a band of sizes can
+   differ at most. A difference touches one part, so linked sets agree in the whole content of a fifth of the
+   parts or more (``PartScheme``). A class with too few parts that another class has, too, has no link and
+   leaves. Ordinary texts leave here at any size of the table, also where most of their shingles occur elsewhere:
+   a part holds about four members, and all must be the same. So do texts that share a common line or passage.
+2. The rarest parts of the rest, so many that linked classes must share one, tie classes to the
+   least class with the same part. Components of these ties hold every link.
 3. Inside a component (in blocks of bounded size, and pairs of blocks where it is larger)
    a T-occurrence search finds the links: a query's short inverted lists are merged by
    counting, its longest lists are only probed by binary search for documents whose count
    can still reach the threshold. Of all links a task returns a spanning forest.
 4. Components of the forests are the result.
 
-Counts of a hash are added up in each task before the shuffle; joins on hashes are split by
-adaptive execution where one is frequent. A component beyond a block costs the square of its
+Parts travel once, as rows of two numbers, to be counted; a part that is frequent comes once for each class with
+it, which is one row of many that a class has. A component beyond a block costs the square of its
 blocks in comparisons; each pair of blocks is dealt out by itself, so they spread over all tasks, and a
 task's memory and what it returns stay in proportion to a block.
 
@@ -31,17 +31,18 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.llm.common import bounded_broadcast, every, stage, table
+from chartloom.llm.common import bounded_broadcast, every, stage, stage_for_now, table
 from chartloom.llm.components import connected_components
 
 # Fixed values of op9
@@ -50,6 +51,8 @@ PERCENT = 85  # of the union
 
 LISTED_MORE, LISTED_LEAST = 5, 64  # percent of a set's hashes that are listed beyond what it may lack, and how many at least
 BLOCK_HASHES = 1_500_000  # set members that a task compares at a time
+BANDS = 64  # bands of sizes at most, a power of two
+LATER_ROWS = 4_000_000  # numbers of later rows of a class that are broadcast
 LONG_LISTS = 0.1  # a query's lists that are probed, as a share of its threshold
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -76,6 +79,9 @@ def threshold(n: np.ndarray | int, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+# The bound for single low hashes. Parts took their place in the join: most single hashes of a large table come again.
+
+
 def _listed_share(percent: int) -> int:
     return 100 - percent + LISTED_MORE
 
@@ -103,55 +109,118 @@ def needed(n: int, percent: int = PERCENT, _known: dict[tuple[int, int], int] =
     return max(1, _known[n, percent])
 
 
+class PartScheme:
+    """Parts of sets by bands of their sizes, for one percentage.
+
+    Band i holds the sizes above ``tops[i - 1]`` up to ``tops[i]`` and cuts the range of hashes into ``parts[i]`` parts.
+    A set is cut for its own band and for those of larger partners, so linked sets are cut alike for the band of the larger.
+    Sets of n and m that link differ in at most (n + m) * (100 - percent) / (100 + percent) members.
+    """
+
+    def __init__(self, percent: int) -> None:
+        self.percent = percent
+        self.tops = [16]
+        while self.tops[-1] < 2**40:
+            self.tops.append(self.tops[-1] * 8 // 5)
+        most = [self._apart(2 * top) for top in self.tops]
+        self.parts = [k + k // 4 + 2 for k in most]
+        self._bounds: dict[int, np.ndarray] = {}
+
+    def _apart(self, both: int) -> int:
+        return both * (100 - self.percent) // (100 + self.percent)
+
+    def largest(self, n: int) -> int:
+        """The largest set that one of n can link with."""
+        return 100 * n // self.percent
+
+    def bands(self, n: int) -> range:
+        """The bands that a set of n is cut for; none if it links with no other set."""
+        if not self._apart(n + self.largest(n)):
+            return range(0)
+        return range(bisect_left(self.tops, n), bisect_left(self.tops, self.largest(n)) + 1)
+
+    def shared(self, n: int, band: int) -> int:
+        """Parts that a set of n has in common with any set it links with in the band."""
+        return self.parts[band] - self._apart(n + min(self.largest(n), self.tops[band]))
+
+    def shared_column(self, n: Column, band: Column) -> Column:
+        """``shared`` of columns of whole numbers."""
+        of_band = lambda values: F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), (band + 1).cast("int"))
+        largest = F.call_function("div", 100 * n, F.lit(self.percent))
+        both = n + F.least(largest, of_band(self.tops))
+        return of_band(self.parts) - F.call_function("div", both * (100 - self.percent), F.lit(100 + self.percent))
+
+    def tokens(self, members: np.ndarray) -> np.ndarray:
+        """A number for each part of a set: of its content and place, with the band in the low bits."""
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(members, dtype=np.uint64)))
+        found = [np.empty(0, np.uint64)]
+        for band in self.bands(len(members)):
+            parts = self.parts[band]
+            if band not in self._bounds:
+                self._bounds[band] = np.array([-(-(i << 64) // parts) for i in range(1, parts)], dtype=np.uint64)
+            ends = np.concatenate(([0], np.searchsorted(members, self._bounds[band]), [len(members)]))
+            token = np.diff(sums[ends]) + np.arange(1, parts + 1, dtype=np.uint64) * _MULTIPLIER
+            token ^= token >> np.uint64(32)
+            token *= np.uint64(0xD6E8FEB86659FD93)
+            token ^= token >> np.uint64(32)
+            found.append(token & ~np.uint64(BANDS - 1) | np.uint64(band))
+        return np.concatenate(found)
+
+
 def _set_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    scheme = PartScheme(percent)
     for batch in batches:
         sets = [shingles(text, width) for text in batch.column("text").to_pylist()]
-        sizes = [len(s) for s in sets]
         marks = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         halves = np.frombuffer(b"".join(marks), dtype=np.int64).reshape(-1, 2)
-        low = [s[: _listed(n, percent)].view(np.int64) for s, n in zip(sets, sizes)]
-        ends = np.concatenate(([0], np.cumsum([len(x) for x in low]))).astype(np.int32)
-        listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *low])))
+        tokens = [scheme.tokens(s).view(np.int64) for s in sets]
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in tokens]))).astype(np.int32)
+        listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *tokens])))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
-                pa.array(sizes, pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(halves[:, 0]),
                 pa.array(halves[:, 1]),
-                pa.array([needed(n, percent) if n else 0 for n in sizes], pa.int64()),
                 listed,
             ],
-            names=["doc_id", "n", "d1", "d2", "needed", "listed"],
+            names=["doc_id", "n", "d1", "d2", "tokens"],
         )
 
 
 def document_sets(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n, d1, d2, needed, listed): size, identity and lowest hashes of every set."""
+    """(doc_id, n, d1, d2, tokens): size, identity and parts of every set."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
         lambda batches: _set_rows(batches, width, percent),
-        "doc_id long, n long, d1 long, d2 long, needed long, listed array<long>",
+        "doc_id long, n long, d1 long, d2 long, tokens array<long>",
     )
 
 
-def candidate_classes(classes: DataFrame) -> DataFrame:
-    """(doc, part): classes that may have a link, with the component of their ties."""
-    listed = classes.select("doc", F.explode("listed").alias("hash"))
-    frequent = listed.groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1")
-    lists = listed.join(frequent, "hash")
-    rare_first = F.sort_array(F.collect_list(F.struct("n_docs", "hash")))
-    sizes = classes.groupBy("doc").agg(F.min("needed").alias("needed"))
-    remaining = (
-        lists.groupBy("doc")
-        .agg(rare_first.alias("lists"))
-        .join(sizes, "doc")
-        .where(F.size("lists") >= F.col("needed"))
-        .select("doc", F.slice("lists", 1, F.greatest(F.size("lists") - F.col("needed") + 1, F.lit(0)).cast("int")).alias("lists"))
-    )
-    asked = stage(remaining.select("doc", F.explode("lists.hash").alias("hash")), "rare-hashes")
-    least = asked.groupBy("hash").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    ties = asked.join(least, "hash").select(F.col("doc").alias("a"), F.col("least").alias("b"))
-    return connected_components(ties).select(F.col("node").alias("doc"), F.col("component").alias("part"))
+def candidate_classes(sets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc, part): classes that may have a link, with the component of their ties.
+
+    ``sets`` has (row, doc_id, tokens) of all rows, ``classes`` (doc, n, row) with one row of each class.
+    """
+    some = sets.where("doc_id is not null and size(tokens) > 0")
+    later = stage(some.select("row").join(classes.select("row"), "row", "left_anti"), "later-rows")
+    first = some.join(bounded_broadcast(later, LATER_ROWS), "row", "left_anti")
+    tokens = first.select(F.col("doc_id").alias("doc"), F.explode("tokens").alias("token"))
+    several = tokens.withColumn("n_docs", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("n_docs > 1")
+    band = F.col("token").bitwiseAND(F.lit(BANDS - 1)).alias("band")
+    rare_first = F.sort_array(F.collect_list(F.struct("n_docs", "token")))
+    lists = several.repartition("doc").groupBy("doc", band).agg(rare_first.alias("lists"))
+    sizes = classes.groupBy("doc").agg(F.max("n").alias("n"))
+    needed_here = F.greatest(PartScheme(percent).shared_column(F.col("n"), F.col("band")), F.lit(1))
+    remaining = lists.join(sizes, "doc").withColumn("needed", needed_here.cast("int")).where(F.size("lists") >= F.col("needed"))
+    rarest = F.slice("lists", F.lit(1), F.size("lists") - F.col("needed") + 1)
+    asked = remaining.select("doc", F.explode(rarest.getField("token")).alias("token"))
+    asked, discard = stage_for_now(asked, "rare-parts")
+    least = asked.groupBy("token").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    ties = asked.join(least, "token").select(F.col("doc").alias("a"), F.col("least").alias("b"))
+    found = connected_components(ties).select(F.col("node").alias("doc"), F.col("component").alias("part"))
+    discard()
+    return found
 
 
 class _Forest:
@@ -283,15 +352,17 @@ def by_block_pair(pairs: DataFrame) -> GroupedData:
 
 def link_components(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs`` (doc_id, text)."""
-    sets = stage(document_sets(docs, width, percent), "document-sets")
+    numbered = document_sets(docs, width, percent).withColumn("row", F.monotonically_increasing_id())
+    sets_with_parts, discard = stage_for_now(numbered, "document-sets")
+    sets = stage(sets_with_parts.drop("tokens"), "set-names")
     filled = sets.where("n > 0 and doc_id is not null")
+    first = F.min(F.struct("doc_id", "row")).alias("first")
     classes = stage(
-        filled.groupBy("n", "d1", "d2").agg(
-            F.min("doc_id").alias("doc"), F.first("needed").alias("needed"), F.first("listed").alias("listed")
-        ),
+        filled.groupBy("n", "d1", "d2").agg(first).select("n", "d1", "d2", F.col("first.doc_id").alias("doc"), "first.row"),
         "classes",
     )
-    candidates = stage(candidate_classes(classes), "candidates")
+    candidates = stage(candidate_classes(sets_with_parts, classes, percent), "candidates")
+    discard()
     components = stage(connected_components(class_links(docs, candidates, width, percent)), "components")
     named = (
         classes.select("n", "d1", "d2", "doc")

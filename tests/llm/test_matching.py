@@ -5,12 +5,13 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_frames import LONG, documents
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chartloom.llm import components
+from chartloom.llm import components, ngram_join
 from chartloom.llm import decontamination as dc
 from chartloom.llm.components import connected_components
 from chartloom.llm.line_runs import dedup_lines
@@ -112,6 +113,54 @@ def test_search_is_a_forest_of_all_links():
     assert closure(links, texts) == closure(brute_links(texts), texts) and len(links) < len(texts)
 
 
+def test_common_shingles_alone_tie_nothing(spark, monkeypatch):
+    """Texts of few words share most shingles, as those of a large table do; only near copies are compared."""
+    rng = random.Random(11)
+    text = lambda: [f"w{rng.randrange(9)}" for _ in range(150)]
+    texts = [text() for _ in range(300)]
+    texts += [[*t[:i], "other", *t[i + 1 :]] for t in texts[:20] for i in (5, 140)]
+    rows = {i: " ".join(t) for i, t in enumerate(texts)}
+    seen, links = [], ngram_join.class_links
+
+    def counted(docs, candidates, *rest):
+        seen.append(candidates.count())
+        return links(docs, candidates, *rest)
+
+    monkeypatch.setattr(ngram_join, "class_links", counted)
+    found = link_components(documents(spark, list(rows.items()))).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == closure(brute_links(rows), rows)
+    assert 60 <= seen[0] < 80
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_linked_sets_share_parts(percent):
+    """Also where all differences meet in as many parts as they can, and in bands of different sizes."""
+    rng = random.Random(percent)
+    scheme = ngram_join.PartScheme(percent)
+    for n in [*range(1, 80), 163, 164, 260, 261, 400]:
+        own = sorted(rng.getrandbits(64) for _ in range(n))
+        for m in {-(-percent * n // 100), n, 100 * n // percent}:
+            both = n + m
+            overlap = -(-percent * both // (100 + percent))
+            if not 0 < overlap <= min(n, m) or overlap == n == m:
+                continue
+            members = sorted(rng.sample(own, overlap) + [rng.getrandbits(64) for _ in range(m - overlap)])
+            tokens = [np.array(x, dtype=np.uint64) for x in (own, members)]
+            tokens = [scheme.tokens(x).tolist() for x in tokens]
+            band = max(scheme.bands(n)[0], scheme.bands(m)[0])
+            assert band in scheme.bands(n) and band in scheme.bands(m)
+            shared = sum(t % ngram_join.BANDS == band for t in set(tokens[0]) & set(tokens[1]))
+            assert shared >= scheme.shared(n, band) > 0 and shared >= scheme.shared(m, band) > 0
+
+
+def test_shared_parts_by_column(spark):
+    scheme = ngram_join.PartScheme(85)
+    rows = [(n, band) for n in [6, 7, 16, 17, 100, 1_000, 123_456] for band in scheme.bands(n)]
+    found = spark.createDataFrame(rows, "n long, band long").select("*", scheme.shared_column(F.col("n"), F.col("band")).alias("shared"))
+    assert [r["shared"] for r in found.orderBy("n", "band").collect()] == [scheme.shared(*r) for r in sorted(rows)]
+    assert len(scheme.tops) <= ngram_join.BANDS
+
+
 def test_needed_is_the_least_over_all_partners():
     shared = lambda n: min(n, max(64, -(-n // 5))) - (n - threshold(n))
     for n in [*range(1, 700), 1_000, 1_777, 5_000, 12_345]:
